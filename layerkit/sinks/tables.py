@@ -49,13 +49,21 @@ def write_full(
     w.saveAsTable(table)
 
 
+V2_FORMATS = ("delta", "iceberg")
+
+
 def append_batch(df: DataFrame, table: str, fmt: str = "parquet") -> None:
-    """Append by column name; create the table on first use."""
+    """Append by column name; create the table on first use.
+
+    Tables of the v2 formats go through ``writeTo(...).append()``; plain file
+    tables, which that path refuses, through ``saveAsTable`` in append mode,
+    which also matches columns by name.
+    """
     spark = df.sparkSession
-    if spark.catalog.tableExists(table):
+    if spark.catalog.tableExists(table) and _provider(spark, table) in V2_FORMATS:
         df.writeTo(table).append()
     else:
-        df.writeTo(table).using(fmt).create()
+        df.write.mode("append").format(fmt).saveAsTable(table)
 
 
 def write_messages(
@@ -105,7 +113,7 @@ def upsert_table(
     if compat:
         rule = "differs"
     if method == "auto":
-        method = "merge" if _provider(spark, table) in ("delta", "iceberg") else "rewrite"
+        method = "merge" if _provider(spark, table) in V2_FORMATS else "rewrite"
     target = spark.table(table)
     src = stage(merge_source(target, source, layout, compat, broadcast_rows))
     if method == "merge":
