@@ -155,50 +155,71 @@ def _rewrite_partitions(
     key, part, version = layout.key, layout.partition, layout.version
     small = broadcast_rows is not None and src.limit(broadcast_rows + 1).count() <= broadcast_rows
 
-    def bc(df: DataFrame) -> DataFrame:
-        return F.broadcast(df) if small else df
-
     # 1. Decide every source row against the whole target through a narrow
-    #    scan of (key, version, partition); only matching keys go further.
+    #    scan of (key, version, partition). One decision row per updated
+    #    target row (old and new partition) and per inserted source row;
+    #    staged, since everything below reads it.
     narrow = target.select(key, version, part)
     s = src.select(*[F.col(c).alias("_s_" + c) for c in (key, version, part)])
-    matched = narrow.join(bc(s), F.col(key) == F.col("_s_" + key), "inner")
-    replaced = matched.where(_replaces(rule, F.col("_s_" + version), F.col(version)))
-    update_keys = replaced.select(key).distinct()
+    if small:
+        s = F.broadcast(s)
+    matched = narrow.join(s, F.col(key) == F.col("_s_" + key), "inner")
+    updates = matched.where(_replaces(rule, F.col("_s_" + version), F.col(version))).select(
+        key,
+        F.lit("update").alias("action"),
+        F.col(part).alias("old"),
+        F.col(part if compat else "_s_" + part).alias("new"),
+    )
     tkeys = narrow.select(key)
     if small:
         tkeys = tkeys.join(F.broadcast(src.select(key)), key, "left_semi")
-    inserts = src.join(tkeys.distinct(), key, "left_anti")
-
-    # 2. Partitions touched: old and new years of updated rows, years of
-    #    inserted rows. Bounded by the number of partitions of the table.
-    years = [replaced.select(F.col(part).alias("y")), inserts.select(F.col(part).alias("y"))]
-    if not compat:
-        years.append(replaced.select(F.col("_s_" + part).alias("y")))
-    affected_df = years[0].unionByName(years[1])
-    for y in years[2:]:
-        affected_df = affected_df.unionByName(y)
-    affected = [r[0] for r in affected_df.distinct().collect()]
-    result = {"inserted": inserts.count(), "updated": replaced.count()}
-    if not affected:
+    inserts = src.join(tkeys.distinct(), key, "left_anti").select(
+        key, F.lit("insert").alias("action"), F.lit(None).cast("string").alias("old"), F.col(part).alias("new")
+    )
+    decisions = stage(updates.unionByName(inserts))
+
+    # 2. Row movements per (action, old, new) partition: at most a few rows
+    #    per pair of partition values.
+    moves = decisions.groupBy("action", "old", "new").agg(F.count(F.lit(1)).alias("n")).collect()
+    result = {
+        "inserted": sum(m.n for m in moves if m.action == "insert"),
+        "updated": sum(m.n for m in moves if m.action == "update"),
+    }
+    affected = {m.old for m in moves if m.action == "update"} | {m.new for m in moves}
+    if not moves:
         return result
-
-    # 3. Merge only those partitions. The effective source holds the decided
-    #    updates and inserts, so a key kept elsewhere is not re-inserted.
     in_affected = F.col(part).isin([a for a in affected if a is not None])
     if None in affected:
         in_affected = in_affected | F.col(part).isNull()
-    effective = src.join(update_keys, key, "left_semi").unionByName(inserts)
+    # A partition is emptied when every row it holds moves out and none moves in.
+    moved_out, moved_in = {}, {}
+    for m in moves:
+        if m.action == "update" and m.old != m.new:
+            moved_out[m.old] = moved_out.get(m.old, 0) + m.n
+        if m.action == "insert" or m.old != m.new:
+            moved_in[m.new] = moved_in.get(m.new, 0) + m.n
+    held = {
+        r[0]: r[1]
+        for r in target.where(F.col(part).isin(list(moved_out))).groupBy(part).count().collect()
+    } if moved_out else {}
+    emptied = [y for y, n in moved_out.items() if y is not None and held.get(y) == n and not moved_in.get(y)]
+
+    # 3. Merge only the affected partitions. The effective source holds the
+    #    decided updates and inserts, so a key kept in an untouched
+    #    partition is neither re-inserted nor rewritten.
+    decided = decisions.select(key).distinct()
+    effective = src.join(F.broadcast(decided) if small else decided, key, "left_semi").unionByName(
+        src.where(F.col(key).isNull())
+    )
     merged = apply_merge(target.where(in_affected), effective, layout, rule, compat, small)
-    # Stage the new partitions: the write below replaces the files they were
-    # read from, so the result must not depend on them any more.
-    merged = stage(merged.select(spark.table(table).columns))
-    present = {r[0] for r in merged.select(part).distinct().collect()}
+    # Dynamic partition overwrite replaces only the partitions written; the old
+    # files stay readable until the job commits, so retried tasks read them
+    # intact.
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    merged.sortWithinPartitions(part, layout.date).write.insertInto(table, overwrite=True)
-    for year in set(affected) - present:
-        if year is not None:
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({part} = '{year}')")
+    out = merged.select(spark.table(table).columns).sortWithinPartitions(part, layout.date)
+    out.write.insertInto(table, overwrite=True)
+    for year in emptied:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({part} = '{year}')")
     spark.catalog.refreshTable(table)
     return result
 
