@@ -67,12 +67,12 @@ def initial_silver(
     layout: Layout = COMPLAINTS,
     fmt: str = "parquet",
     location: str | None = None,
-    cluster: bool = False,
+    distribute: str = "rebalance",
 ) -> dict:
     """L2: bronze -> silver (full reload) in one pass and one partitioned write."""
     create_namespace(spark, silver_ns, location)
     silver = to_silver(spark.table(_t(bronze_ns)), layout)
-    write_full(silver, _t(silver_ns), fmt, layout.partition, [layout.date], cluster)
+    write_full(silver, _t(silver_ns), fmt, layout.partition, [layout.date], distribute)
     table = spark.table(_t(silver_ns))
     return {
         "rows": table.count(),
@@ -88,12 +88,12 @@ def initial_gold(
     layout: Layout = COMPLAINTS,
     fmt: str = "parquet",
     location: str | None = None,
-    cluster: bool = False,
+    distribute: str = "rebalance",
 ) -> dict:
     """L3: silver -> gold (full reload)."""
     create_namespace(spark, gold_ns, location)
     gold = promote_gold(spark.table(_t(silver_ns)), layout)
-    write_full(gold, _t(gold_ns), fmt, layout.partition, [layout.date], cluster)
+    write_full(gold, _t(gold_ns), fmt, layout.partition, [layout.date], distribute)
     return {"rows": spark.table(_t(gold_ns)).count(), "marts": layer_marts(spark, gold_ns, layout, fmt)}
 
 

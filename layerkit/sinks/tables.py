@@ -21,28 +21,42 @@ def create_namespace(spark: SparkSession, name: str, location: str | None = None
     spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {name}{loc}")
 
 
+def distribute_for_write(df: DataFrame, partition_by: str, sort_by: list[str], how: str = "rebalance") -> DataFrame:
+    """Arrange rows for a partitioned write.
+
+    ``rebalance`` (default): one shuffle by the partition column with AQE
+    rebalancing, which splits a large partition value (a hot year) into
+    advisory-size pieces at map-task boundaries and merges small ones, so
+    files are few and even, with no sampling pass. ``range``: range-partition
+    on (partition, *sort_by) for a global order (one extra sampling pass).
+    ``none``: no shuffle; every task writes its own file per partition value
+    (fine for small writes, a small-file storm for large ones).
+    """
+    keys = [partition_by, *sort_by]
+    if how == "rebalance":
+        df = df.hint("rebalance", partition_by)
+    elif how == "range":
+        df = df.repartitionByRange(*keys)
+    elif how != "none":
+        raise ValueError(f"unknown distribution {how!r}")
+    return df.sortWithinPartitions(*keys)
+
+
 def write_full(
     df: DataFrame,
     table: str,
     fmt: str = "parquet",
     partition_by: str | None = None,
     sort_by: list[str] | None = None,
-    cluster: bool = False,
+    distribute: str = "rebalance",
 ) -> None:
     """Replace ``table`` with ``df`` in one atomic write.
 
-    With ``partition_by`` all partitions are written by one job, each task
-    sorting its own rows by (partition, *sort_by): no shuffle, and no year
-    funnelled into one task. ``cluster=True`` range-partitions on the same
-    columns first (one shuffle, sampled split points, so a hot year is spread
-    over many tasks) for fewer, fully sorted files per partition.
+    With ``partition_by`` all partitions are written by one job (not one job
+    per partition value); rows are arranged by ``distribute_for_write``.
     """
-    sort_by = list(sort_by or [])
     if partition_by:
-        keys = [partition_by, *sort_by]
-        if cluster:
-            df = df.repartitionByRange(*keys)
-        df = df.sortWithinPartitions(*keys)
+        df = distribute_for_write(df, partition_by, list(sort_by or []), distribute)
     w = df.write.mode("overwrite").format(fmt)
     if partition_by:
         w = w.partitionBy(partition_by)
@@ -216,7 +230,7 @@ def _rewrite_partitions(
     # files stay readable until the job commits, so retried tasks read them
     # intact.
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    out = merged.select(spark.table(table).columns).sortWithinPartitions(part, layout.date)
+    out = distribute_for_write(merged.select(spark.table(table).columns), part, [layout.date])
     out.write.insertInto(table, overwrite=True)
     for year in emptied:
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({part} = '{year}')")
