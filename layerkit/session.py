@@ -42,8 +42,11 @@ def _is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
 
+_FALLBACK: dict[int, str] = {}
+
+
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder for checkpoints and staged tables.
+    """The shared folder for checkpoints and staged data.
 
     Taken from ``spark.checkpoint.dir`` (the cluster names it). Only a local
     session without one gets a fresh temporary folder; a cluster session
@@ -51,12 +54,11 @@ def checkpoint_root(spark: SparkSession) -> str:
     the loss of that machine.
     """
     sc = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None) or _FALLBACK.get(id(sc))
     if not root:
         if not _is_local(spark):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-        root = tempfile.mkdtemp(prefix="layerkit-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _FALLBACK.setdefault(id(sc), tempfile.mkdtemp(prefix="layerkit-ckpt-"))
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
     return root

@@ -20,7 +20,6 @@ def spark():
         8,
         **{
             "spark.sql.warehouse.dir": f"{base}/warehouse",
-            "spark.checkpoint.dir": f"{base}/checkpoints",
             "spark.driver.extraJavaOptions": f"-Dderby.system.home={base}/derby",
         },
     )
