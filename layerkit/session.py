@@ -6,6 +6,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -83,10 +84,16 @@ def stage(df: DataFrame) -> DataFrame:
 def bounded_broadcast(df: DataFrame, max_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """``broadcast(df)`` when it holds at most ``max_rows`` rows, else ``df``.
 
-    The count is an action; call it on staged (checkpointed) or cheap-to-scan
-    frames. ``max_rows=None`` leaves the choice to the optimizer and AQE.
+    Meant for derived lists that are small in practice (distinct batch
+    markers, a per-run delta) but not bounded by construction. The frame is
+    persisted before the count, so the check and the join that follows
+    compute it once; a frame over the bound is released and joined by
+    shuffle. ``max_rows=None`` leaves the choice to the optimizer and AQE.
     """
     if max_rows is None:
         return df
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    if kept.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(kept)
+    kept.unpersist()
+    return df

@@ -113,6 +113,7 @@ def upsert_table(
     compat: bool = False,
     broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
     method: str = "auto",
+    distribute: str = "rebalance",
 ) -> dict[str, int]:
     """Merge the unseen batches of ``source`` into the partitioned ``table``.
 
@@ -122,7 +123,8 @@ def upsert_table(
     touches: decisions are taken against the whole target key set, the
     affected partitions are merged and staged in the checkpoint folder, then
     written with dynamic partition overwrite; a partition the merge empties
-    is dropped. Returns the inserted / updated row counts.
+    is dropped; ``distribute`` arranges the rewritten rows as in
+    ``write_full``. Returns the inserted / updated row counts.
     """
     if compat:
         rule = "differs"
@@ -132,7 +134,7 @@ def upsert_table(
     src = stage(merge_source(target, source, layout, compat, broadcast_rows))
     if method == "merge":
         return _merge_into(src, table, layout, rule, keep_year=compat)
-    return _rewrite_partitions(spark, table, target, src, layout, rule, compat, broadcast_rows)
+    return _rewrite_partitions(spark, table, target, src, layout, rule, compat, broadcast_rows, distribute)
 
 
 def _merge_into(src: DataFrame, table: str, layout: Layout, rule: str, keep_year: bool) -> dict[str, int]:
@@ -165,6 +167,7 @@ def _rewrite_partitions(
     rule: str,
     compat: bool,
     broadcast_rows: int | None,
+    distribute: str = "rebalance",
 ) -> dict[str, int]:
     key, part, version = layout.key, layout.partition, layout.version
     small = broadcast_rows is not None and src.limit(broadcast_rows + 1).count() <= broadcast_rows
@@ -230,7 +233,7 @@ def _rewrite_partitions(
     # files stay readable until the job commits, so retried tasks read them
     # intact.
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    out = distribute_for_write(merged.select(spark.table(table).columns), part, [layout.date])
+    out = distribute_for_write(merged.select(spark.table(table).columns), part, [layout.date], distribute)
     out.write.insertInto(table, overwrite=True)
     for year in emptied:
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({part} = '{year}')")
