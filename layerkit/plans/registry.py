@@ -8,6 +8,7 @@ Column names and types agree between the two.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,7 +34,8 @@ from layerkit.operators import (
 from layerkit.functions.messages import from_message
 from layerkit.plans import fixtures as fx
 from layerkit.session import scratch_path
-from layerkit.sinks.tables import write_messages
+from layerkit.plans import loads
+from layerkit.sinks.tables import create_namespace, upsert_table, write_full, write_messages
 from layerkit.sources.csv import read_feed_csv, read_records_csv
 from layerkit.sources.feed import feed_days, next_day
 from layerkit.streaming.drain import stream_source, stream_to_table
@@ -177,6 +179,38 @@ def q_stream_drain(spark, sf):
     return spark.read.parquet(sink).select(*L.raw, L.origin)
 
 
+def _namespace(spark: SparkSession, name: str) -> str:
+    """A fresh namespace whose tables live under the shared checkpoint folder."""
+    ns = f"lk_{name}_{uuid.uuid4().hex[:12]}"
+    create_namespace(spark, ns, scratch_path(spark, ns))
+    return ns
+
+
+def q_load_silver_table(spark, sf):
+    """L1 + L2 through tables: CSV export -> bronze table -> silver table."""
+    export = scratch_path(spark, "export")
+    _bronze(spark, sf).select(*L.raw).write.option("header", "true").option("escape", '"').csv(export)
+    b, s = _namespace(spark, "bronze"), _namespace(spark, "silver")
+    loads.initial_bronze(spark, export, b)
+    loads.initial_silver(spark, b, s)
+    return spark.table(f"{s}.complaints").select([c for c in L.typed_columns if c not in (L.origin, L.batch)])
+
+
+def _upsert_table(spark, sf, target: DataFrame, compat: bool) -> DataFrame:
+    ns = _namespace(spark, "silver")
+    write_full(target, f"{ns}.complaints", partition_by=V.partition, sort_by=[V.date])
+    upsert_table(spark, f"{ns}.complaints", fx.versions_bronze(spark, sf), V, compat=compat)
+    return spark.table(f"{ns}.complaints").select(V.typed_columns)
+
+
+def q_upsert_table_fresh(spark, sf):
+    return _upsert_table(spark, sf, fx.fresh_target(spark, sf), compat=False)
+
+
+def q_upsert_table_replay_compat(spark, sf):
+    return _upsert_table(spark, sf, fx.replay_target(spark, sf), compat=True)
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "valid_records": q_valid_records,
     "normalize": q_normalize,
@@ -203,6 +237,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "read_records_csv": q_read_records_csv,
     "read_feed_csv": q_read_feed_csv,
     "stream_drain": q_stream_drain,
+    "load_silver_table": q_load_silver_table,
+    "upsert_table_fresh": q_upsert_table_fresh,
+    "upsert_table_replay_compat": q_upsert_table_replay_compat,
 }
 
 
@@ -327,4 +364,10 @@ def oracle_sql() -> dict[str, str]:
         "read_records_csv": sil + f"SELECT {raw} FROM bronze",
         "read_feed_csv": sil + f"SELECT {feed_raw} FROM bronze",
         "stream_drain": sil + f"SELECT {raw}, 'kafka' AS {L.origin} FROM bronze",
+        "load_silver_table": sil
+        + "SELECT "
+        + ", ".join(c for c in L.typed_columns if c not in (L.origin, L.batch))
+        + " FROM silver",
+        "upsert_table_fresh": _upsert_sql(_fresh_target_ctes(), compat=False),
+        "upsert_table_replay_compat": _upsert_sql(_replay_target_ctes(), compat=True),
     }
