@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from layerkit.layout import COMPLAINTS, Layout
 from layerkit.operators.promote import normalize, valid_records
 from layerkit.operators.versions import latest_per_key, unseen_batches
-from layerkit.session import DEFAULT_BROADCAST_ROWS, stage
+from layerkit.session import DEFAULT_BROADCAST_ROWS, broadcast_fits, stage
 
 ACTION = "_action"
 _S = "__src_"
@@ -116,6 +116,8 @@ def upsert(
 
     ``stage_source`` checkpoints the prepared source in the shared checkpoint
     folder: it is read by two joins and a size check, and is computed once.
+    It is broadcast when within ``broadcast_rows`` rows and the default byte
+    bound (``session.DEFAULT_BROADCAST_BYTES``); otherwise both joins shuffle.
     """
     if compat:
         rule = "differs"
@@ -124,5 +126,5 @@ def upsert(
     if stage_source:
         src = stage(src)
         if broadcast_rows is not None:
-            small = src.limit(broadcast_rows + 1).count() <= broadcast_rows
+            small = broadcast_fits(src, broadcast_rows)
     return apply_merge(target, src, layout, rule, keep_year=compat, small_source=small, action_col=action_col)

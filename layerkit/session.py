@@ -9,11 +9,15 @@ import uuid
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Rows of a side we are willing to broadcast without asking the optimizer.
 # Batch lists and per-run deltas are far below this; anything larger joins by
 # shuffle.
 DEFAULT_BROADCAST_ROWS = 2_000_000
+# Estimated bytes of a side we are willing to broadcast (every executor holds
+# a copy): well under executor memory, far over a normal delta.
+DEFAULT_BROADCAST_BYTES = 512 * 1024 * 1024
 
 
 def local_session(cores: int | str = "*", partitions: int = 8, **conf) -> SparkSession:
@@ -81,19 +85,51 @@ def stage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` when it holds at most ``max_rows`` rows, else ``df``.
-
-    Meant for derived lists that are small in practice (distinct batch
+def _row_bytes(df: DataFrame) -> F.Column:
+    """Approximate in-memory bytes of a row: text and binary by length,
+    nested values by the length of their JSON, fixed-width values as 8."""
+    parts = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            parts.append(F.coalesce(F.octet_length(c), F.lit(0)))
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            parts.append(F.coalesce(F.octet_length(F.to_json(c)), F.lit(0)))
+        else:
+            parts.append(F.lit(8))
+    return sum(parts[1:], parts[0]) if parts else F.lit(0)
+
+
+def broadcast_fits(
+    df: DataFrame,
+    max_rows: int | None = DEFAULT_BROADCAST_ROWS,
+    max_bytes: int | None = DEFAULT_BROADCAST_BYTES,
+) -> bool:
+    """True when ``df`` is within both bounds (one aggregate pass over it)."""
+    if max_rows is None and max_bytes is None:
+        return False
+    n, size = df.agg(F.count(F.lit(1)), F.sum(_row_bytes(df).cast("long"))).first()
+    return (max_rows is None or n <= max_rows) and (max_bytes is None or (size or 0) <= max_bytes)
+
+
+def bounded_broadcast(
+    df: DataFrame,
+    max_rows: int | None = DEFAULT_BROADCAST_ROWS,
+    max_bytes: int | None = DEFAULT_BROADCAST_BYTES,
+) -> DataFrame:
+    """``broadcast(df)`` when it is within ``max_rows`` and ``max_bytes``,
+    else ``df``.
+
+    Meant for derived frames that are small in practice (distinct batch
     markers, a per-run delta) but not bounded by construction. The frame is
-    persisted before the count, so the check and the join that follows
-    compute it once; a frame over the bound is released and joined by
+    persisted before the check, so the check and the join that follows
+    compute it once; a frame over the bounds is released and joined by
     shuffle. ``max_rows=None`` leaves the choice to the optimizer and AQE.
     """
     if max_rows is None:
         return df
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    if kept.limit(max_rows + 1).count() <= max_rows:
+    if broadcast_fits(kept, max_rows, max_bytes):
         return F.broadcast(kept)
     kept.unpersist()
     return df

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from layerkit.layout import COMPLAINTS, Layout
 from layerkit.operators.upsert import _replaces, apply_merge, merge_source
-from layerkit.session import DEFAULT_BROADCAST_ROWS, stage
+from layerkit.session import DEFAULT_BROADCAST_ROWS, broadcast_fits, stage
 from layerkit.streaming.messages import encode_messages
 
 
@@ -170,7 +170,7 @@ def _rewrite_partitions(
     distribute: str = "rebalance",
 ) -> dict[str, int]:
     key, part, version = layout.key, layout.partition, layout.version
-    small = broadcast_rows is not None and src.limit(broadcast_rows + 1).count() <= broadcast_rows
+    small = broadcast_rows is not None and broadcast_fits(src, broadcast_rows)
 
     # 1. Decide every source row against the whole target through a narrow
     #    scan of (key, version, partition). One decision row per updated
