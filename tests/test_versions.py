@@ -55,3 +55,31 @@ def test_batch_lists(spark):
     tgt = frame(spark, [("1", "a", T1)])
     assert [r[0] for r in batches(base, L).collect()] == [T3, T2, T1]
     assert [r[0] for r in missing_batches(base, tgt, L).collect()] == [T3, T2]
+
+
+def test_unseen_batches_literal_and_join_forms_agree(spark):
+    src = frame(spark, [("1", "a", T1), ("2", "b", T2), ("3", "c", None), ("4", "d", T3)])
+    tgt = frame(spark, [("9", "z", T1), ("8", "y", None)])
+    by_filter = sorted(r.complaint_id for r in unseen_batches(src, tgt, L).collect())
+    by_join = sorted(r.complaint_id for r in unseen_batches(src, tgt, L, max_markers=0).collect())
+    over_bound = sorted(r.complaint_id for r in unseen_batches(src, tgt, L, max_markers=1).collect())
+    assert by_filter == by_join == over_bound == ["2", "3", "4"]
+
+
+def test_unseen_batches_ntz_markers_and_pushdown(spark, tmp):
+    import contextlib
+    import io
+
+    from pyspark.sql import functions as F
+
+    df = frame(spark, [("1", "a", T1), ("2", "b", T2)]).withColumn("creation_time", F.col("creation_time").cast("timestamp_ntz"))
+    for t in (T1, T2):
+        df.where(F.col("creation_time") == F.lit(t).cast("timestamp_ntz")).write.mode("append").parquet(f"{tmp}/b")
+    src = spark.read.parquet(f"{tmp}/b")
+    tgt = src.where(F.col("complaint_id") == "1")
+    got = unseen_batches(src, tgt, L)
+    assert [r.complaint_id for r in got.collect()] == ["2"]
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        got.explain()
+    assert "PushedFilters: [Or(EqualTo(creation_time" in out.getvalue()
