@@ -32,7 +32,6 @@ from layerkit.operators.promote import normalize, valid_records
 from layerkit.operators.versions import latest_per_key, unseen_batches
 from layerkit.session import DEFAULT_BROADCAST_ROWS, broadcast_fits, stage
 
-ACTION = "_action"
 _S = "__src_"
 
 
@@ -50,7 +49,9 @@ def merge_source(
     return latest_per_key(normalize(fresh, layout), layout)
 
 
-def _replaces(rule: str, src_version: Column, tgt_version: Column) -> Column:
+def replaces(rule: str, src_version: Column, tgt_version: Column) -> Column:
+    """Whether a source version replaces a target version under ``rule``
+    (false when either is NULL)."""
     if rule == "newer":
         cond = src_version > tgt_version
     elif rule == "differs":
@@ -77,7 +78,7 @@ def apply_merge(
     if small_source:
         s = F.broadcast(s)
     joined = target.select(cols).join(s, F.col(key) == F.col(_S + key), "left_outer")
-    upd = _replaces(rule, F.col(_S + version), F.col(version))
+    upd = replaces(rule, F.col(_S + version), F.col(version))
 
     def pick(c: str) -> Column:
         if c == key or (keep_year and c == layout.partition):

@@ -88,9 +88,13 @@ def initial_gold(
     layout: Layout = COMPLAINTS,
     fmt: str = "parquet",
     location: str | None = None,
-    distribute: str = "rebalance",
+    distribute: str = "none",
 ) -> dict:
-    """L3: silver -> gold (full reload)."""
+    """L3: silver -> gold (full reload).
+
+    Silver is already partitioned by year, so each input split holds one
+    year: written without a shuffle, every task produces one file.
+    """
     create_namespace(spark, gold_ns, location)
     gold = promote_gold(spark.table(_t(silver_ns)), layout)
     write_full(gold, _t(gold_ns), fmt, layout.partition, [layout.date], distribute)

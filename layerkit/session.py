@@ -34,6 +34,8 @@ def local_session(cores: int | str = "*", partitions: int = 8, **conf) -> SparkS
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Remove checkpoint files once the staged frames are released
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         # Timestamps with min/max statistics, so batch-marker filters skip files
         .config("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
     )

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerkit.layout import COMPLAINTS, Layout
-from layerkit.operators.upsert import _replaces, apply_merge, merge_source
+from layerkit.operators.upsert import apply_merge, merge_source, replaces
 from layerkit.session import DEFAULT_BROADCAST_ROWS, broadcast_fits, stage
 from layerkit.streaming.messages import encode_messages
 
@@ -21,6 +21,14 @@ def create_namespace(spark: SparkSession, name: str, location: str | None = None
     spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {name}{loc}")
 
 
+def list_namespaces(spark: SparkSession) -> list[str]:
+    return [d.name for d in spark.catalog.listDatabases()]
+
+
+def drop_table(spark: SparkSession, table: str) -> None:
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
 def distribute_for_write(df: DataFrame, partition_by: str, sort_by: list[str], how: str = "rebalance") -> DataFrame:
     """Arrange rows for a partitioned write.
 
@@ -181,7 +189,7 @@ def _rewrite_partitions(
     if small:
         s = F.broadcast(s)
     matched = narrow.join(s, F.col(key) == F.col("_s_" + key), "inner")
-    updates = matched.where(_replaces(rule, F.col("_s_" + version), F.col(version))).select(
+    updates = matched.where(replaces(rule, F.col("_s_" + version), F.col(version))).select(
         key,
         F.lit("update").alias("action"),
         F.col(part).alias("old"),
