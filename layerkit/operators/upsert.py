@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from layerkit.layout import COMPLAINTS, Layout
 from layerkit.operators.promote import normalize, valid_records
 from layerkit.operators.versions import latest_per_key, unseen_batches
-from layerkit.session import DEFAULT_BROADCAST_ROWS, broadcast_fits, stage
+from layerkit.session import DEFAULT_BROADCAST_ROWS, stage_measured
 
 _S = "__src_"
 
@@ -125,7 +125,5 @@ def upsert(
     src = merge_source(target, source, layout, compat, broadcast_rows)
     small = False
     if stage_source:
-        src = stage(src)
-        if broadcast_rows is not None:
-            small = broadcast_fits(src, broadcast_rows)
+        src, small = stage_measured(src, broadcast_rows)
     return apply_merge(target, src, layout, rule, keep_year=compat, small_source=small, action_col=action_col)

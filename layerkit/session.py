@@ -7,7 +7,7 @@ import tempfile
 import uuid
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -104,6 +104,12 @@ def _row_bytes(df: DataFrame) -> F.Column:
     return sum(parts[1:], parts[0]) if parts else F.lit(0)
 
 
+def _within(rows: int, size: int, max_rows: int | None, max_bytes: int | None) -> bool:
+    if max_rows is None and max_bytes is None:
+        return False
+    return (max_rows is None or rows <= max_rows) and (max_bytes is None or size <= max_bytes)
+
+
 def broadcast_fits(
     df: DataFrame,
     max_rows: int | None = DEFAULT_BROADCAST_ROWS,
@@ -113,7 +119,24 @@ def broadcast_fits(
     if max_rows is None and max_bytes is None:
         return False
     n, size = df.agg(F.count(F.lit(1)), F.sum(_row_bytes(df).cast("long"))).first()
-    return (max_rows is None or n <= max_rows) and (max_bytes is None or (size or 0) <= max_bytes)
+    return _within(n, size or 0, max_rows, max_bytes)
+
+
+def stage_measured(
+    df: DataFrame,
+    max_rows: int | None = DEFAULT_BROADCAST_ROWS,
+    max_bytes: int | None = DEFAULT_BROADCAST_BYTES,
+) -> tuple[DataFrame, bool]:
+    """``stage(df)`` plus whether the result fits a broadcast.
+
+    Rows and estimated bytes are observed while the checkpoint job runs, so
+    the size check costs no extra pass.
+    """
+    obs = Observation("layerkit_stage")
+    measured = df.observe(obs, F.count(F.lit(1)).alias("rows"), F.sum(_row_bytes(df).cast("long")).alias("bytes"))
+    staged = stage(measured)
+    m = obs.get
+    return staged, _within(m["rows"], m["bytes"] or 0, max_rows, max_bytes)
 
 
 def bounded_broadcast(

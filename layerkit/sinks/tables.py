@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from layerkit.layout import COMPLAINTS, Layout
 from layerkit.operators.upsert import apply_merge, merge_source, replaces
-from layerkit.session import DEFAULT_BROADCAST_ROWS, broadcast_fits, stage
+from layerkit.session import DEFAULT_BROADCAST_ROWS, stage, stage_measured
 from layerkit.streaming.messages import encode_messages
 
 
@@ -139,10 +139,10 @@ def upsert_table(
     if method == "auto":
         method = "merge" if _provider(spark, table) in V2_FORMATS else "rewrite"
     target = spark.table(table)
-    src = stage(merge_source(target, source, layout, compat, broadcast_rows))
+    src, small = stage_measured(merge_source(target, source, layout, compat, broadcast_rows), broadcast_rows)
     if method == "merge":
         return _merge_into(src, table, layout, rule, keep_year=compat)
-    return _rewrite_partitions(spark, table, target, src, layout, rule, compat, broadcast_rows, distribute)
+    return _rewrite_partitions(spark, table, target, src, layout, rule, compat, small, distribute)
 
 
 def _merge_into(src: DataFrame, table: str, layout: Layout, rule: str, keep_year: bool) -> dict[str, int]:
@@ -174,11 +174,10 @@ def _rewrite_partitions(
     layout: Layout,
     rule: str,
     compat: bool,
-    broadcast_rows: int | None,
+    small: bool,
     distribute: str = "rebalance",
 ) -> dict[str, int]:
     key, part, version = layout.key, layout.partition, layout.version
-    small = broadcast_rows is not None and broadcast_fits(src, broadcast_rows)
 
     # 1. Decide every source row against the whole target through a narrow
     #    scan of (key, version, partition). One decision row per updated

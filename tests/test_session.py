@@ -3,7 +3,7 @@ import io
 
 from pyspark.sql import functions as F
 
-from layerkit.session import bounded_broadcast, broadcast_fits, checkpoint_root, scratch_path, stage
+from layerkit.session import bounded_broadcast, broadcast_fits, checkpoint_root, scratch_path, stage, stage_measured
 
 
 def test_broadcast_bounds_rows_and_bytes(spark):
@@ -35,3 +35,13 @@ def test_checkpoint_folder_comes_from_session(spark):
     assert scratch_path(spark, "x").startswith(root.rstrip("/") + "/scratch/x-")
     staged = stage(spark.range(5))
     assert staged.count() == 5
+
+
+def test_stage_measured(spark):
+    df = spark.range(100).select(F.repeat(F.lit("y"), 10).alias("t"))
+    staged, small = stage_measured(df, 1000, 10_000)
+    assert small and staged.count() == 100
+    _, small = stage_measured(df, 1000, 500)  # 1000 bytes of text
+    assert not small
+    _, small = stage_measured(df, 10, None)
+    assert not small
