@@ -130,8 +130,11 @@ def stage_measured(
     """``stage(df)`` plus whether the result fits a broadcast.
 
     Rows and estimated bytes are observed while the checkpoint job runs, so
-    the size check costs no extra pass.
+    the size check costs no extra pass. ``max_rows=None`` never forces a
+    broadcast (the optimizer and AQE decide).
     """
+    if max_rows is None:
+        return stage(df), False
     obs = Observation("layerkit_stage")
     measured = df.observe(obs, F.count(F.lit(1)).alias("rows"), F.sum(_row_bytes(df).cast("long")).alias("bytes"))
     staged = stage(measured)

@@ -45,3 +45,5 @@ def test_stage_measured(spark):
     assert not small
     _, small = stage_measured(df, 10, None)
     assert not small
+    _, small = stage_measured(df, None, 10**9)
+    assert not small
