@@ -321,8 +321,10 @@ def oracle_sql() -> dict[str, str]:
     bronze_cols = ", ".join(L.bronze_columns)
     typed_cols = ", ".join(L.typed_columns)
     sil = _with(**_SILVER_CTES)
+    # present headers: empty fields read as empty text; the dropped one is NULL
     feed_raw = ", ".join(
-        ("CAST(NULL AS VARCHAR) AS " + c) if h == FEED_DROPPED else c for h, c in L.feed_headers
+        ("CAST(NULL AS VARCHAR) AS " + c) if h == FEED_DROPPED else f"COALESCE({c}, '') AS {c}"
+        for h, c in L.feed_headers
     )
     fresh = _with(**_fresh_target_ctes())
     vers = _with(**_versions_ctes())

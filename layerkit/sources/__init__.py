@@ -1,5 +1,5 @@
 from layerkit.sources.csv import parse_feed_text, read_feed_csv, read_records_csv, select_by_header
-from layerkit.sources.feed import day_range, feed_days, ingest_feed, next_day
+from layerkit.sources.feed import day_range, feed_days, ingest_feed, land_days, landing_fetcher, next_day
 
 __all__ = [
     "parse_feed_text",
@@ -9,5 +9,7 @@ __all__ = [
     "day_range",
     "feed_days",
     "ingest_feed",
+    "land_days",
+    "landing_fetcher",
     "next_day",
 ]

@@ -50,11 +50,21 @@ def read_records_csv(
     return _spread(df, partitions)
 
 
-def select_by_header(df: DataFrame, layout: Layout = COMPLAINTS) -> DataFrame:
-    """Map display headers to raw column names; absent headers become NULL."""
+def select_by_header(df: DataFrame, layout: Layout = COMPLAINTS, empty_as_null: bool = False) -> DataFrame:
+    """Map display headers to raw column names; absent headers become NULL.
+
+    Empty fields of present headers read as empty text, as a plain CSV
+    dictionary reader gives them (Spark's reader would give NULL); pass
+    ``empty_as_null=True`` to keep NULL.
+    """
     present = set(df.columns)
+
+    def field(h: str):
+        c = F.col(f"`{h}`").cast("string")
+        return c if empty_as_null else F.coalesce(c, F.lit(""))
+
     cols = [
-        (F.col(f"`{h}`") if h in present else F.lit(None)).cast("string").alias(name)
+        (field(h) if h in present else F.lit(None).cast("string")).alias(name)
         for h, name in layout.feed_headers
     ]
     return df.select(cols)
@@ -65,22 +75,26 @@ def read_feed_csv(
     path: str | list[str],
     layout: Layout = COMPLAINTS,
     partitions: int | None = None,
+    empty_as_null: bool = False,
 ) -> DataFrame:
     """Header-mapped CSV read. All files of one call share one header line
     (Spark takes column names from the first file); read differently shaped
-    landings in separate calls and union them by name."""
+    landings in separate calls and union them by name. A short row's
+    missing fields read as empty text here (a dictionary reader gives NULL)."""
     df = (
         spark.read.options(**_CSV)
         .option("header", "true")
         .option("inferSchema", "false")
         .csv(path)
     )
-    return _spread(select_by_header(df, layout), partitions)
+    return _spread(select_by_header(df, layout, empty_as_null), partitions)
 
 
 def parse_feed_text(text: str, layout: Layout = COMPLAINTS) -> list[tuple]:
     """Parse one fetched CSV page inside a task: rows as tuples in raw column
-    order, matched by header name (a small per-page helper for ``ingest_feed``)."""
+    order, matched by header name (a small per-page helper for ``ingest_feed``).
+    Empty fields are empty text; absent headers and a short row's missing
+    fields are NULL."""
     reader = csv.DictReader(io.StringIO(text))
     present = set(reader.fieldnames or [])
     headers = [h for h, _ in layout.feed_headers]

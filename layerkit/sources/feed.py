@@ -83,3 +83,47 @@ def ingest_feed(
 
     spread = days.repartition(parallelism, "day") if parallelism else days
     return spread.mapInPandas(run, schema)
+
+
+def land_days(rows: DataFrame, root: str, layout: Layout = COMPLAINTS) -> None:
+    """Land raw rows as feed pages: CSV with display headers under
+    ``root/day=YYYY-MM-DD/``, the day being the record date. No shuffle: each
+    task writes its own file per day, so a busy day is spread over tasks."""
+    cols = [F.col(c).alias(h) for h, c in layout.feed_headers if c in rows.columns]
+    (
+        rows.select(*cols, safe_date(layout.date).alias("day"))
+        .where(F.col("day").isNotNull())
+        .write.partitionBy("day")
+        .option("header", "true")
+        .option("escape", '"')
+        .csv(root)
+    )
+
+
+def landing_fetcher(root: str) -> Callable[[dt.date], str]:
+    """A ``fetch(day)`` for ``ingest_feed`` that returns the CSV page(s) landed
+    under ``root/day=YYYY-MM-DD/`` as one text (one header, then every
+    file's records); an absent day is an empty page. Reads through
+    ``pyarrow.fs``, so local paths and object-store URIs both work."""
+
+    def fetch(day: dt.date) -> str:
+        import pyarrow.fs as pafs
+
+        if "://" in root:
+            fs, base = pafs.FileSystem.from_uri(root)
+        else:
+            fs, base = pafs.LocalFileSystem(), root
+        sel = pafs.FileSelector(f"{base.rstrip('/')}/day={day.isoformat()}", allow_not_found=True)
+        files = sorted(i.path for i in fs.get_file_info(sel) if i.is_file and i.base_name.endswith(".csv"))
+        pages = []
+        for path in files:
+            with fs.open_input_stream(path) as f:
+                pages.append(f.read().decode("utf-8"))
+        pages = [p for p in pages if p]
+        if not pages:
+            return ""
+        # every file starts with the same header line; keep the first only
+        bodies = [p.split("\n", 1)[1] if "\n" in p else "" for p in pages[1:]]
+        return "".join([pages[0], *bodies])
+
+    return fetch

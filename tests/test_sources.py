@@ -61,9 +61,10 @@ def test_parse_feed_text_matches_reader(spark, tmp):
     assert rows[1][L.raw.index("state")] == "N\nY"
     path = write(tmp, "p.csv", text)
     spark_rows = [tuple(r) for r in read_feed_csv(spark, path).collect()]
-    # Spark reads the empty unquoted field as NULL, Python's reader as ""
-    norm = [tuple(None if v == "" else v for v in r) for r in rows]
-    assert sorted(spark_rows, key=str) == sorted(norm, key=str)
+    assert sorted(spark_rows, key=str) == sorted(rows, key=str)
+    # empty fields as NULL on request
+    nulls = [tuple(r) for r in read_feed_csv(spark, path, empty_as_null=True).collect()]
+    assert sorted(nulls, key=str) == sorted((tuple(None if v == "" else v for v in r) for r in rows), key=str)
 
 
 def test_next_day_and_empty_layer(spark):
@@ -97,3 +98,20 @@ def test_ingest_feed_runs_one_fetch_per_day(spark):
     assert {r.company for r in got} == {"A", "B, Inc"}
     assert all(r.date_received == str(r.day) for r in got)
     assert rows.columns == [*L.raw, "day"]
+
+
+def test_landed_pages_round_trip(spark, tmp):
+    from layerkit.sources import land_days, landing_fetcher
+
+    rows = spark.createDataFrame(
+        [("2024-01-01", "A", "1"), ("2024-01-01", "B, Inc", "2"), ("2024-01-03", 'say "hi"', "3"), ("bad", "C", "4")],
+        "date_received string, company string, complaint_id string",
+    )
+    land_days(rows.repartition(2), f"{tmp}/land")
+    fetch = landing_fetcher(f"{tmp}/land")
+    got = ingest_feed(day_range(spark, "2024-01-01", "2024-01-05"), fetch, parallelism=2).collect()
+    by_id = {r.complaint_id: r for r in got}
+    assert set(by_id) == {"1", "2", "3"}  # the undated record has no page
+    assert by_id["3"].company == 'say "hi"' and by_id["2"].company == "B, Inc"
+    assert by_id["1"].issue is None  # a header the page does not carry
+    assert fetch(dt.date(2024, 1, 2)) == ""
