@@ -72,6 +72,7 @@ def versions_fixture(spark: SparkSession, sf_dir: str, layout: Layout = VERSIONS
         "date_received": F.date_format("ts", "yyyy-MM-dd"),
         "product": F.col("event_type"),
         "complaint_what_happened": F.col("props"),
+        "date_sent_to_company": F.date_format(F.date_add(F.to_date("ts"), 1), "yyyy-MM-dd"),
         "complaint_id": F.col("user_id").cast("string"),
         "event_id": F.col("event_id"),
         layout.origin: F.lit("events"),
@@ -135,6 +136,7 @@ def versions_sql(layout: Layout = VERSIONS) -> str:
         "date_received": "strftime(ts, '%Y-%m-%d')",
         "product": "event_type",
         "complaint_what_happened": "props",
+        "date_sent_to_company": "strftime(CAST(ts AS DATE) + 1, '%Y-%m-%d')",
         "complaint_id": "CAST(user_id AS VARCHAR)",
         "event_id": "event_id",
         layout.origin: "'events'",

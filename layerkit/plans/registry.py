@@ -316,7 +316,36 @@ def _upsert_sql(ctes: dict[str, str], compat: bool) -> str:
     )
 
 
+# Date-typed output columns. The oracle renders them as ISO text: same values,
+# but DuckDB hands DATE to pandas as datetime64 while Spark hands it over as
+# datetime.date, and ISO text compares and hashes like the latter however the
+# two results are normalised.
+_DATED = {
+    "normalize": L.dates,
+    "promote_gold": L.dates,
+    "year_slice": L.dates,
+    "next_day": ("next_date",),
+    "feed_days": ("day",),
+    "upsert_fresh": V.dates,
+    "upsert_replay": V.dates,
+    "upsert_replay_compat": V.dates,
+    "load_silver_table": L.dates,
+    "upsert_table_fresh": V.dates,
+    "upsert_table_replay_compat": V.dates,
+}
+
+
+def _iso_dates(sql: str, cols: tuple[str, ...]) -> str:
+    repl = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in cols)
+    return f"SELECT * REPLACE ({repl}) FROM (\n{sql}\n) AS q"
+
+
 def oracle_sql() -> dict[str, str]:
+    out = _oracle_sql()
+    return {k: _iso_dates(v, _DATED[k]) if k in _DATED else v for k, v in out.items()}
+
+
+def _oracle_sql() -> dict[str, str]:
     raw = ", ".join(L.raw)
     bronze_cols = ", ".join(L.bronze_columns)
     typed_cols = ", ".join(L.typed_columns)
