@@ -56,8 +56,8 @@ def initial_bronze(
     """L1: CSV export -> bronze (full reload), then its marts."""
     create_namespace(spark, namespace, location)
     rows = stamp_batch(read_records_csv(spark, csv_path, layout), "csv", at, layout)
-    write_full(rows.select(layout.bronze_columns), _t(namespace), fmt)
-    return {"rows": spark.table(_t(namespace)).count(), "marts": layer_marts(spark, namespace, layout, fmt)}
+    n = write_full(rows.select(layout.bronze_columns), _t(namespace), fmt)
+    return {"rows": n, "marts": layer_marts(spark, namespace, layout, fmt)}
 
 
 def initial_silver(
@@ -72,10 +72,10 @@ def initial_silver(
     """L2: bronze -> silver (full reload) in one pass and one partitioned write."""
     create_namespace(spark, silver_ns, location)
     silver = to_silver(spark.table(_t(bronze_ns)), layout)
-    write_full(silver, _t(silver_ns), fmt, layout.partition, [layout.date], distribute)
+    n = write_full(silver, _t(silver_ns), fmt, layout.partition, [layout.date], distribute)
     table = spark.table(_t(silver_ns))
     return {
-        "rows": table.count(),
+        "rows": n,
         "years": {r[0]: r[1] for r in year_profile(table, layout).collect()},
         "marts": layer_marts(spark, silver_ns, layout, fmt),
     }
@@ -97,8 +97,8 @@ def initial_gold(
     """
     create_namespace(spark, gold_ns, location)
     gold = promote_gold(spark.table(_t(silver_ns)), layout)
-    write_full(gold, _t(gold_ns), fmt, layout.partition, [layout.date], distribute)
-    return {"rows": spark.table(_t(gold_ns)).count(), "marts": layer_marts(spark, gold_ns, layout, fmt)}
+    n = write_full(gold, _t(gold_ns), fmt, layout.partition, [layout.date], distribute)
+    return {"rows": n, "marts": layer_marts(spark, gold_ns, layout, fmt)}
 
 
 def initial_all(
@@ -144,9 +144,7 @@ def feed_to_bronze(
     """L5: fetch every day after the newest loaded one, up to (excluding)
     ``stop``, and append them to bronze as one batch."""
     rows = stamp_batch(_feed_rows(spark, bronze_ns, fetch, stop, layout, default_start, parallelism), "api", None, layout)
-    before = spark.table(_t(bronze_ns)).count()
-    append_batch(rows.select(layout.bronze_columns), _t(bronze_ns), fmt)
-    return {"appended": spark.table(_t(bronze_ns)).count() - before}
+    return {"appended": append_batch(rows.select(layout.bronze_columns), _t(bronze_ns), fmt)}
 
 
 def feed_to_messages(

@@ -7,7 +7,7 @@ table provider used when a table is created (``parquet`` here; ``delta`` or
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from layerkit.layout import COMPLAINTS, Layout
@@ -57,35 +57,46 @@ def write_full(
     partition_by: str | None = None,
     sort_by: list[str] | None = None,
     distribute: str = "rebalance",
-) -> None:
-    """Replace ``table`` with ``df`` in one atomic write.
+) -> int:
+    """Replace ``table`` with ``df`` in one atomic write; returns the rows
+    written (observed during the write, no second pass).
 
     With ``partition_by`` all partitions are written by one job (not one job
     per partition value); rows are arranged by ``distribute_for_write``.
     """
+    df, obs = _counted(df)
     if partition_by:
         df = distribute_for_write(df, partition_by, list(sort_by or []), distribute)
     w = df.write.mode("overwrite").format(fmt)
     if partition_by:
         w = w.partitionBy(partition_by)
     w.saveAsTable(table)
+    return obs.get["rows"]
+
+
+def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
+    obs = Observation("layerkit_rows")
+    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
 V2_FORMATS = ("delta", "iceberg")
 
 
-def append_batch(df: DataFrame, table: str, fmt: str = "parquet") -> None:
-    """Append by column name; create the table on first use.
+def append_batch(df: DataFrame, table: str, fmt: str = "parquet") -> int:
+    """Append by column name; create the table on first use. Returns the
+    rows appended.
 
     Tables of the v2 formats go through ``writeTo(...).append()``; plain file
     tables, which that path refuses, through ``saveAsTable`` in append mode,
     which also matches columns by name.
     """
     spark = df.sparkSession
+    df, obs = _counted(df)
     if spark.catalog.tableExists(table) and _provider(spark, table) in V2_FORMATS:
         df.writeTo(table).append()
     else:
         df.write.mode("append").format(fmt).saveAsTable(table)
+    return obs.get["rows"]
 
 
 def write_messages(
@@ -250,9 +261,4 @@ def _rewrite_partitions(
 
 def write_marts(marts: dict[str, DataFrame], namespace: str, fmt: str = "parquet") -> dict[str, int]:
     """Write each mart as ``namespace.<mart>`` and return their row counts."""
-    counts = {}
-    for name, df in marts.items():
-        table = f"{namespace}.{name}"
-        write_full(df, table, fmt)
-        counts[name] = df.sparkSession.table(table).count()
-    return counts
+    return {name: write_full(df, f"{namespace}.{name}", fmt) for name, df in marts.items()}
