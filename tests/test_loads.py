@@ -121,3 +121,25 @@ def test_feed_and_stream_to_bronze(spark, tmp):
     kafka = spark.table("t3_bronze.complaints").where("data_source = 'kafka'")
     assert sorted(r.complaint_id for r in kafka.collect()) == ["2024-01-08-x", "2024-01-09-x"]
     assert rep["marts"]["summary_by_year"] == 1
+
+
+def test_initial_all_small_export(spark, tmp):
+    header = ",".join(h for h, _ in L.feed_headers)  # display names; ignored (positional)
+    rows = [
+        ["2021-02-03", "P", "", "", "", 'text with, comma and\nnewline', "", "Acme", "CA", "", "", "Web", "2021-02-04", "Closed", "Yes", "1"],
+        ["2022-07-08", "P", "", "", "", "", "", "Beta", "NY", "", "", "Web", "bad", "Closed", "No", "2"],
+        ["nope", "P", "", "", "", "", "", "Beta", "NY", "", "", "Web", "", "Closed", "No", "3"],
+    ]
+
+    def q(v):
+        return '"' + v.replace('"', '""') + '"' if any(ch in v for ch in ',"\n') else v
+
+    with open(f"{tmp}/export.csv", "w") as f:
+        f.write(header + "\n" + "\n".join(",".join(q(v) for v in r) for r in rows) + "\n")
+    rep = loads.initial_all(spark, f"{tmp}/export.csv", ("t4_b", "t4_s", "t4_g"))
+    assert rep["bronze"]["rows"] == 3 and rep["silver"]["rows"] == 2 and rep["gold"]["rows"] == 2
+    assert rep["silver"]["years"] == {"2021": 1, "2022": 1}
+    assert rep["bronze"]["marts"] == {"company": 2, "summary_by_state": 2, "summary_by_year": 3}
+    g = {r.complaint_id: r for r in spark.table("t4_g.complaints").collect()}
+    assert g["1"].complaint_what_happened == "text with, comma and\nnewline"
+    assert g["2"].date_sent_to_company is None and g["1"].date_sent_to_company == dt.date(2021, 2, 4)
