@@ -158,13 +158,16 @@ def upsert_table(
 
 def _merge_into(src: DataFrame, table: str, layout: Layout, rule: str, keep_year: bool) -> dict[str, int]:
     key, version = layout.key, layout.version
-    t, s = F.col(f"target.{key}"), F.col(f"source.{key}")
-    sv, tv = F.col(f"source.{version}"), F.col(f"target.{version}")
+    # mergeInto does not alias the target: its columns are qualified by the
+    # table's own name.
+    tq = table.split(".")[-1].strip("`")
+    t, s = F.col(f"`{tq}`.`{key}`"), F.col(f"source.`{key}`")
+    sv, tv = F.col(f"source.`{version}`"), F.col(f"`{tq}`.`{version}`")
     changed = sv > tv if rule == "newer" else sv != tv
-    sets = {c: F.col(f"source.{c}") for c in layout.typed_columns if c != key}
+    sets = {c: F.col(f"source.`{c}`") for c in layout.typed_columns if c != key}
     if keep_year:
         sets.pop(layout.partition)
-    cols = {c: F.col(f"source.{c}") for c in layout.typed_columns}
+    cols = {c: F.col(f"source.`{c}`") for c in layout.typed_columns}
     (
         src.alias("source")
         .mergeInto(table, t == s)
