@@ -201,17 +201,17 @@ def _rewrite_partitions(
     s = src.select(*[F.col(c).alias("_s_" + c) for c in (key, version, part)])
     if small:
         s = F.broadcast(s)
-    matched = narrow.join(s, F.col(key) == F.col("_s_" + key), "inner")
+    # The one pass over the target: rows whose key the source names (at most
+    # the target rows of those keys), staged so both decisions read it.
+    matched = stage(narrow.join(s, F.col(key) == F.col("_s_" + key), "inner"))
     updates = matched.where(replaces(rule, F.col("_s_" + version), F.col(version))).select(
         key,
         F.lit("update").alias("action"),
         F.col(part).alias("old"),
         F.col(part if compat else "_s_" + part).alias("new"),
     )
-    tkeys = narrow.select(key)
-    if small:
-        tkeys = tkeys.join(F.broadcast(src.select(key)), key, "left_semi")
-    inserts = src.join(tkeys.distinct(), key, "left_anti").select(
+    hit = matched.select(key).distinct()
+    inserts = src.join(F.broadcast(hit) if small else hit, key, "left_anti").select(
         key, F.lit("insert").alias("action"), F.lit(None).cast("string").alias("old"), F.col(part).alias("new")
     )
     decisions = stage(updates.unionByName(inserts))
