@@ -83,3 +83,27 @@ def test_unseen_batches_ntz_markers_and_pushdown(spark, tmp):
     with contextlib.redirect_stdout(out):
         got.explain()
     assert "PushedFilters: [Or(EqualTo(creation_time" in out.getvalue()
+
+
+def test_unseen_markers_exact_across_time_zones(spark):
+    """Markers travel as microseconds: two instants that print alike in a
+    local zone (the repeated hour when clocks go back) stay distinct."""
+    from pyspark.sql import functions as F
+
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        # 05:30 and 06:30 UTC are both 01:30 local on 2024-11-03
+        a = F.timestamp_micros(F.lit(1730611800000000))  # 2024-11-03 05:30:00 UTC
+        b = F.timestamp_micros(F.lit(1730615400000000))  # 2024-11-03 06:30:00 UTC
+        src = spark.range(4).select(
+            F.col("id").cast("string").alias("complaint_id"),
+            F.lit("v").alias("v"),
+            F.lit("x").alias("data_source"),
+            F.when(F.col("id") < 2, a).otherwise(b).alias("creation_time"),
+        )
+        tgt = src.where(F.col("complaint_id") < "2")  # holds marker a only
+        got = sorted(r.complaint_id for r in unseen_batches(src, tgt, L).collect())
+        assert got == ["2", "3"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
