@@ -139,11 +139,12 @@ def upsert_table(
     ``method="merge"`` (auto for delta / iceberg tables) runs ``MERGE INTO``
     through ``DataFrame.mergeInto``. ``method="rewrite"`` (auto for plain
     file tables, which cannot MERGE) rewrites only the partitions the merge
-    touches: decisions are taken against the whole target key set, the
-    affected partitions are merged and staged in the checkpoint folder, then
-    written with dynamic partition overwrite; a partition the merge empties
-    is dropped; ``distribute`` arranges the rewritten rows as in
-    ``write_full``. Returns the inserted / updated row counts.
+    touches: decisions are taken against one narrow pass over the whole
+    target and staged in the checkpoint folder, then only the affected
+    partitions are merged and written with dynamic partition overwrite; a
+    partition the merge empties is dropped; ``distribute`` arranges the
+    rewritten rows as in ``write_full``. Returns the inserted / updated row
+    counts.
     """
     if compat:
         rule = "differs"
@@ -252,10 +253,15 @@ def _rewrite_partitions(
     merged = apply_merge(target.where(in_affected), effective, layout, rule, compat, small)
     # Dynamic partition overwrite replaces only the partitions written; the old
     # files stay readable until the job commits, so retried tasks read them
-    # intact.
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    # intact. The mode is set for this write only.
     out = distribute_for_write(merged.select(spark.table(table).columns), part, [layout.date], distribute)
-    out.write.insertInto(table, overwrite=True)
+    mode_key = "spark.sql.sources.partitionOverwriteMode"
+    previous = spark.conf.get(mode_key)
+    spark.conf.set(mode_key, "dynamic")
+    try:
+        out.write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set(mode_key, previous)
     for year in emptied:
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({part} = '{year}')")
     spark.catalog.refreshTable(table)
