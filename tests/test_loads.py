@@ -199,3 +199,14 @@ def test_upsert_leaves_session_overwrite_mode_alone(spark):
     append_batch(spark.createDataFrame([_rec("b", "2002-01-01", t2)], _schema()), "t7_bronze.complaints")
     assert loads.incremental_silver(spark, "t7_bronze", "t7_silver")["inserted"] == 1
     assert spark.conf.get(key) == before
+
+
+def test_job_entry_point(spark, tmp):
+    from layerkit.__main__ import run
+
+    csv = land_csv(spark, tmp)
+    rep = run(["all", "--csv", csv, "--bronze", "t8_b", "--silver", "t8_s", "--gold", "t8_g"], spark)
+    assert rep["silver"]["rows"] == rep["gold"]["rows"] > 0
+    rep = run(["incremental-silver", "--bronze", "t8_b", "--silver", "t8_s"], spark)
+    assert rep["inserted"] == 0 and rep["updated"] == 0
+    assert set(run(["marts", "--namespace", "t8_g"], spark)) == {"company", "summary_by_state", "summary_by_year"}

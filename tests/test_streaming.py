@@ -27,3 +27,16 @@ def test_two_drains_one_checkpoint(spark, tmp):
     assert sorted(out.select(*L.raw).collect(), key=str) == sorted(raw.select(*L.raw).collect(), key=str)
     # one load time per micro-batch
     assert out.select("creation_time").distinct().count() <= 2
+
+
+def test_progress_log_records_events():
+    from types import SimpleNamespace
+
+    from layerkit.streaming import ProgressLog
+
+    log = ProgressLog(echo=False)
+    log.onQueryStarted(SimpleNamespace(id="q1"))
+    progress = SimpleNamespace(name="drain", batchId=0, numInputRows=7, sink=SimpleNamespace(numOutputRows=-1))
+    log.onQueryProgress(SimpleNamespace(progress=progress))
+    log.onQueryTerminated(SimpleNamespace(id="q1"))
+    assert log.events == [("started", "q1"), ("progress", "drain", 0, 7, -1), ("terminated", "q1")]
