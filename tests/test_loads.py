@@ -166,6 +166,11 @@ def test_compat_upsert_writes_null_year_partition(spark):
     assert got == {"a": ("2001", dt.date(2001, 2, 2)), "u": (None, None)}
     # the default rule on the same input would have dropped the undated record
     assert loads.incremental_silver(spark, "t5_bronze", "t5_silver")["inserted"] == 0
+    # D15: a NULL-year silver row is promoted to gold (the per-year loop of the
+    # original compared it with the text 'None' and left it behind)
+    loads.initial_gold(spark, "t5_silver", "t5_gold")
+    gold = {r.complaint_id: r.complaint_year for r in spark.table("t5_gold.complaints").collect()}
+    assert gold == {"a": "2001", "u": None}
 
 
 def test_merge_path_reaches_spark(spark):
