@@ -65,8 +65,10 @@ def ingest_feed(
 ) -> DataFrame:
     """Fetch and parse each day in a task; rows in raw column order plus ``day``.
 
-    ``parallelism`` spreads days over that many tasks (one day per task when
-    it is at least the number of days).
+    ``parallelism`` spreads days evenly over that many tasks (one day per task
+    when it is at least the number of days); without it the days are fetched
+    one after another, as the original did, which spares a rate-limited
+    service.
     """
     schema = T.StructType([*layout.raw_schema.fields, T.StructField("day", T.DateType())])
     names = [f.name for f in schema.fields]
@@ -81,7 +83,9 @@ def ingest_feed(
                     out["day"] = d
                     yield out[names]
 
-    spread = days.repartition(parallelism, "day") if parallelism else days
+    # Range split of the (distinct, small) day list: an even, contiguous share
+    # of days per task, where hashing could leave tasks idle or doubled up.
+    spread = days.repartitionByRange(parallelism, "day") if parallelism else days
     return spread.mapInPandas(run, schema)
 
 
