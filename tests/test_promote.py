@@ -54,3 +54,17 @@ def test_stamp_batch_one_marker_per_load(spark):
     stamped = stamp_batch(df, "api")
     assert stamped.select("creation_time").distinct().count() == 1
     assert {r[0] for r in stamped.select("data_source").collect()} == {"api"}
+
+
+def test_year_slice_prunes_partitions(spark, tmp):
+    import contextlib
+    import io
+
+    s = to_silver(bronze_rows(spark, ["2020-01-01", "2021-01-01", "2021-06-30"]))
+    s.write.partitionBy("complaint_year").parquet(f"{tmp}/silver")
+    sliced = year_slice(spark.read.parquet(f"{tmp}/silver"), 2021)
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        sliced.explain()
+    assert "PartitionFilters: [isnotnull(complaint_year" in out.getvalue()
+    assert sliced.count() == 2

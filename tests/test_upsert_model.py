@@ -85,3 +85,22 @@ def test_upsert_matches_model(spark, tgt, src, mode):
     target = normalize(as_bronze(spark, tgt), L)
     got = result(upsert(target, as_bronze(spark, src), L, rule=rule, compat=compat))
     assert got == model(target_rows, src, rule, compat)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=st.lists(row, max_size=12))
+def test_latest_per_key_matches_model(spark, rows):
+    from layerkit.operators import latest_per_key
+
+    df = as_bronze(spark, rows)
+    got = sorted(
+        ((r.complaint_id, r.v, r.date_received, None if r.creation_time is None else (r.creation_time - T0).days) for r in latest_per_key(df, L).collect()),
+        key=str,
+    )
+    best = {}
+    for v, d, k, t in rows:
+        # order: version, then the rest of the row in column order (v, date, origin)
+        order = tuple(lowest_none(x) for x in (t, v, d, "src"))
+        if k not in best or order > best[k][0]:
+            best[k] = (order, (k, v, d, t))
+    assert got == sorted((r for _, r in best.values()), key=str)
