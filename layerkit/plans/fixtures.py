@@ -31,7 +31,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _ntz(v: dt.datetime):
-    return F.lit(v).cast("timestamp_ntz")
+    # from text: a zone-free literal whatever the session or process time zone
+    return F.lit(v.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
 def bronze_fixture(spark: SparkSession, sf_dir: str, layout: Layout = COMPLAINTS) -> DataFrame:
