@@ -135,7 +135,7 @@ def stage_measured(
     """
     if max_rows is None:
         return stage(df), False
-    obs = Observation("layerkit_stage")
+    obs = Observation(f"layerkit_stage_{uuid.uuid4().hex}")
     measured = df.observe(obs, F.count(F.lit(1)).alias("rows"), F.sum(_row_bytes(df).cast("long")).alias("bytes"))
     staged = stage(measured)
     m = obs.get

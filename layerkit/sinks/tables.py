@@ -7,6 +7,8 @@ table provider used when a table is created (``parquet`` here; ``delta`` or
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -75,7 +77,7 @@ def write_full(
 
 
 def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
-    obs = Observation("layerkit_rows")
+    obs = Observation(f"layerkit_rows_{uuid.uuid4().hex}")
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
