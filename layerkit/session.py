@@ -62,8 +62,14 @@ def checkpoint_root(spark: SparkSession) -> str:
     without one is an error, since a machine-local folder would not survive
     the loss of that machine.
     """
-    sc = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or _FALLBACK.get(id(sc))
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server owns checkpointing
+        if not configured:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder") from None
+        return configured
+    root = configured or _FALLBACK.get(id(sc))
     if not root:
         if not _is_local(spark):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder")
