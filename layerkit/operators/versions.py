@@ -30,7 +30,7 @@ def latest_per_key(df: DataFrame, layout: Layout = COMPLAINTS) -> DataFrame:
     return (
         df.groupBy(layout.key)
         .agg(packed)
-        .select(layout.key, *[F.col(f"_latest.{c}").alias(c) for c in [*order, *rest]])
+        .select(layout.key, *[F.col("_latest").getField(c).alias(c) for c in [*order, *rest]])
         .select(df.columns)
     )
 
