@@ -11,6 +11,14 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 TOPIC_DEFAULTS = {"startingOffsets": "earliest", "failOnDataLoss": "false"}
 
 
+def source_options(fmt: str, options: dict[str, str] | None = None) -> dict[str, str]:
+    """Reader options: the topic defaults for ``kafka``, then the caller's
+    (which win)."""
+    opts = dict(TOPIC_DEFAULTS) if fmt == "kafka" else {}
+    opts.update(options or {})
+    return opts
+
+
 def stream_source(
     spark: SparkSession,
     fmt: str = "kafka",
@@ -25,9 +33,7 @@ def stream_source(
     ``fmt="text"`` over a folder of JSON-lines files gives the same ``value``
     column and is what the tests use.
     """
-    opts = dict(TOPIC_DEFAULTS) if fmt == "kafka" else {}
-    opts.update(options or {})
-    reader = spark.readStream.format(fmt).options(**opts)
+    reader = spark.readStream.format(fmt).options(**source_options(fmt, options))
     if schema is not None:
         reader = reader.schema(schema)
     return reader.load(path) if path else reader.load()

@@ -40,3 +40,17 @@ def test_progress_log_records_events():
     log.onQueryProgress(SimpleNamespace(progress=progress))
     log.onQueryTerminated(SimpleNamespace(id="q1"))
     assert log.events == [("started", "q1"), ("progress", "drain", 0, 7, -1), ("terminated", "q1")]
+
+
+def test_topic_source_options():
+    from layerkit.streaming.drain import source_options
+
+    opts = source_options("kafka", {"subscribe": "complaints", "maxOffsetsPerTrigger": "100000"})
+    assert opts == {
+        "startingOffsets": "earliest",
+        "failOnDataLoss": "false",
+        "subscribe": "complaints",
+        "maxOffsetsPerTrigger": "100000",
+    }
+    assert source_options("kafka", {"startingOffsets": "latest"})["startingOffsets"] == "latest"
+    assert source_options("text") == {}
