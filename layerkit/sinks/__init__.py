@@ -1,5 +1,6 @@
 from layerkit.sinks.tables import (
     append_batch,
+    create_layer_table,
     create_namespace,
     distribute_for_write,
     drop_table,
@@ -12,6 +13,7 @@ from layerkit.sinks.tables import (
 
 __all__ = [
     "append_batch",
+    "create_layer_table",
     "create_namespace",
     "distribute_for_write",
     "drop_table",

@@ -23,6 +23,26 @@ def create_namespace(spark: SparkSession, name: str, location: str | None = None
     spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {name}{loc}")
 
 
+def create_layer_table(
+    spark: SparkSession,
+    table: str,
+    layout: Layout = COMPLAINTS,
+    typed: bool = True,
+    fmt: str = "parquet",
+    carry_types: dict | None = None,
+) -> None:
+    """Create an empty layer table if it does not exist: the typed (silver /
+    gold) schema partitioned by the layout's partition column, or the
+    first-layer schema unpartitioned."""
+    if spark.catalog.tableExists(table):
+        return
+    schema = layout.typed_schema(carry_types) if typed else layout.bronze_schema(carry_types)
+    w = spark.createDataFrame([], schema).write.format(fmt)
+    if typed:
+        w = w.partitionBy(layout.partition)
+    w.saveAsTable(table)
+
+
 def list_namespaces(spark: SparkSession) -> list[str]:
     return [d.name for d in spark.catalog.listDatabases()]
 
