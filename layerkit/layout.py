@@ -100,14 +100,16 @@ class Layout:
         """Silver / gold column order: partition first, then the bronze columns."""
         return [self.partition, *self.bronze_columns]
 
-    def bronze_schema(self, carry_types: dict[str, T.DataType] | None = None) -> T.StructType:
+    def bronze_schema(
+        self, carry_types: dict[str, T.DataType] | None = None, batch_type: T.DataType | None = None
+    ) -> T.StructType:
         """First-layer schema: raw text, carry columns (typed by the caller),
-        origin text, batch marker TIMESTAMP."""
+        origin text, batch marker (TIMESTAMP unless ``batch_type`` says)."""
         carry_types = carry_types or {}
         fields = []
         for c in self.bronze_columns:
             if c == self.batch:
-                t = T.TimestampType()
+                t = batch_type or T.TimestampType()
             elif c in self.carry:
                 t = carry_types.get(c, T.StringType())
             else:
@@ -115,11 +117,13 @@ class Layout:
             fields.append(T.StructField(c, t, True))
         return T.StructType(fields)
 
-    def typed_schema(self, carry_types: dict[str, T.DataType] | None = None) -> T.StructType:
+    def typed_schema(
+        self, carry_types: dict[str, T.DataType] | None = None, batch_type: T.DataType | None = None
+    ) -> T.StructType:
         """Second/third-layer schema: partition year text first, date columns
         DATE, the rest as in the first layer."""
         fields = [T.StructField(self.partition, T.StringType(), True)]
-        for f in self.bronze_schema(carry_types).fields:
+        for f in self.bronze_schema(carry_types, batch_type).fields:
             fields.append(T.StructField(f.name, T.DateType(), True) if f.name in self.dates else f)
         return T.StructType(fields)
 

@@ -13,6 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from layerkit.layout import COMPLAINTS
 from layerkit.operators import (
@@ -35,7 +36,7 @@ from layerkit.functions.messages import from_message
 from layerkit.plans import fixtures as fx
 from layerkit.session import scratch_path
 from layerkit.plans import loads
-from layerkit.sinks.tables import create_namespace, upsert_table, write_full, write_messages
+from layerkit.sinks.tables import create_layer_table, create_namespace, upsert_table, write_full, write_messages
 from layerkit.sources.csv import read_feed_csv, read_records_csv
 from layerkit.sources.feed import feed_days, next_day
 from layerkit.streaming.drain import stream_source, stream_to_table
@@ -211,6 +212,16 @@ def q_upsert_table_replay_compat(spark, sf):
     return _upsert_table(spark, sf, fx.replay_target(spark, sf), compat=True)
 
 
+def q_upsert_table_into_empty(spark, sf):
+    """An empty silver table filled by one incremental run: on unique keys it
+    must equal the full promotion."""
+    ns = _namespace(spark, "silver")
+    table = f"{ns}.complaints"
+    create_layer_table(spark, table, L, batch_type=T.TimestampNTZType())
+    upsert_table(spark, table, _bronze(spark, sf), L)
+    return spark.table(table).select(L.typed_columns)
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "valid_records": q_valid_records,
     "normalize": q_normalize,
@@ -240,6 +251,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "load_silver_table": q_load_silver_table,
     "upsert_table_fresh": q_upsert_table_fresh,
     "upsert_table_replay_compat": q_upsert_table_replay_compat,
+    "upsert_table_into_empty": q_upsert_table_into_empty,
 }
 
 
@@ -332,6 +344,7 @@ _DATED = {
     "load_silver_table": L.dates,
     "upsert_table_fresh": V.dates,
     "upsert_table_replay_compat": V.dates,
+    "upsert_table_into_empty": L.dates,
 }
 
 
@@ -401,4 +414,5 @@ def _oracle_sql() -> dict[str, str]:
         + " FROM silver",
         "upsert_table_fresh": _upsert_sql(_fresh_target_ctes(), compat=False),
         "upsert_table_replay_compat": _upsert_sql(_replay_target_ctes(), compat=True),
+        "upsert_table_into_empty": sil + f"SELECT {typed_cols} FROM silver",
     }

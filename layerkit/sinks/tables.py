@@ -30,13 +30,18 @@ def create_layer_table(
     typed: bool = True,
     fmt: str = "parquet",
     carry_types: dict | None = None,
+    batch_type=None,
 ) -> None:
     """Create an empty layer table if it does not exist: the typed (silver /
     gold) schema partitioned by the layout's partition column, or the
-    first-layer schema unpartitioned."""
+    first-layer schema unpartitioned. ``batch_type`` types the batch marker
+    (TIMESTAMP by default; TIMESTAMP_NTZ for zone-free markers)."""
     if spark.catalog.tableExists(table):
         return
-    schema = layout.typed_schema(carry_types) if typed else layout.bronze_schema(carry_types)
+    if typed:
+        schema = layout.typed_schema(carry_types, batch_type)
+    else:
+        schema = layout.bronze_schema(carry_types, batch_type)
     w = spark.createDataFrame([], schema).write.format(fmt)
     if typed:
         w = w.partitionBy(layout.partition)
