@@ -91,9 +91,11 @@ def write_full(
     With ``partition_by`` all partitions are written by one job (not one job
     per partition value); rows are arranged by ``distribute_for_write``.
     """
-    df, obs = _counted(df)
     if partition_by:
         df = distribute_for_write(df, partition_by, list(sort_by or []), distribute)
+    # observed above any exchange: a range split's sampling pass runs the plan
+    # below it too, and must not be counted
+    df, obs = _counted(df)
     w = df.write.mode("overwrite").format(fmt)
     if partition_by:
         w = w.partitionBy(partition_by)

@@ -68,3 +68,15 @@ def test_year_slice_prunes_partitions(spark, tmp):
         sliced.explain()
     assert "PartitionFilters: [isnotnull(complaint_year" in out.getvalue()
     assert sliced.count() == 2
+
+
+def test_write_distributions_agree(spark, tmp):
+    from layerkit.sinks import create_namespace, write_full
+
+    s = to_silver(bronze_rows(spark, ["2020-01-01", "2021-01-01", "2021-06-30", "2019-03-03", "bad"]))
+    create_namespace(spark, "t_dist", f"{tmp}/ns")
+    got = []
+    for how in ("rebalance", "range", "none"):
+        n = write_full(s, f"t_dist.s_{how}", partition_by="complaint_year", sort_by=["date_received"], distribute=how)
+        got.append((n, sorted(map(tuple, spark.table(f"t_dist.s_{how}").select(*s.columns).collect()), key=str)))
+    assert got[0] == got[1] == got[2] and got[0][0] == 4

@@ -104,3 +104,23 @@ def test_latest_per_key_matches_model(spark, rows):
         if k not in best or order > best[k][0]:
             best[k] = (order, (k, v, d, t))
     assert got == sorted((r for _, r in best.values()), key=str)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@given(src=st.lists(row, max_size=10), tgt=st.lists(row, max_size=6))
+def test_unseen_batches_matches_model(spark, src, tgt):
+    from layerkit.operators import unseen_batches
+
+    s, t = as_bronze(spark, src), as_bronze(spark, tgt)
+    seen = {r[3] for r in tgt if r[3] is not None}
+    want = sorted(((v, d, k, b) for v, d, k, b in src if b is None or b not in seen), key=str)
+
+    def rows(df):
+        return sorted(
+            ((r.v, r.date_received, r.complaint_id, None if r.creation_time is None else (r.creation_time - T0).days) for r in df.collect()),
+            key=str,
+        )
+
+    assert rows(unseen_batches(s, t, L)) == want  # marker literals
+    assert rows(unseen_batches(s, t, L, max_markers=0)) == want  # anti join
+    assert rows(unseen_batches(s, t, L, broadcast_rows=None, max_markers=0)) == want  # shuffled anti join
