@@ -37,7 +37,7 @@ from layerkit.plans import fixtures as fx
 from layerkit.session import scratch_path
 from layerkit.plans import loads
 from layerkit.sinks.tables import create_layer_table, create_namespace, upsert_table, write_full, write_messages
-from layerkit.sources.csv import read_feed_csv, read_records_csv
+from layerkit.sources.csv import read_feed_csv, read_feed_pages, read_records_csv
 from layerkit.sources.feed import feed_days, next_day
 from layerkit.streaming.drain import stream_source, stream_to_table
 from layerkit.streaming.messages import decode_messages, encode_messages
@@ -168,6 +168,23 @@ def q_read_feed_csv(spark, sf):
     return read_feed_csv(spark, path)
 
 
+def q_read_feed_pages(spark, sf):
+    """Two landings with different header layouts read in one call: batch 1
+    with every header in reverse order, batch 2 in natural order without one."""
+    path = scratch_path(spark, "feed-pages")
+    bronze = _bronze(spark, sf)
+    first = F.col(L.batch) == fx._ntz(fx.BATCH_1)
+    layouts = {
+        "a": (first, list(reversed(L.feed_headers))),
+        "b": (~first, [(h, c) for h, c in L.feed_headers if h != FEED_DROPPED]),
+    }
+    for name, (cond, headers) in layouts.items():
+        bronze.where(cond).select([F.col(c).alias(h) for h, c in headers]).write.option("header", "true").option(
+            "escape", '"'
+        ).csv(f"{path}/{name}")
+    return read_feed_pages(spark, [f"{path}/a", f"{path}/b"])
+
+
 def q_stream_drain(spark, sf):
     """Two landings drained by two availableNow runs over one checkpoint."""
     topic, sink, ckpt = (scratch_path(spark, n) for n in ("topic", "sink", "ckpt"))
@@ -247,6 +264,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "decode_props": q_decode_props,
     "read_records_csv": q_read_records_csv,
     "read_feed_csv": q_read_feed_csv,
+    "read_feed_pages": q_read_feed_pages,
     "stream_drain": q_stream_drain,
     "load_silver_table": q_load_silver_table,
     "upsert_table_fresh": q_upsert_table_fresh,
@@ -368,6 +386,11 @@ def _oracle_sql() -> dict[str, str]:
         ("CAST(NULL AS VARCHAR) AS " + c) if h == FEED_DROPPED else f"COALESCE({c}, '') AS {c}"
         for h, c in L.feed_headers
     )
+    batch_1 = f"{L.batch} = TIMESTAMP '2024-01-01 00:00:00'"
+    pages_raw = ", ".join(
+        f"CASE WHEN {batch_1} THEN COALESCE({c}, '') END AS {c}" if h == FEED_DROPPED else f"COALESCE({c}, '') AS {c}"
+        for h, c in L.feed_headers
+    )
     fresh = _with(**_fresh_target_ctes())
     vers = _with(**_versions_ctes())
     next_date = f"SELECT max(TRY_CAST({L.date} AS DATE)) + 1 AS next_date FROM bronze"
@@ -407,6 +430,7 @@ def _oracle_sql() -> dict[str, str]:
         "decode_props": "SELECT event_id, json_extract_string(props, '$.k') AS k FROM events",
         "read_records_csv": sil + f"SELECT {raw} FROM bronze",
         "read_feed_csv": sil + f"SELECT {feed_raw} FROM bronze",
+        "read_feed_pages": sil + f"SELECT {pages_raw} FROM bronze",
         "stream_drain": sil + f"SELECT {raw}, 'kafka' AS {L.origin} FROM bronze",
         "load_silver_table": sil
         + "SELECT "

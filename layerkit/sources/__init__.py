@@ -1,9 +1,10 @@
-from layerkit.sources.csv import parse_feed_text, read_feed_csv, read_records_csv, select_by_header
+from layerkit.sources.csv import parse_feed_text, read_feed_csv, read_feed_pages, read_records_csv, select_by_header
 from layerkit.sources.feed import day_range, feed_days, ingest_feed, land_days, landing_fetcher, next_day
 
 __all__ = [
     "parse_feed_text",
     "read_feed_csv",
+    "read_feed_pages",
     "read_records_csv",
     "select_by_header",
     "day_range",

@@ -21,6 +21,7 @@ import io
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 from layerkit.layout import COMPLAINTS, Layout
@@ -90,6 +91,54 @@ def read_feed_csv(
     return _spread(select_by_header(df, layout, empty_as_null), partitions)
 
 
+def read_feed_pages(
+    spark: SparkSession,
+    path: str | list[str],
+    layout: Layout = COMPLAINTS,
+    width: int | None = None,
+    empty_as_null: bool = False,
+) -> DataFrame:
+    """Header-mapped read where every file may order (or omit) its headers
+    differently: each file's rows are bound by that file's own header line.
+
+    Files are read positionally into ``width`` text fields (default: twice
+    the number of known headers; fields past it are cut). A multi-line CSV
+    file is read whole, in order, by one task, so each file's first record
+    (its header) is the one with the smallest row id in that file. The
+    per-file header table (one row per file) is broadcast when its checked
+    size allows it and joined back by file path.
+    """
+    from layerkit.session import bounded_broadcast
+
+    width = width or 2 * len(layout.feed_headers)
+    fields = [f"_c{i}" for i in range(width)]
+    schema = T.StructType([T.StructField(c, T.StringType(), True) for c in fields])
+    raw = (
+        spark.read.options(**_CSV)
+        .option("header", "false")
+        .schema(schema)
+        .csv(path)
+        .select(*fields, F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_id"))
+    )
+    first = raw.groupBy("_file").agg(F.min("_id").alias("_id"))
+    # Per file: the (1-based) position of each known header, 0 when absent.
+    names = F.array(*[F.trim(F.col(c)) for c in fields])
+    heads = raw.join(first, ["_file", "_id"], "left_semi").select(
+        "_file", *[F.array_position(names, F.lit(h)).alias(f"_p{j}") for j, (h, _) in enumerate(layout.feed_headers)]
+    )
+    rows = raw.join(first, ["_file", "_id"], "left_anti").join(bounded_broadcast(heads), "_file")
+    values = F.array(*[F.col(c) for c in fields])
+
+    def field(j: int):
+        pos = F.col(f"_p{j}")
+        value = F.try_element_at(values, pos.cast("int"))
+        if not empty_as_null:
+            value = F.coalesce(value, F.lit(""))
+        return F.when(pos > 0, value).cast("string")
+
+    return rows.select([field(j).alias(name) for j, (_, name) in enumerate(layout.feed_headers)])
+
+
 def parse_feed_text(text: str, layout: Layout = COMPLAINTS) -> list[tuple]:
     """Parse one fetched CSV page inside a task: rows as tuples in raw column
     order, matched by header name (a small per-page helper for ``ingest_feed``).

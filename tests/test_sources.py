@@ -115,3 +115,27 @@ def test_landed_pages_round_trip(spark, tmp):
     assert by_id["3"].company == 'say "hi"' and by_id["2"].company == "B, Inc"
     assert by_id["1"].issue is None  # a header the page does not carry
     assert fetch(dt.date(2024, 1, 2)) == ""
+
+
+def test_feed_pages_with_different_header_orders(spark, tmp):
+    from layerkit.sources.csv import read_feed_pages
+
+    import os
+
+    os.makedirs(f"{tmp}/pages", exist_ok=True)
+    # page 1: Complaint ID, Date received, Company; page 2: reversed, plus an
+    # unknown header and a quoted multi-line field; page 3: no Company header
+    write(tmp, "pages/p1.csv", "Complaint ID,Date received,Company\n1,2024-01-01,A\n2,,B\n")
+    write(tmp, "pages/p2.csv", 'Company,Unknown,Date received,Complaint ID\n"C, Inc",x,2024-01-02,3\n"D\nline",y,2024-01-03,4\n')
+    write(tmp, "pages/p3.csv", "Date received,Complaint ID\n2024-01-04,5\n")
+    got = {r.complaint_id: r for r in read_feed_pages(spark, f"{tmp}/pages").collect()}
+    assert set(got) == {"1", "2", "3", "4", "5"}
+    assert got["1"].company == "A" and got["1"].date_received == "2024-01-01"
+    assert got["2"].date_received == ""  # empty field of a present header
+    assert got["3"].company == "C, Inc" and got["4"].company == "D\nline"
+    assert got["5"].company is None  # header absent from that page
+    # each page alone gives what the per-page parser gives
+    for name in ("p1", "p2", "p3"):
+        text = open(f"{tmp}/pages/{name}.csv").read()
+        one = sorted((tuple(r) for r in read_feed_pages(spark, f"{tmp}/pages/{name}.csv").collect()), key=str)
+        assert one == sorted(parse_feed_text(text), key=str)
