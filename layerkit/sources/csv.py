@@ -105,8 +105,9 @@ def read_feed_pages(
     the number of known headers; fields past it are cut). A multi-line CSV
     file is read whole, in order, by one task, so each file's first record
     (its header) is the one with the smallest row id in that file. The
-    per-file header table (one row per file) is broadcast when its checked
-    size allows it and joined back by file path.
+    per-file header table (one row per file, from one aggregate) is broadcast
+    when its checked size allows it and joined back by file path: two scans
+    of the input in all.
     """
     from layerkit.session import bounded_broadcast
 
@@ -120,13 +121,21 @@ def read_feed_pages(
         .csv(path)
         .select(*fields, F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_id"))
     )
-    first = raw.groupBy("_file").agg(F.min("_id").alias("_id"))
-    # Per file: the (1-based) position of each known header, 0 when absent.
-    names = F.array(*[F.trim(F.col(c)) for c in fields])
-    heads = raw.join(first, ["_file", "_id"], "left_semi").select(
-        "_file", *[F.array_position(names, F.lit(h)).alias(f"_p{j}") for j, (h, _) in enumerate(layout.feed_headers)]
+    # One row per file: its first record (the header) and that record's id,
+    # then the (1-based) position of each known header, 0 when absent.
+    first = raw.groupBy("_file").agg(
+        F.min("_id").alias("_hid"), F.min_by(F.struct(*fields), F.col("_id")).alias("_hdr")
     )
-    rows = raw.join(first, ["_file", "_id"], "left_anti").join(bounded_broadcast(heads), "_file")
+    names = F.array(*[F.trim(F.col("_hdr").getField(c)) for c in fields])
+    heads = bounded_broadcast(
+        first.select(
+            "_file",
+            "_hid",
+            *[F.array_position(names, F.lit(h)).alias(f"_p{j}") for j, (h, _) in enumerate(layout.feed_headers)],
+        )
+    )
+    # one join attaches the positions; the header record itself drops out
+    rows = raw.join(heads, "_file").where(F.col("_id") != F.col("_hid"))
     values = F.array(*[F.col(c) for c in fields])
 
     def field(j: int):
