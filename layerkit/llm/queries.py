@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerkit.llm import quality
+from layerkit.llm import quality, simhash_dedup
 from layerkit.llm.common import table
 
 
@@ -19,6 +19,11 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash_dedup.near_duplicates(_documents(spark, sf_dir))
+    return found.select("doc_id", simhash_dedup.as_hex(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, m, kept = quality.judge(_documents(spark, sf_dir))
     return out.select(
@@ -30,7 +35,8 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op9_quality_rules,)}
+    done = (op4_simhash_dedup, op9_quality_rules)
+    return {f.__name__: f for f in done}
 
 
 def oracle_sql() -> dict[str, str]:
