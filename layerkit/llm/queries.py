@@ -11,19 +11,46 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerkit.llm import quality, simhash_dedup
+from layerkit.llm import decontaminate, packing, pseudonyms, quality, simhash_dedup, wavelet
 from layerkit.llm.common import table
+from layerkit.session import scratch_path
+
+
+# The pseudonym key of the registered query and the pipeline; production runs
+# pass their own.
+DEMO_KEY = "layerkit-demo-key"
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_documents(spark, sf_dir), packing.word_lengths(F.col("text")))
+
+
 def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_dedup.near_duplicates(_documents(spark, sf_dir))
     return found.select("doc_id", simhash_dedup.as_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contaminated(_documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+    return found.drop("text_hash")
+
+
+def op7_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).select("doc_id", pseudonyms.replace(F.col("text"), DEMO_KEY).alias("done"))
+    found = [F.col("done.found")[k].alias(f"n_{k}") for k in pseudonyms.KINDS]
+    return docs.select("doc_id", *found, F.col("done.text").alias("text"))
+
+
+def op8_wavelet_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-files")
+    wavelet.write_corpus(_documents(spark, sf_dir), path)
+    return wavelet.read_documents(spark, path)
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, m, kept = quality.judge(_documents(spark, sf_dir))
     return out.select(
@@ -35,7 +62,14 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    done = (op4_simhash_dedup, op9_quality_rules)
+    done = (
+        op1_best_fit_packing,
+        op4_simhash_dedup,
+        op6_decontamination,
+        op7_pseudonyms,
+        op8_wavelet_files,
+        op9_quality_rules,
+    )
     return {f.__name__: f for f in done}
 
 
