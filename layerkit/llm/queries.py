@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerkit.llm import decontaminate, packing, pseudonyms, quality, simhash_dedup, wavelet
+from layerkit.llm import class_lm, decontaminate, edit_counts, packing, pseudonyms, quality, secrets, simhash_dedup, wavelet
 from layerkit.llm.common import table
 from layerkit.session import scratch_path
 
@@ -29,11 +29,28 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_documents(spark, sf_dir), packing.word_lengths(F.col("text")))
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(_documents(spark, sf_dir))
+    spans, base = F.col("spans"), [r.kind for r in secrets.BASE_RULES]
+    of_base = F.filter(spans, lambda s: s["kind"].isin(base))
+    of_kind = lambda k: F.size(F.filter(spans, lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}")
+    return found.select(
+        "doc_id",
+        *[of_kind(k) for k in base],
+        F.sha2(secrets.digest(of_base), 256).alias("base_sha256"),
+        secrets.digest(spans).alias("spans"),
+    )
+
+
 def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_dedup.near_duplicates(_documents(spark, sf_dir))
     return found.select("doc_id", simhash_dedup.as_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op5_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return class_lm.scores(_documents(spark, sf_dir))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contaminated(_documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
     return found.drop("text_hash")
@@ -61,14 +78,34 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three edits of every document, at places drawn from its id: a deletion,
+    an insertion, a replacement."""
+    docs = _documents(spark, sf_dir).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    place = lambda k: F.pmod(F.xxhash64("doc_id", F.lit(k)), F.length("text") + 1).cast("int")
+    edit = lambda at, n, new: F.struct(at.alias("start"), (at + n).alias("end"), F.lit(new).alias("text"))
+    edits = F.array(edit(place(1), 20, ""), edit(place(2), 0, " counts follow edits "), edit(place(3), 7, "spliced"))
+    done = docs.select("doc_id", edit_counts.edited(F.col("text"), edit_counts.grow(F.col("text")), edits).alias("done"))
+    return done.select(
+        "doc_id",
+        "done.n_before",
+        "done.n_after",
+        "done.encoded_chars",
+        F.crc32(F.col("done.text").cast("binary")).alias("text_crc32"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     done = (
         op1_best_fit_packing,
+        op2_secret_scan,
         op4_simhash_dedup,
+        op5_class_lm,
         op6_decontamination,
         op7_pseudonyms,
         op8_wavelet_files,
         op9_quality_rules,
+        op10_edit_counts,
     )
     return {f.__name__: f for f in done}
 
