@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerkit.llm import class_lm, decontaminate, edit_counts, packing, pseudonyms, quality, secrets, simhash_dedup, wavelet
+from layerkit.llm import class_lm, decontaminate, edit_counts, packing, pseudonyms, quality, secrets, simhash_dedup, toxicity, wavelet
 from layerkit.llm.common import table
 from layerkit.session import scratch_path
 
@@ -42,6 +42,10 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(_documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
 def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_dedup.near_duplicates(_documents(spark, sf_dir))
     return found.select("doc_id", simhash_dedup.as_hex(F.col("fp")).alias("fingerprint"), "component_id")
@@ -99,6 +103,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     done = (
         op1_best_fit_packing,
         op2_secret_scan,
+        op3_toxicity,
         op4_simhash_dedup,
         op5_class_lm,
         op6_decontamination,
