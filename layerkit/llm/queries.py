@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerkit.llm import class_lm, decontaminate, edit_counts, packing, pseudonyms, quality, secrets, simhash_dedup, toxicity, wavelet
+from layerkit.llm import class_lm, decontaminate, edit_counts, oracles, packing, pseudonyms, quality, secrets, simhash_dedup, toxicity, wavelet
 from layerkit.llm.common import table
 from layerkit.session import scratch_path
 
@@ -57,7 +57,7 @@ def op5_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contaminated(_documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
-    return found.drop("text_hash")
+    return found.drop("text_hash", "distance")
 
 
 def op7_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,4 +116,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracles.oracle_sql()
