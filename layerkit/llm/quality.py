@@ -175,12 +175,19 @@ def thresholds(measured: DataFrame, m: str, lang: str, source: str, min_group: i
 
 
 def judge(
-    docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", min_group: int = MIN_GROUP
+    docs: DataFrame,
+    text: str = "text",
+    lang: str = "lang",
+    source: str = "source",
+    min_group: int = MIN_GROUP,
+    drop_text: bool = False,
 ) -> tuple[DataFrame, str, str]:
-    """``docs`` with a struct of measures and a verdict (boolean), and the
-    names of those two columns (chosen to clash with none)."""
+    """``docs`` (without the text, if ``drop_text``) with a struct of measures
+    and a verdict (boolean), and the names of those two columns (chosen to
+    clash with none)."""
     m, kept = free_name(docs.columns, "measures"), free_name(docs.columns, "kept")
-    measured = stage(docs.withColumn(m, measures(col(text))), "quality")
+    measured = docs.withColumn(m, measures(col(text)))
+    measured = stage(measured.drop(text) if drop_text else measured, "quality")
     lim = small(stage(thresholds(measured, m, lang, source, min_group), "quality-limits"))
     lim = lim.select([F.col(c).alias(free_name([*docs.columns, m, kept], f"_q_{c}")) for c in lim.columns])
     g_lang, g_source, *tops = lim.columns
