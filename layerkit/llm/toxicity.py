@@ -14,7 +14,8 @@
    Spark; at most ``KEEP`` features are kept, and a logistic regression on
    the sample weighs them against each other.
 4. A text's score is the regression's probability from the features of its
-   restored words.
+   restored words, or the precision (lower bound) of a single feature where
+   that is ``SURE`` at least and higher.
 
 Labels, language, source and id are no inputs of a score; ids decide which
 rows teach (crc32 of the id as text, modulo 5, not 0).
@@ -22,7 +23,8 @@ rows teach (crc32 of the id as text, modulo 5, not 0).
 Defined cases: NULL and empty texts get the score of a text without any
 feature; a NULL id counts as the id ''; labels that are NULL or belong to no
 document are ignored, and of several labels for an id the largest counts;
-without training labels every score is 0; repeated rows are scored each, but
+without training labels every score is 0, and with labels of one
+kind alone every score is that label; repeated rows are scored each, but
 teach once; very long words are not decoded; an empty table gives no rows;
 other columns are ignored.
 """
@@ -51,6 +53,8 @@ CHI2 = 30.0
 # Strength of the regression's ridge, and its steps.
 RIDGE = 0.5
 STEPS = 400
+# A feature this precise, by the lower bound, is enough by itself.
+SURE = 0.9
 BEGINS = (3, 4, 5, 6)
 BEST = 4
 # Hash buckets in which features are counted.
@@ -229,15 +233,17 @@ def _teach(model: CharModel):
 
 
 class Scorer:
-    """The place of each kept bucket, its weight, and the bias."""
+    """The place of each kept bucket, its weight and precision, and the bias."""
 
-    def __init__(self, place: dict[int, int], weights: np.ndarray, bias: float):
+    def __init__(self, place: dict[int, int], weights: np.ndarray, precision: np.ndarray, bias: float):
         self.place, self.weights, self.bias = place, weights, bias
+        self.sure = np.where(precision >= SURE, precision, 0.0)
 
     def probability(self, found: list[list[int]]) -> float:
         at = np.unique(np.concatenate(found)) if found else np.empty(0, np.int64)
         z = self.bias + float(self.weights[at].sum())
-        return 1 / (1 + math.exp(-z)) if z > -700 else 0.0
+        p = 1 / (1 + math.exp(-z)) if z > -700 else 0.0
+        return max(p, float(self.sure[at].max(initial=0.0)))
 
 
 def fit(found: list[list[int]], labels: np.ndarray, size: int) -> tuple[np.ndarray, float]:
@@ -279,8 +285,8 @@ def learn(
     rows = stage(rows.select("doc_id", "text", "label").dropDuplicates(["doc_id"]).select("text", "label"), "toxic-teach")
     n = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     clean, toxic = n.get(0, 0), n.get(1, 0)
-    if not toxic:
-        return Scorer({}, np.zeros(0), -math.inf)
+    if not toxic or not clean:
+        return Scorer({}, np.zeros(0), np.zeros(0), math.inf if toxic else -math.inf)
     counted = rows.mapInArrow(_teach(model), "bucket long, clean long, toxic long")
     counted = counted.groupBy("bucket").agg(F.sum("clean").alias("a"), F.sum("toxic").alias("b"))
     a, b = F.col("a"), F.col("b")
@@ -291,13 +297,13 @@ def learn(
     m, z = a + b, 1.96
     p = b / m
     low = (p + z * z / (2 * m) - z * F.sqrt(p * (1 - p) / m + z * z / (4 * m * m))) / (1 + z * z / m)
-    kept = counted.where((chi >= CHI2) & (low > 0.5)).select("bucket", chi.alias("chi"))
+    kept = counted.where((chi >= CHI2) & (low > 0.5)).select("bucket", chi.alias("chi"), low.alias("low"))
     got = kept.orderBy(F.desc("chi"), "bucket").limit(KEEP).collect()
     place = {r["bucket"]: i for i, r in enumerate(got)}
     # at most ``sample`` rows of a label and the few kept features they hold
     seen = rows.select("label", _found(model, place)("text").alias("found")).collect()
     weights, bias = fit([r["found"] for r in seen], np.array([r["label"] for r in seen], float), len(place))
-    return Scorer(place, weights, bias)
+    return Scorer(place, weights, np.array([r["low"] for r in got]), bias)
 
 
 def _reader(model: CharModel, place: dict[int, int]) -> _Reader:
