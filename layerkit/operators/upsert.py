@@ -41,9 +41,10 @@ def merge_source(
     layout: Layout = COMPLAINTS,
     compat: bool = False,
     broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
+    missing: DataFrame | None = None,
 ) -> DataFrame:
     """Unseen-batch rows of ``source``, typed like the target, one per key."""
-    fresh = unseen_batches(source, target, layout, broadcast_rows)
+    fresh = unseen_batches(source, target, layout, broadcast_rows, missing=missing)
     if not compat:
         fresh = valid_records(fresh, layout)
     return latest_per_key(normalize(fresh, layout), layout)

@@ -64,6 +64,7 @@ def unseen_batches(
     layout: Layout = COMPLAINTS,
     broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
     max_markers: int = DEFAULT_MAX_MARKERS,
+    missing: DataFrame | None = None,
 ) -> DataFrame:
     """Rows of ``source`` whose batch marker does not occur in ``target``.
 
@@ -75,10 +76,12 @@ def unseen_batches(
     batches already promoted are skipped by their min/max statistics (each
     load appends files holding one marker). Beyond that bound the source is
     anti-joined with the target's distinct markers, broadcast when their size
-    allows it.
+    allows it. A caller that has the missing markers already passes them as
+    ``missing`` (``missing_batches``), and neither side is scanned for them.
     """
     b = layout.batch
-    markers = _literals(_missing(source, target, b), b, max_markers) if max_markers else None
+    found = _missing(source, target, b) if missing is None else missing
+    markers = _literals(found, b, max_markers) if max_markers else None
     if markers is not None:
         cond = F.col(b).isNull()
         if markers:

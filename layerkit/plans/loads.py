@@ -12,27 +12,29 @@ import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from layerkit.layout import COMPLAINTS, Layout
-from layerkit.operators.marts import build_marts, year_profile
+from layerkit.operators.marts import mart_counts, split_marts
 from layerkit.operators.promote import promote_gold, to_silver
 from layerkit.operators.stamp import stamp_batch
 from layerkit.operators.versions import missing_batches
 from layerkit.sinks.tables import (
     append_batch,
     create_namespace,
+    finish_pending,
     upsert_table,
     write_full,
     write_marts,
     write_messages,
 )
 from layerkit.sources.csv import read_records_csv
-from layerkit.sources.feed import feed_days, ingest_feed, next_day
-from layerkit.streaming.drain import progress_rows, stream_to_table
+from layerkit.session import stage
+from layerkit.sources.feed import feed_days, ingest_feed, ingest_until_failure, next_day
+from layerkit.streaming.drain import logged_drain, stream_to_table
 from layerkit.streaming.messages import decode_messages
 
 TABLE = "complaints"
-REPORT_ROWS = 20
 
 
 def _t(namespace: str, table: str = TABLE) -> str:
@@ -40,8 +42,9 @@ def _t(namespace: str, table: str = TABLE) -> str:
 
 
 def layer_marts(spark: SparkSession, namespace: str, layout: Layout = COMPLAINTS, fmt: str = "parquet") -> dict:
-    """L10: rebuild the three marts of a layer from its table."""
-    return write_marts(build_marts(spark.table(_t(namespace)), layout), namespace, fmt)
+    """L10: rebuild the three marts of a layer from one scan of its table."""
+    counts = stage(mart_counts(spark.table(_t(namespace)), layout))
+    return write_marts(split_marts(counts), namespace, fmt)
 
 
 def initial_bronze(
@@ -52,10 +55,16 @@ def initial_bronze(
     fmt: str = "parquet",
     location: str | None = None,
     at: dt.datetime | None = None,
+    partitions: int | None = None,
+    multi_line: bool = True,
 ) -> dict:
-    """L1: CSV export -> bronze (full reload), then its marts."""
+    """L1: CSV export -> bronze (full reload), then its marts. One multi-line
+    file is one reading task: ``partitions`` spreads its rows for the write,
+    and ``multi_line=False`` lets Spark split files without line breaks inside
+    fields."""
     create_namespace(spark, namespace, location)
-    rows = stamp_batch(read_records_csv(spark, csv_path, layout), "csv", at, layout)
+    records = read_records_csv(spark, csv_path, layout, partitions=partitions, multi_line=multi_line)
+    rows = stamp_batch(records, "csv", at, layout)
     n = write_full(rows.select(layout.bronze_columns), _t(namespace), fmt)
     return {"rows": n, "marts": layer_marts(spark, namespace, layout, fmt)}
 
@@ -73,12 +82,10 @@ def initial_silver(
     create_namespace(spark, silver_ns, location)
     silver = to_silver(spark.table(_t(bronze_ns)), layout)
     n = write_full(silver, _t(silver_ns), fmt, layout.partition, [layout.date], distribute)
-    table = spark.table(_t(silver_ns))
-    return {
-        "rows": n,
-        "years": {r[0]: r[1] for r in year_profile(table, layout).collect()},
-        "marts": layer_marts(spark, silver_ns, layout, fmt),
-    }
+    marts = layer_marts(spark, silver_ns, layout, fmt)
+    # the year profile is the year mart, oldest first
+    years = spark.table(_t(silver_ns, "summary_by_year")).orderBy("year").collect()
+    return {"rows": n, "years": {r["year"]: r["count"] for r in years}, "marts": marts}
 
 
 def initial_gold(
@@ -92,8 +99,9 @@ def initial_gold(
 ) -> dict:
     """L3: silver -> gold (full reload).
 
-    Silver is already partitioned by year, so each input split holds one
-    year: written without a shuffle, every task produces one file.
+    Silver is already partitioned by year, so a task reads files of one or,
+    where files are small, a few years, and the local sort by year writes one
+    file per year it holds, without a shuffle.
     """
     create_namespace(spark, gold_ns, location)
     gold = promote_gold(spark.table(_t(silver_ns)), layout)
@@ -117,18 +125,8 @@ def initial_all(
     }
 
 
-def _feed_rows(
-    spark: SparkSession,
-    bronze_ns: str,
-    fetch: Callable[[dt.date], str],
-    stop: dt.date | str,
-    layout: Layout,
-    default_start: dt.date | str | None,
-    parallelism: int | None,
-) -> DataFrame:
-    start = next_day(spark.table(_t(bronze_ns)), layout, default_start)
-    days = feed_days(start, stop)
-    return ingest_feed(days, fetch, layout, parallelism).drop("day")
+def _days(spark: SparkSession, bronze_ns: str, stop, layout: Layout, default_start) -> DataFrame:
+    return feed_days(next_day(spark.table(_t(bronze_ns)), layout, default_start), stop)
 
 
 def feed_to_bronze(
@@ -140,11 +138,29 @@ def feed_to_bronze(
     default_start: dt.date | str | None = None,
     parallelism: int | None = None,
     fmt: str = "parquet",
+    per_second: float | None = None,
+    per_day: bool = False,
 ) -> dict:
     """L5: fetch every day after the newest loaded one, up to (excluding)
-    ``stop``, and append them to bronze as one batch."""
-    rows = stamp_batch(_feed_rows(spark, bronze_ns, fetch, stop, layout, default_start, parallelism), "api", None, layout)
-    return {"appended": append_batch(rows.select(layout.bronze_columns), _t(bronze_ns), fmt)}
+    ``stop``, and append them to bronze.
+
+    By default all days are one batch, and one failing day fails the run.
+    With ``per_day`` every day is a batch with a marker of its own (the load
+    time plus the day's number in microseconds), and the days before the first
+    failing one are appended; the report names that day, and the next run
+    resumes there.
+    """
+    days = _days(spark, bronze_ns, stop, layout, default_start)
+    if not per_day:
+        rows = ingest_feed(days, fetch, layout, parallelism, per_second)
+        rows = stamp_batch(rows, "api", None, layout)
+        return {"appended": append_batch(rows.select(layout.bronze_columns), _t(bronze_ns), fmt)}
+    rows, failed = ingest_until_failure(days, fetch, layout, parallelism, per_second)
+    number = F.datediff(F.col("day"), F.lit(dt.date(1970, 1, 1)))
+    marker = F.timestamp_micros(F.unix_micros(F.current_timestamp()) + number)
+    rows = stamp_batch(rows, "api", marker, layout)
+    appended = append_batch(rows.select(layout.bronze_columns), _t(bronze_ns), fmt)
+    return {"appended": appended, "failed_day": failed}
 
 
 def feed_to_messages(
@@ -158,9 +174,11 @@ def feed_to_messages(
     path: str | None = None,
     default_start: dt.date | str | None = None,
     parallelism: int | None = None,
+    per_second: float | None = None,
 ) -> None:
     """L6: the same days, sent as one JSON message per record."""
-    rows = _feed_rows(spark, bronze_ns, fetch, stop, layout, default_start, parallelism)
+    days = _days(spark, bronze_ns, stop, layout, default_start)
+    rows = ingest_feed(days, fetch, layout, parallelism, per_second).drop("day")
     write_messages(rows, layout, sink_format, sink_options, path)
 
 
@@ -172,10 +190,13 @@ def stream_to_bronze(
     layout: Layout = COMPLAINTS,
     fmt: str = "parquet",
 ) -> dict:
-    """L7: drain the message stream into bronze, then rebuild its marts."""
+    """L7: drain the message stream into bronze, then rebuild its marts. The
+    report's progress has every micro-batch, from a listener."""
     rows = decode_messages(stream, layout, "kafka").select(layout.bronze_columns)
-    q = stream_to_table(rows, checkpoint, table=_t(bronze_ns), fmt=fmt, name=f"{bronze_ns}_drain")
-    return {"progress": progress_rows(q), "marts": layer_marts(spark, bronze_ns, layout, fmt)}
+    log = logged_drain(
+        spark, lambda: stream_to_table(rows, checkpoint, table=_t(bronze_ns), fmt=fmt, name=f"{bronze_ns}_drain")
+    )
+    return {"progress": log.rows(), "marts": layer_marts(spark, bronze_ns, layout, fmt)}
 
 
 def _incremental(
@@ -187,15 +208,13 @@ def _incremental(
     compat: bool,
     fmt: str,
 ) -> dict:
+    finish_pending(spark, _t(target_ns), layout)
     base, target = spark.table(_t(base_ns)), spark.table(_t(target_ns))
-    # The report lists the newest missing batches (as a console listing
-    # would) and counts all of them; the merge itself reads every one.
-    gaps = missing_batches(base, target, layout)
-    missing = [r[0] for r in gaps.limit(REPORT_ROWS).collect()]
-    n_missing = gaps.count()
-    counts = upsert_table(spark, _t(target_ns), base, layout, rule, compat)
+    # The missing markers are found once: for the report and for the merge.
+    missing = stage(missing_batches(base, target, layout))
+    counts = upsert_table(spark, _t(target_ns), base, layout, rule, compat, missing=missing)
     marts = layer_marts(spark, target_ns, layout, fmt)
-    return {"missing_batches": missing, "missing_count": n_missing, **counts, "marts": marts}
+    return {"missing_batches": missing, "missing_count": missing.count(), **counts, "marts": marts}
 
 
 def incremental_silver(

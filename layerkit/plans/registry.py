@@ -37,7 +37,7 @@ from layerkit.plans import fixtures as fx
 from layerkit.session import scratch_path
 from layerkit.plans import loads
 from layerkit.sinks.tables import create_layer_table, create_namespace, upsert_table, write_full, write_messages
-from layerkit.sources.csv import read_feed_csv, read_feed_pages, read_records_csv
+from layerkit.sources.csv import read_feed_csv, read_records_csv
 from layerkit.sources.feed import feed_days, next_day
 from layerkit.streaming.drain import stream_source, stream_to_table
 from layerkit.streaming.messages import decode_messages, encode_messages
@@ -182,7 +182,7 @@ def q_read_feed_pages(spark, sf):
         bronze.where(cond).select([F.col(c).alias(h) for h, c in headers]).write.option("header", "true").option(
             "escape", '"'
         ).csv(f"{path}/{name}")
-    return read_feed_pages(spark, [f"{path}/a", f"{path}/b"])
+    return read_feed_csv(spark, [f"{path}/a", f"{path}/b"])
 
 
 def q_stream_drain(spark, sf):

@@ -7,14 +7,15 @@ table provider used when a table is created (``parquet`` here; ``delta`` or
 
 from __future__ import annotations
 
+import json
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from layerkit.layout import COMPLAINTS, Layout
 from layerkit.operators.upsert import apply_merge, merge_source, replaces
-from layerkit.session import DEFAULT_BROADCAST_ROWS, stage, stage_measured
+from layerkit.session import DEFAULT_BROADCAST_ROWS, scratch_path, stage, stage_measured
 from layerkit.streaming.messages import encode_messages
 
 
@@ -85,8 +86,12 @@ def write_full(
     sort_by: list[str] | None = None,
     distribute: str = "rebalance",
 ) -> int:
-    """Replace ``table`` with ``df`` in one atomic write; returns the rows
-    written (observed during the write, no second pass).
+    """Replace ``table`` with ``df`` in one write; returns the rows written
+    (observed during the write, no second pass).
+
+    Not atomic on plain file tables: Spark drops the old table before it
+    writes the new one, so a reload that fails leaves no table and is run
+    again. Table formats with snapshots replace in one commit.
 
     With ``partition_by`` all partitions are written by one job (not one job
     per partition value); rows are arranged by ``distribute_for_write``.
@@ -162,6 +167,7 @@ def upsert_table(
     broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
     method: str = "auto",
     distribute: str = "rebalance",
+    missing: DataFrame | None = None,
 ) -> dict[str, int]:
     """Merge the unseen batches of ``source`` into the partitioned ``table``.
 
@@ -172,15 +178,23 @@ def upsert_table(
     target and staged in the checkpoint folder, then only the affected
     partitions are merged and written with dynamic partition overwrite; a
     partition the merge empties is dropped; ``distribute`` arranges the
-    rewritten rows as in ``write_full``. Returns the inserted / updated row
+    rewritten rows as in ``write_full``. ``missing`` passes the unseen batch
+    markers on when the caller has them. Returns the inserted / updated row
     counts.
+
+    A rewrite can be repeated: the merged rows are staged and recorded with
+    the table before its files are touched, and a run that finds such a record
+    finishes it first. A run that failed at any point, run again, gives what
+    it would have given uninterrupted.
     """
     if compat:
         rule = "differs"
     if method == "auto":
         method = "merge" if _provider(spark, table) in V2_FORMATS else "rewrite"
+    if method == "rewrite":
+        finish_pending(spark, table, layout, distribute)
     target = spark.table(table)
-    src, small = stage_measured(merge_source(target, source, layout, compat, broadcast_rows), broadcast_rows)
+    src, small = stage_measured(merge_source(target, source, layout, compat, broadcast_rows, missing), broadcast_rows)
     if method == "merge":
         return _merge_into(src, table, layout, rule, keep_year=compat)
     return _rewrite_partitions(spark, table, target, src, layout, rule, compat, small, distribute)
@@ -198,6 +212,13 @@ def _merge_into(src: DataFrame, table: str, layout: Layout, rule: str, keep_year
     if keep_year:
         sets.pop(layout.partition)
     cols = {c: F.col(f"source.`{c}`") for c in layout.typed_columns}
+    # MERGE reports no counts of its own: taken from the same staged source
+    narrow = src.select(F.col(key).alias("_k"), F.col(version).alias("_v"))
+    hit = narrow.join(src.sparkSession.table(table).select(key, version), F.col("_k") == F.col(key), "left_outer")
+    replaced = F.coalesce(F.col("_v") > F.col(version) if rule == "newer" else F.col("_v") != F.col(version), F.lit(False))
+    counts = hit.agg(
+        F.count(F.when(F.col(key).isNull(), 1)).alias("inserted"), F.count(F.when(replaced, 1)).alias("updated")
+    ).first()
     (
         src.alias("source")
         .mergeInto(table, t == s)
@@ -207,7 +228,8 @@ def _merge_into(src: DataFrame, table: str, layout: Layout, rule: str, keep_year
         .insert(cols)
         .merge()
     )
-    return {"source_rows": src.count()}
+    return {"inserted": counts["inserted"], "updated": counts["updated"]}
+
 
 
 def _rewrite_partitions(
@@ -256,9 +278,6 @@ def _rewrite_partitions(
     affected = {m.old for m in moves if m.action == "update"} | {m.new for m in moves}
     if not moves:
         return result
-    in_affected = F.col(part).isin([a for a in affected if a is not None])
-    if None in affected:
-        in_affected = in_affected | F.col(part).isNull()
     # A partition is emptied when every row it holds moves out and none moves in.
     moved_out, moved_in = {}, {}
     for m in moves:
@@ -267,10 +286,9 @@ def _rewrite_partitions(
         if m.action == "insert" or m.old != m.new:
             moved_in[m.new] = moved_in.get(m.new, 0) + m.n
     held = {
-        r[0]: r[1]
-        for r in target.where(F.col(part).isin(list(moved_out))).groupBy(part).count().collect()
+        r[0]: r[1] for r in target.where(_is_any(part, moved_out)).groupBy(part).count().collect()
     } if moved_out else {}
-    emptied = [y for y, n in moved_out.items() if y is not None and held.get(y) == n and not moved_in.get(y)]
+    emptied = [y for y, n in moved_out.items() if held.get(y) == n and not moved_in.get(y)]
 
     # 3. Merge only the affected partitions. The effective source holds the
     #    decided updates and inserts, so a key kept in an untouched
@@ -279,22 +297,59 @@ def _rewrite_partitions(
     effective = src.join(F.broadcast(decided) if small else decided, key, "left_semi").unionByName(
         src.where(F.col(key).isNull())
     )
-    merged = apply_merge(target.where(in_affected), effective, layout, rule, compat, small)
-    # Dynamic partition overwrite replaces only the partitions written; the old
-    # files stay readable until the job commits, so retried tasks read them
-    # intact. The mode is set for this write only.
-    out = distribute_for_write(merged.select(spark.table(table).columns), part, [layout.date], distribute)
-    mode_key = "spark.sql.sources.partitionOverwriteMode"
-    previous = spark.conf.get(mode_key)
-    spark.conf.set(mode_key, "dynamic")
-    try:
-        out.write.insertInto(table, overwrite=True)
-    finally:
-        spark.conf.set(mode_key, previous)
+    merged = apply_merge(target.where(_is_any(part, affected)), effective, layout, rule, compat, small)
+
+    # 4. Stage the merged partitions, record them with the table, commit.
+    path = scratch_path(spark, "upsert")
+    merged.select(target.columns).write.parquet(path)
+    record = json.dumps({"path": path, "emptied": emptied})
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{PENDING}' = '{record}')")
+    finish_pending(spark, table, layout, distribute)
+    return result
+
+
+# Table property that records a commit under way.
+PENDING = "layerkit.pending"
+
+
+def _is_any(column: str, values) -> Column:
+    """``column`` is one of ``values``, NULL included."""
+    cond = F.col(column).isin([v for v in values if v is not None])
+    return cond | F.col(column).isNull() if None in values else cond
+
+
+def _overwrite_partitions(spark: SparkSession, table: str, path: str, layout: Layout, distribute: str) -> None:
+    """Replace the partitions staged under ``path``. The overwrite mode is set
+    in a session of its own, so no other write of the caller's inherits it."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    name = table if "." in table else f"{spark.catalog.currentDatabase()}.{table}"
+    rows = own.read.schema(spark.table(table).schema).parquet(path)
+    distribute_for_write(rows, layout.partition, [layout.date], distribute).write.insertInto(name, overwrite=True)
+
+
+def _drop_partitions(spark: SparkSession, table: str, layout: Layout, emptied: list[str | None]) -> None:
     for year in emptied:
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({part} = '{year}')")
+        value = "null" if year is None else f"'{year}'"
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({layout.partition} = {value})")
+
+
+def _clear_pending(spark: SparkSession, table: str) -> None:
+    spark.sql(f"ALTER TABLE {table} UNSET TBLPROPERTIES IF EXISTS ('{PENDING}')")
+
+
+def finish_pending(spark: SparkSession, table: str, layout: Layout, distribute: str = "rebalance") -> None:
+    """Finish the commit recorded with ``table``, if any. Every step can be
+    repeated: the staged rows replace whole partitions, and dropping an
+    emptied partition twice is dropping it once."""
+    found = spark.sql(f"SHOW TBLPROPERTIES {table}").where(F.col("key") == PENDING).collect()
+    if not found:
+        return
+    record = json.loads(found[0]["value"])
+    _overwrite_partitions(spark, table, record["path"], layout, distribute)
+    _drop_partitions(spark, table, layout, record["emptied"])
+    _clear_pending(spark, table)
     spark.catalog.refreshTable(table)
-    return result
 
 
 def write_marts(marts: dict[str, DataFrame], namespace: str, fmt: str = "parquet") -> dict[str, int]:

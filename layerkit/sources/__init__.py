@@ -1,16 +1,28 @@
-from layerkit.sources.csv import parse_feed_text, read_feed_csv, read_feed_pages, read_records_csv, select_by_header
-from layerkit.sources.feed import day_range, feed_days, ingest_feed, land_days, landing_fetcher, next_day
+from layerkit.sources.csv import ragged_rows, read_feed_csv, read_records_csv, select_by_header
+from layerkit.sources.feed import (
+    day_range,
+    feed_days,
+    ingest_feed,
+    ingest_until_failure,
+    land_days,
+    land_pages,
+    next_day,
+    read_landing,
+    url_fetcher,
+)
 
 __all__ = [
-    "parse_feed_text",
+    "ragged_rows",
     "read_feed_csv",
-    "read_feed_pages",
     "read_records_csv",
     "select_by_header",
     "day_range",
     "feed_days",
     "ingest_feed",
+    "ingest_until_failure",
     "land_days",
-    "landing_fetcher",
+    "land_pages",
     "next_day",
+    "read_landing",
+    "url_fetcher",
 ]

@@ -4,29 +4,36 @@ Two bindings, as the two ingest paths need:
 
 * ``read_records_csv`` binds fields **by position** to the layout's raw
   columns; the header line is skipped, not read. Short rows are padded with
-  NULLs, long rows are cut.
+  NULLs and long rows are cut; ``ragged_rows`` counts both, ``strict`` refuses
+  them.
 * ``read_feed_csv`` binds fields **by header name** through the layout's
-  header map; a header absent from the file gives a NULL column, extra
-  headers are ignored, and column order in the file does not matter.
+  header map, every file by its own header line: a header absent from a file
+  gives a NULL column, extra headers are ignored, and the order and number of
+  columns do not matter. An empty field is empty text; the fields a short row
+  lacks are NULL.
 
 Both read quoted multi-line fields with ``"`` escaping ``"``. A multi-line
-CSV file cannot be split, so each file is one task: land many files, or pass
-``partitions`` to spread rows after the scan.
+CSV file cannot be split, so each file is one task: land many files, pass
+``partitions`` to spread rows after the scan, or ``multi_line=False`` for
+exports without line breaks inside fields, which Spark splits.
 """
 
 from __future__ import annotations
 
-import csv
-import io
+from collections.abc import Iterator
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-
 from layerkit.layout import COMPLAINTS, Layout
 
 _CSV = {"multiLine": "true", "escape": '"', "quote": '"', "mode": "PERMISSIVE"}
+_RAGGED = "_ragged_record"
+# So large that no file is split and no two files share a task.
+_ONE_FILE_PER_TASK = str(1 << 50)
 
 
 def _spread(df: DataFrame, partitions: int | None) -> DataFrame:
@@ -39,10 +46,15 @@ def read_records_csv(
     layout: Layout = COMPLAINTS,
     header: bool = True,
     partitions: int | None = None,
+    multi_line: bool = True,
+    strict: bool = False,
 ) -> DataFrame:
-    """Positional CSV read into the raw text columns."""
+    """Positional CSV read into the raw text columns. ``strict`` raises on a
+    row with more or fewer fields than the layout."""
     df = (
         spark.read.options(**_CSV)
+        .option("multiLine", str(multi_line).lower())
+        .option("mode", "FAILFAST" if strict else "PERMISSIVE")
         .option("header", str(header).lower())
         .option("enforceSchema", "true")
         .schema(layout.raw_schema)
@@ -51,24 +63,83 @@ def read_records_csv(
     return _spread(df, partitions)
 
 
+def _fields(record: Column) -> Column:
+    """How many fields a raw CSV record has: separators outside quotes, and one."""
+    bare = F.regexp_replace(record, r'"(?:[^"]|"")*"', "")
+    return F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
+
+
+def ragged_rows(
+    spark: SparkSession, path: str | list[str], layout: Layout = COMPLAINTS, header: bool = True, multi_line: bool = True
+) -> DataFrame:
+    """One row: the ``rows`` of a bulk CSV, how many of them are ``short``
+    (padded with NULLs) and how many ``cut`` (their further fields lost) by
+    ``read_records_csv``."""
+    schema = T.StructType([*layout.raw_schema.fields, T.StructField(_RAGGED, T.StringType())])
+    df = (
+        spark.read.options(**_CSV)
+        .option("multiLine", str(multi_line).lower())
+        .option("header", str(header).lower())
+        .option("enforceSchema", "true")
+        .option("columnNameOfCorruptRecord", _RAGGED)
+        .schema(schema)
+        .csv(path)
+    )
+    n, width = _fields(F.col(_RAGGED)), len(layout.raw)
+    # Spark refuses to read the raw record alone: a field is looked at too
+    whole = F.count(F.when(F.length(F.coalesce(F.col(f"`{layout.raw[0]}`"), F.lit(""))) >= 0, 1)).alias("rows")
+    return df.agg(whole, F.count(F.when(n < width, 1)).alias("short"), F.count(F.when(n > width, 1)).alias("cut"))
+
+
+def _first_lines(spark: SparkSession, path: str | list[str]) -> list[tuple[str, list[str]]]:
+    """Header lines and the files that begin with them.
+
+    Read on the executors, one task per file that stops after its first line;
+    the driver gets one row per distinct header with its files' names. An own
+    session holds the settings, so the caller's are not touched.
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.files.maxPartitionBytes", _ONE_FILE_PER_TASK)
+    own.conf.set("spark.sql.files.openCostInBytes", _ONE_FILE_PER_TASK)
+    own.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield batch.slice(0, 1)
+                return
+
+    lines = own.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
+    heads = lines.mapInArrow(first, "value string, file string")
+    heads = heads.select(F.regexp_replace("value", "^﻿", "").alias("value"), "file").where(F.trim("value") != "")
+    rows = heads.groupBy("value").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("value").collect()
+    return [(r["value"], r["files"]) for r in rows]
+
+
 def select_by_header(df: DataFrame, layout: Layout = COMPLAINTS, empty_as_null: bool = False) -> DataFrame:
     """Map display headers to raw column names; absent headers become NULL.
 
     Empty fields of present headers read as empty text, as a plain CSV
     dictionary reader gives them (Spark's reader would give NULL); pass
-    ``empty_as_null=True`` to keep NULL.
+    ``empty_as_null=True`` to keep NULL. With the record of ragged rows at
+    hand, the fields a short row lacks stay NULL.
     """
-    present = set(df.columns)
+    place = {c: i for i, c in enumerate(df.columns)}
 
-    def field(h: str):
-        c = F.col(f"`{h}`").cast("string")
-        return c if empty_as_null else F.coalesce(c, F.lit(""))
+    def field(h: str) -> Column:
+        c = F.col("`" + h.replace("`", "``") + "`").cast("string")
+        if empty_as_null:
+            return c
+        there = F.coalesce(c, F.lit(""))
+        if _RAGGED not in place:
+            return there
+        return F.when(F.col(_RAGGED).isNull() | (_fields(F.col(_RAGGED)) > place[h]), there)
 
     cols = [
-        (field(h) if h in present else F.lit(None).cast("string")).alias(name)
+        (field(h) if h in place else F.lit(None).cast("string")).alias(name)
         for h, name in layout.feed_headers
     ]
-    return df.select(cols)
+    return df.select(cols + [c for c in ("_file",) if c in place])
 
 
 def read_feed_csv(
@@ -77,85 +148,33 @@ def read_feed_csv(
     layout: Layout = COMPLAINTS,
     partitions: int | None = None,
     empty_as_null: bool = False,
+    keep_file: bool = False,
 ) -> DataFrame:
-    """Header-mapped CSV read. All files of one call share one header line
-    (Spark takes column names from the first file); read differently shaped
-    landings in separate calls and union them by name. A short row's
-    missing fields read as empty text here (a dictionary reader gives NULL)."""
-    df = (
-        spark.read.options(**_CSV)
-        .option("header", "true")
-        .option("inferSchema", "false")
-        .csv(path)
-    )
-    return _spread(select_by_header(df, layout, empty_as_null), partitions)
-
-
-def read_feed_pages(
-    spark: SparkSession,
-    path: str | list[str],
-    layout: Layout = COMPLAINTS,
-    width: int | None = None,
-    empty_as_null: bool = False,
-) -> DataFrame:
-    """Header-mapped read where every file may order (or omit) its headers
-    differently: each file's rows are bound by that file's own header line.
-
-    Files are read positionally into ``width`` text fields (default: twice
-    the number of known headers; fields past it are cut). A multi-line CSV
-    file is read whole, in order, by one task, so each file's first record
-    (its header) is the one with the smallest row id in that file. The
-    per-file header table (one row per file, from one aggregate) is broadcast
-    when its checked size allows it and joined back by file path: two scans
-    of the input in all.
+    """Header-mapped CSV read: every file's rows are bound by that file's own
+    header line, whatever its order and width.
+
+    The first line of each file is read first; files of one header are then
+    read by one scan, which checks every file's header again and raises if it
+    is not the expected one. So the input is read once, plus one line per
+    file. Files without a header line (empty pages) have no rows.
+    ``keep_file`` adds the column ``_file``.
     """
-    from layerkit.session import bounded_broadcast
-
-    width = width or 2 * len(layout.feed_headers)
-    fields = [f"_c{i}" for i in range(width)]
-    schema = T.StructType([T.StructField(c, T.StringType(), True) for c in fields])
-    raw = (
-        spark.read.options(**_CSV)
-        .option("header", "false")
-        .schema(schema)
-        .csv(path)
-        .select(*fields, F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_id"))
-    )
-    # One row per file: its first record (the header) and that record's id,
-    # then the (1-based) position of each known header, 0 when absent.
-    first = raw.groupBy("_file").agg(
-        F.min("_id").alias("_hid"), F.min_by(F.struct(*fields), F.col("_id")).alias("_hdr")
-    )
-    names = F.array(*[F.trim(F.col("_hdr").getField(c)) for c in fields])
-    heads = bounded_broadcast(
-        first.select(
-            "_file",
-            "_hid",
-            *[F.array_position(names, F.lit(h)).alias(f"_p{j}") for j, (h, _) in enumerate(layout.feed_headers)],
+    parts = []
+    for _, files in _first_lines(spark, path):
+        names = spark.read.options(**_CSV).option("header", "true").csv(files[0]).columns
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, _RAGGED]])
+        rows = (
+            spark.read.options(**_CSV)
+            .option("header", "true")
+            .option("enforceSchema", "false")
+            .option("columnNameOfCorruptRecord", _RAGGED)
+            .schema(schema)
+            .csv(files)
         )
-    )
-    # one join attaches the positions; the header record itself drops out
-    rows = raw.join(heads, "_file").where(F.col("_id") != F.col("_hid"))
-    values = F.array(*[F.col(c) for c in fields])
-
-    def field(j: int):
-        pos = F.col(f"_p{j}")
-        value = F.try_element_at(values, pos.cast("int"))
-        if not empty_as_null:
-            value = F.coalesce(value, F.lit(""))
-        return F.when(pos > 0, value).cast("string")
-
-    return rows.select([field(j).alias(name) for j, (_, name) in enumerate(layout.feed_headers)])
-
-
-def parse_feed_text(text: str, layout: Layout = COMPLAINTS) -> list[tuple]:
-    """Parse one fetched CSV page inside a task: rows as tuples in raw column
-    order, matched by header name (a small per-page helper for ``ingest_feed``).
-    Empty fields are empty text; absent headers and a short row's missing
-    fields are NULL."""
-    reader = csv.DictReader(io.StringIO(text))
-    present = set(reader.fieldnames or [])
-    headers = [h for h, _ in layout.feed_headers]
-    return [tuple(row.get(h) if h in present else None for h in headers) for row in reader]
-
-
+        if keep_file:
+            rows = rows.withColumn("_file", F.col("_metadata.file_path"))
+        parts.append(select_by_header(rows, layout, empty_as_null))
+    if not parts:
+        schema = layout.raw_schema.add("_file", "string") if keep_file else layout.raw_schema
+        return spark.createDataFrame([], schema)
+    return _spread(reduce(DataFrame.unionByName, parts), partitions)

@@ -1,25 +1,31 @@
 """The daily feed: where to resume, which days to ask for, and the fetch.
 
 The original job looped over days on the driver, one web request and one
-driver-side parse at a time. Here the day list is a DataFrame and each day is
-fetched and parsed inside a task by a caller-supplied ``fetch(day) -> str``
-(the CSV text of that day). Days run in parallel, a failed fetch raises and is
-retried by Spark, and nothing but the day list passes through the driver.
+driver-side parse at a time. Here the day list is a DataFrame; tasks fetch the
+days' pages side by side through a caller-supplied ``fetch(day) -> str``, the
+raw pages are landed in shared storage, and Spark's CSV reader parses them.
+A failed fetch raises and is retried by Spark; nothing but the day list passes
+through the driver.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import time
+import urllib.request
 from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from layerkit.functions.dates import safe_date
 from layerkit.layout import COMPLAINTS, Layout
-from layerkit.sources.csv import parse_feed_text
+from layerkit.session import scratch_path
+from layerkit.sources.csv import read_feed_csv
+
+# Days fetched at a time when the caller names no other number.
+DEFAULT_PARALLELISM = 8
 
 
 def _date(v: dt.date | str | Column) -> Column:
@@ -57,36 +63,110 @@ def day_range(spark: SparkSession, start: dt.date | str, stop: dt.date | str) ->
     return feed_days(spark.range(1).select(_date(start).alias("next_date")), stop)
 
 
-def ingest_feed(
+def url_fetcher(template: str, timeout: float = 60.0) -> Callable[[dt.date], str]:
+    """A ``fetch(day)`` over HTTP: ``template`` with ``{day}`` (ISO date) filled
+    in. Any status but 200 raises, so no error page is taken for data."""
+
+    def fetch(day: dt.date) -> str:
+        with urllib.request.urlopen(template.format(day=day.isoformat()), timeout=timeout) as reply:
+            if reply.status != 200:
+                raise RuntimeError(f"status {reply.status} for {day}")
+            return reply.read().decode("utf-8")
+
+    return fetch
+
+
+def land_pages(
     days: DataFrame,
     fetch: Callable[[dt.date], str],
-    layout: Layout = COMPLAINTS,
+    root: str,
     parallelism: int | None = None,
-) -> DataFrame:
-    """Fetch and parse each day in a task; rows in raw column order plus ``day``.
-
-    ``parallelism`` spreads days evenly over that many tasks (one day per task
-    when it is at least the number of days); without it the days are fetched
-    one after another, as the original did, which spares a rate-limited
-    service.
+    per_second: float | None = None,
+    keep_failed: bool = False,
+) -> None:
+    """Fetch each day in a task and land its raw page under
+    ``root/day=YYYY-MM-DD/``, one file per day.
+
+    ``parallelism`` days are fetched at a time (``DEFAULT_PARALLELISM``
+    without it); ``per_second`` bounds the requests of all tasks together.
+    ``keep_failed`` lands a day whose fetch raised as ``failed/`` beside
+    ``pages/`` instead of failing the job.
     """
-    schema = T.StructType([*layout.raw_schema.fields, T.StructField("day", T.DateType())])
-    names = [f.name for f in schema.fields]
+    n = parallelism or DEFAULT_PARALLELISM
+    pause = n / per_second if per_second else 0.0
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for day in pdf["day"]:
                 d = day if isinstance(day, dt.date) else pd.Timestamp(day).date()
-                rows = parse_feed_text(fetch(d), layout)
-                if rows:
-                    out = pd.DataFrame(rows, columns=list(layout.raw), dtype=object)
-                    out["day"] = d
-                    yield out[names]
+                began, kind = time.monotonic(), "pages"
+                try:
+                    page = fetch(d)
+                except Exception as e:
+                    if not keep_failed:
+                        raise
+                    kind, page = "failed", f"{type(e).__name__}: {e}"
+                yield pd.DataFrame({"kind": [kind], "day": [d], "value": [page]})
+                time.sleep(max(0.0, pause - (time.monotonic() - began)))
 
     # Range split of the (distinct, small) day list: an even, contiguous share
     # of days per task, where hashing could leave tasks idle or doubled up.
-    spread = days.repartitionByRange(parallelism, "day") if parallelism else days
-    return spread.mapInPandas(run, schema)
+    pages = days.repartitionByRange(n, "day").mapInPandas(run, "kind string, day date, value string")
+    pages.write.partitionBy("kind", "day").mode("append").text(root)
+
+
+def read_landing(spark: SparkSession, root: str, layout: Layout = COMPLAINTS, empty_as_null: bool = False) -> DataFrame:
+    """The pages under ``root/.../day=YYYY-MM-DD/``: raw columns and ``day``."""
+    rows = read_feed_csv(spark, root, layout, empty_as_null=empty_as_null, keep_file=True)
+    day = F.regexp_extract("_file", r"/day=([0-9]{4}-[0-9]{2}-[0-9]{2})/", 1)
+    return rows.select(*layout.raw, day.cast("date").alias("day"))
+
+
+def ingest_feed(
+    days: DataFrame,
+    fetch: Callable[[dt.date], str],
+    layout: Layout = COMPLAINTS,
+    parallelism: int | None = None,
+    per_second: float | None = None,
+    root: str | None = None,
+) -> DataFrame:
+    """Fetch each day, land the raw pages under ``root`` (a new folder in the
+    shared checkpoint folder by default) and read them: raw columns and
+    ``day``. The fetch runs now; the result reads the landed files."""
+    spark = days.sparkSession
+    root = root or scratch_path(spark, "feed")
+    land_pages(days, fetch, root, parallelism, per_second)
+    return _landed(spark, root, layout)
+
+
+def _landed(spark: SparkSession, root: str, layout: Layout) -> DataFrame:
+    # partition discovery tells whether any page was landed (a day may be empty)
+    if not spark.read.text(root).columns[1:]:
+        return spark.createDataFrame([], layout.raw_schema.add("day", "date"))
+    return read_landing(spark, root, layout)
+
+
+def ingest_until_failure(
+    days: DataFrame,
+    fetch: Callable[[dt.date], str],
+    layout: Layout = COMPLAINTS,
+    parallelism: int | None = None,
+    per_second: float | None = None,
+) -> tuple[DataFrame, dt.date | None]:
+    """Like ``ingest_feed``, but a failing day fails neither the job nor the
+    days before it: returns the rows of all days before the first that failed,
+    and that day (None when none did). The next run resumes there."""
+    spark = days.sparkSession
+    root = scratch_path(spark, "feed")
+    land_pages(days, fetch, root, parallelism, per_second, keep_failed=True)
+    landed = spark.read.text(root)
+    first = None
+    if "kind" in landed.columns:
+        first = landed.where("kind = 'failed'").agg(F.min(F.col("day").cast("date"))).first()[0]
+        if landed.where("kind = 'pages'").limit(1).count():
+            rows = read_landing(spark, f"{root}/kind=pages", layout)
+            return (rows if first is None else rows.where(F.col("day") < F.lit(first))), first
+    return spark.createDataFrame([], layout.raw_schema.add("day", "date")), first
 
 
 def land_days(rows: DataFrame, root: str, layout: Layout = COMPLAINTS) -> None:
@@ -102,32 +182,3 @@ def land_days(rows: DataFrame, root: str, layout: Layout = COMPLAINTS) -> None:
         .option("escape", '"')
         .csv(root)
     )
-
-
-def landing_fetcher(root: str) -> Callable[[dt.date], str]:
-    """A ``fetch(day)`` for ``ingest_feed`` that returns the CSV page(s) landed
-    under ``root/day=YYYY-MM-DD/`` as one text (one header, then every
-    file's records); an absent day is an empty page. Reads through
-    ``pyarrow.fs``, so local paths and object-store URIs both work."""
-
-    def fetch(day: dt.date) -> str:
-        import pyarrow.fs as pafs
-
-        if "://" in root:
-            fs, base = pafs.FileSystem.from_uri(root)
-        else:
-            fs, base = pafs.LocalFileSystem(), root
-        sel = pafs.FileSelector(f"{base.rstrip('/')}/day={day.isoformat()}", allow_not_found=True)
-        files = sorted(i.path for i in fs.get_file_info(sel) if i.is_file and i.base_name.endswith(".csv"))
-        pages = []
-        for path in files:
-            with fs.open_input_stream(path) as f:
-                pages.append(f.read().decode("utf-8"))
-        pages = [p for p in pages if p]
-        if not pages:
-            return ""
-        # every file starts with the same header line; keep the first only
-        bodies = [p.split("\n", 1)[1] if "\n" in p else "" for p in pages[1:]]
-        return "".join([pages[0], *bodies])
-
-    return fetch

@@ -1,9 +1,9 @@
-from layerkit.streaming.drain import ProgressLog, progress_rows, stream_source, stream_to_table
+from layerkit.streaming.drain import ProgressLog, logged_drain, stream_source, stream_to_table
 from layerkit.streaming.messages import decode_messages, encode_messages
 
 __all__ = [
     "ProgressLog",
-    "progress_rows",
+    "logged_drain",
     "stream_source",
     "stream_to_table",
     "decode_messages",

@@ -3,6 +3,9 @@ and a per-batch progress record."""
 
 from __future__ import annotations
 
+import time
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
@@ -72,24 +75,9 @@ def stream_to_table(
     return q
 
 
-def progress_rows(query: StreamingQuery) -> list[dict]:
-    """Per micro-batch: id, input rows, and sink rows (-1 when the sink does
-    not report them, as file sinks do)."""
-    out = []
-    for p in query.recentProgress:
-        sink = p.get("sink", {}) if isinstance(p, dict) else {}
-        out.append(
-            {
-                "batch_id": p.get("batchId"),
-                "input_rows": p.get("numInputRows"),
-                "sink_rows": sink.get("numOutputRows", -1),
-            }
-        )
-    return out
-
-
 class ProgressLog(StreamingQueryListener):
-    """Listener that records start, per-batch row counts and end of queries."""
+    """Listener that records start, per-batch row counts and end of queries:
+    every micro-batch, however many (a query's own list keeps the last 100)."""
 
     def __init__(self, echo: bool = True):
         self.events: list[tuple] = []
@@ -112,3 +100,28 @@ class ProgressLog(StreamingQueryListener):
 
     def onQueryTerminated(self, event):
         self._log("terminated", str(event.id))
+
+    def rows(self) -> list[dict]:
+        """Per micro-batch: id, input rows, and sink rows (-1 when the sink
+        does not report them, as file sinks do)."""
+        return [{"batch_id": e[2], "input_rows": e[3], "sink_rows": e[4]} for e in self.events if e[0] == "progress"]
+
+    def ended(self, query_id: str) -> bool:
+        return ("terminated", query_id) in self.events
+
+
+def logged_drain(spark: SparkSession, start: Callable[[], StreamingQuery], seconds: float = 60.0) -> ProgressLog:
+    """Run ``start()`` (a drain that waits for its end) with a ``ProgressLog``
+    attached, and return the log once the end has reached it."""
+    log = ProgressLog(echo=False)
+    spark.streams.addListener(log)
+    try:
+        query = start()
+        until = time.monotonic() + seconds
+        while not log.ended(str(query.id)):
+            if time.monotonic() > until:
+                raise TimeoutError("the listener did not report the query's end")
+            time.sleep(0.05)
+    finally:
+        spark.streams.removeListener(log)
+    return log

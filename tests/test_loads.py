@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from layerkit.functions import has_date
@@ -7,7 +8,14 @@ from layerkit.layout import COMPLAINTS as L
 from layerkit.operators import to_silver, upsert
 from layerkit.plans import fixtures as fx
 from layerkit.plans import loads
-from layerkit.sinks import append_batch
+from layerkit.sinks.tables import (
+    append_batch,
+    create_layer_table,
+    create_namespace,
+    drop_table,
+    list_namespaces,
+    upsert_table,
+)
 from layerkit.streaming import stream_source
 from tests.conftest import SF001
 
@@ -56,7 +64,7 @@ def test_initial_all_then_incremental(spark, tmp):
 
     expected = key_rows(upsert(spark.table("t1_silver.complaints"), spark.table("t1_bronze.complaints")))
     rep = loads.incremental_silver(spark, "t1_bronze", "t1_silver")
-    assert rep["missing_batches"] == [b2] and rep["missing_count"] == 1
+    assert [r[0] for r in rep["missing_batches"].collect()] == [b2] and rep["missing_count"] == 1
     assert rep["inserted"] == 5 + (n_changed - n_upd)
     assert rep["updated"] == n_upd > 0
     assert key_rows(spark.table("t1_silver.complaints")) == expected
@@ -92,6 +100,102 @@ def test_rewrite_drops_emptied_partition(spark, tmp):
     assert got == {"a": "2003", "b": "2002"}
 
 
+def small_layer(spark, name):
+    """A bronze and a silver of three keys, one of them undated in silver (a
+    compat load), and a later batch that moves all three to other years."""
+    schema = ", ".join(f"{c} string" for c in L.bronze_columns[:-1]) + ", creation_time timestamp"
+
+    def rec(k, d, t):
+        v = {c: None for c in L.bronze_columns} | {"complaint_id": k, "date_received": d, "creation_time": t}
+        return tuple(v[c] for c in L.bronze_columns)
+
+    t1, t2 = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)
+    b, s = f"{name}_bronze", f"{name}_silver"
+    for ns in (b, s):
+        spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {ns}")
+    first = [rec("a", "2001-01-01", t1), rec("b", "2002-01-01", t1), rec("u", "undated", t1)]
+    spark.createDataFrame(first, schema).write.saveAsTable(f"{b}.complaints")
+    create_layer_table(spark, f"{s}.complaints", L)
+    upsert_table(spark, f"{s}.complaints", spark.table(f"{b}.complaints"), L, compat=True)
+    more = [rec("a", "2003-03-03", t2), rec("u", "2004-04-04", t2), rec("n", "2002-05-05", t2)]
+    append_batch(spark.createDataFrame(more, schema), f"{b}.complaints")
+    return b, s
+
+
+def layer(spark, s):
+    parts = sorted(r[0] for r in spark.sql(f"SHOW PARTITIONS {s}.complaints").collect())
+    return parts, sorted((r.complaint_id, r.complaint_year) for r in spark.table(f"{s}.complaints").collect())
+
+
+DONE = (
+    ["complaint_year=2002", "complaint_year=2003", "complaint_year=2004"],
+    [("a", "2003"), ("b", "2002"), ("n", "2002"), ("u", "2004")],
+)
+
+
+def test_rewrite_empties_the_null_partition(spark):
+    b, s = small_layer(spark, "t15")
+    assert ("u", None) in layer(spark, s)[1]
+    got = upsert_table(spark, f"{s}.complaints", spark.table(f"{b}.complaints"), L)
+    assert got == {"inserted": 1, "updated": 2}
+    assert layer(spark, s) == DONE
+
+
+@pytest.mark.parametrize("step", ["_overwrite_partitions", "_drop_partitions", "_clear_pending", "distribute_for_write"])
+@pytest.mark.parametrize("after", [False, True])
+def test_a_run_that_failed_anywhere_can_be_repeated(spark, monkeypatch, step, after):
+    from layerkit.sinks import tables
+
+    b, s = small_layer(spark, f"t6_{step.strip('_')}_{after}".lower())
+    real = getattr(tables, step)
+
+    def fail(*a, **k):
+        if after:
+            real(*a, **k)
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(tables, step, fail)
+    with pytest.raises(RuntimeError, match="lost"):
+        upsert_table(spark, f"{s}.complaints", spark.table(f"{b}.complaints"), L)
+    monkeypatch.setattr(tables, step, real)
+    upsert_table(spark, f"{s}.complaints", spark.table(f"{b}.complaints"), L)
+    assert layer(spark, s) == DONE
+    assert upsert_table(spark, f"{s}.complaints", spark.table(f"{b}.complaints"), L) == {"inserted": 0, "updated": 0}
+
+
+def test_all_missing_batches_are_reported(spark):
+    schema = ", ".join(f"{c} string" for c in L.bronze_columns[:-1]) + ", creation_time timestamp"
+    rows = []
+    for i in range(25):
+        v = {c: None for c in L.bronze_columns} | {"complaint_id": f"k{i}", "date_received": "2020-01-01"}
+        v["creation_time"] = dt.datetime(2024, 1, 1) + dt.timedelta(days=i)
+        rows.append(tuple(v[c] for c in L.bronze_columns))
+    for ns in ("t7_bronze", "t7_silver"):
+        spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {ns}")
+    spark.createDataFrame(rows, schema).write.saveAsTable("t7_bronze.complaints")
+    create_layer_table(spark, "t7_silver.complaints", L)
+    rep = loads.incremental_silver(spark, "t7_bronze", "t7_silver")
+    assert rep["missing_count"] == 25 and rep["missing_batches"].count() == 25
+    assert rep["inserted"] == 25
+
+
+def test_one_file_export_is_written_in_parallel(spark, tmp):
+    path = f"{tmp}/one"
+    fx.bronze_fixture(spark, SF001).select(*L.raw).coalesce(1).write.option("header", "true").option("escape", '"').csv(path)
+    loads.initial_bronze(spark, path, "t8_bronze", partitions=4)
+    assert len(spark.table("t8_bronze.complaints").inputFiles()) == 4
+
+
+def test_namespaces_and_tables_come_and_go(spark):
+    create_namespace(spark, "t9_ns")
+    assert "t9_ns" in list_namespaces(spark)
+    create_layer_table(spark, "t9_ns.complaints", L, typed=False)
+    assert spark.table("t9_ns.complaints").columns == L.bronze_columns
+    drop_table(spark, "t9_ns.complaints")
+    drop_table(spark, "t9_ns.complaints")
+    assert not spark.catalog.tableExists("t9_ns.complaints")
+
+
 def test_feed_and_stream_to_bronze(spark, tmp):
     schema = ", ".join(f"{c} string" for c in L.bronze_columns[:-1]) + ", creation_time timestamp"
     seed = {c: None for c in L.bronze_columns} | {

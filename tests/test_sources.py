@@ -1,7 +1,23 @@
 import datetime as dt
 
 from layerkit.layout import COMPLAINTS as L
-from layerkit.sources import day_range, feed_days, ingest_feed, next_day, parse_feed_text, read_feed_csv, read_records_csv
+import os
+
+import pytest
+
+from layerkit.sources import (
+    day_range,
+    feed_days,
+    ingest_feed,
+    ingest_until_failure,
+    land_days,
+    next_day,
+    ragged_rows,
+    read_feed_csv,
+    read_landing,
+    read_records_csv,
+    url_fetcher,
+)
 from tests.test_promote import bronze_rows
 
 # F-csv: header in another order than the schema, a quoted field with a
@@ -54,17 +70,29 @@ def test_feed_csv_by_header_name(spark, tmp):
     assert r["date_received"] == "val-date_received" and r["timely"] == "val-timely"
 
 
-def test_parse_feed_text_matches_reader(spark, tmp):
-    text = "Complaint ID,Date received,State\n1,2024-01-05,CA\n2,,\"N\nY\"\n"
-    rows = parse_feed_text(text)
-    assert len(rows) == 2 and rows[0][L.raw.index("complaint_id")] == "1"
-    assert rows[1][L.raw.index("state")] == "N\nY"
+def test_empty_and_missing_fields(spark, tmp):
+    text = "Complaint ID,Date received,State\n1,2024-01-05,CA\n2,,\"N\nY\"\n3\n4,2024-01-06\n"
     path = write(tmp, "p.csv", text)
-    spark_rows = [tuple(r) for r in read_feed_csv(spark, path).collect()]
-    assert sorted(spark_rows, key=str) == sorted(rows, key=str)
-    # empty fields as NULL on request
-    nulls = [tuple(r) for r in read_feed_csv(spark, path, empty_as_null=True).collect()]
-    assert sorted(nulls, key=str) == sorted((tuple(None if v == "" else v for v in r) for r in rows), key=str)
+    got = {r.complaint_id: (r.date_received, r.state) for r in read_feed_csv(spark, path).collect()}
+    # an empty field is empty text, a field the row lacks is NULL
+    assert got == {"1": ("2024-01-05", "CA"), "2": ("", "N\nY"), "3": (None, None), "4": ("2024-01-06", None)}
+    nulls = {r.complaint_id: r.date_received for r in read_feed_csv(spark, path, empty_as_null=True).collect()}
+    assert nulls["2"] is None
+
+
+def test_bulk_csv_counts_ragged_rows_and_strict_refuses_them(spark, tmp):
+    full = [f"v{i}" for i in range(16)]
+    quoted = list(full)
+    quoted[2] = '"a, ""b"", c"'
+    text = "\n".join([HEADER, line(full), line(quoted), line(full[:4]), line(full + ["x"]), line(full[:1])]) + "\n"
+    path = write(tmp, "r.csv", text)
+    assert tuple(ragged_rows(spark, path).first()) == (5, 2, 1)
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_records_csv(spark, path, strict=True).collect()
+    fine = write(tmp, "f.csv", "\n".join([HEADER, line(full), line(quoted)]) + "\n")
+    assert read_records_csv(spark, fine, strict=True).count() == 2
+    a = sorted(map(tuple, read_records_csv(spark, fine, multi_line=False).collect()))
+    assert a == sorted(map(tuple, read_records_csv(spark, fine).collect()))
 
 
 def test_next_day_and_empty_layer(spark):
@@ -101,41 +129,87 @@ def test_ingest_feed_runs_one_fetch_per_day(spark):
 
 
 def test_landed_pages_round_trip(spark, tmp):
-    from layerkit.sources import land_days, landing_fetcher
-
     rows = spark.createDataFrame(
         [("2024-01-01", "A", "1"), ("2024-01-01", "B, Inc", "2"), ("2024-01-03", 'say "hi"', "3"), ("bad", "C", "4")],
         "date_received string, company string, complaint_id string",
     )
     land_days(rows.repartition(2), f"{tmp}/land")
-    fetch = landing_fetcher(f"{tmp}/land")
-    got = ingest_feed(day_range(spark, "2024-01-01", "2024-01-05"), fetch, parallelism=2).collect()
-    by_id = {r.complaint_id: r for r in got}
+    by_id = {r.complaint_id: r for r in read_landing(spark, f"{tmp}/land").collect()}
     assert set(by_id) == {"1", "2", "3"}  # the undated record has no page
     assert by_id["3"].company == 'say "hi"' and by_id["2"].company == "B, Inc"
-    assert by_id["1"].issue is None  # a header the page does not carry
-    assert fetch(dt.date(2024, 1, 2)) == ""
-
-
-def test_feed_pages_with_different_header_orders(spark, tmp):
-    from layerkit.sources.csv import read_feed_pages
+    assert by_id["1"].issue is None and by_id["3"].day == dt.date(2024, 1, 3)
 
-    import os
 
+def pages(tmp):
+    """Three header orders, a header absent from one page, a known header past
+    the fiftieth column, a long field, a short row, and pages without rows."""
     os.makedirs(f"{tmp}/pages", exist_ok=True)
-    # page 1: Complaint ID, Date received, Company; page 2: reversed, plus an
-    # unknown header and a quoted multi-line field; page 3: no Company header
-    write(tmp, "pages/p1.csv", "Complaint ID,Date received,Company\n1,2024-01-01,A\n2,,B\n")
+    write(tmp, "pages/p1.csv", "Complaint ID,Date received,Company\n1,2024-01-01,A\n2,,B\n9,2024-01-09\n")
     write(tmp, "pages/p2.csv", 'Company,Unknown,Date received,Complaint ID\n"C, Inc",x,2024-01-02,3\n"D\nline",y,2024-01-03,4\n')
     write(tmp, "pages/p3.csv", "Date received,Complaint ID\n2024-01-04,5\n")
-    got = {r.complaint_id: r for r in read_feed_pages(spark, f"{tmp}/pages").collect()}
-    assert set(got) == {"1", "2", "3", "4", "5"}
-    assert got["1"].company == "A" and got["1"].date_received == "2024-01-01"
-    assert got["2"].date_received == ""  # empty field of a present header
-    assert got["3"].company == "C, Inc" and got["4"].company == "D\nline"
-    assert got["5"].company is None  # header absent from that page
-    # each page alone gives what the per-page parser gives
-    for name in ("p1", "p2", "p3"):
-        text = open(f"{tmp}/pages/{name}.csv").read()
-        one = sorted((tuple(r) for r in read_feed_pages(spark, f"{tmp}/pages/{name}.csv").collect()), key=str)
-        assert one == sorted(parse_feed_text(text), key=str)
+    wide = ",".join(f"U{i}" for i in range(50))
+    write(tmp, "pages/p4.csv", f"{wide},Complaint ID,Company\n{','.join(['x'] * 50)},6,\"{'n' * 200_000}\"\n")
+    write(tmp, "pages/p5.csv", "")
+    write(tmp, "pages/p6.csv", "\n")
+    write(tmp, "pages/p7.csv", "Company,Complaint ID\n")
+    return f"{tmp}/pages"
+
+
+def test_every_file_is_bound_by_its_own_header(spark, tmp):
+    df = read_feed_csv(spark, pages(tmp))
+    # how files are packed into tasks may change after the frame is built
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        got = {r.complaint_id: (r.date_received, r.company) for r in df.collect()}
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", before)
+    assert got == {
+        "1": ("2024-01-01", "A"),
+        "2": ("", "B"),
+        "3": ("2024-01-02", "C, Inc"),
+        "4": ("2024-01-03", "D\nline"),
+        "5": ("2024-01-04", None),
+        "6": (None, "n" * 200_000),
+        "9": ("2024-01-09", None),
+    }
+    assert read_feed_csv(spark, f"{tmp}/pages/p6.csv").count() == 0
+
+
+def test_one_failing_day_keeps_the_days_before_it(spark):
+    def fetch(day):
+        if day.day == 5:
+            raise ValueError("no page")
+        return f"Complaint ID,Date received\n{day},{day}\n"
+
+    rows, failed = ingest_until_failure(day_range(spark, "2024-01-01", "2024-01-09"), fetch)
+    assert sorted(r.complaint_id for r in rows.collect()) == [f"2024-01-0{i}" for i in (1, 2, 3, 4)]
+    assert failed == dt.date(2024, 1, 5)
+    rows, failed = ingest_until_failure(day_range(spark, "2024-01-05", "2024-01-06"), fetch)
+    assert rows.count() == 0 and failed == dt.date(2024, 1, 5)
+    with pytest.raises(Exception, match="no page"):
+        ingest_feed(day_range(spark, "2024-01-01", "2024-01-09"), fetch)
+    assert ingest_feed(day_range(spark, "2024-01-01", "2024-01-01"), fetch).count() == 0
+
+
+def test_url_fetcher_raises_on_a_bad_status(monkeypatch):
+    import urllib.request
+
+    class Reply:
+        def __init__(self, url):
+            self.status = 200 if "2024-01-01" in url else 204
+
+        def __enter__(self):
+            return self
+
+        def __exit__(self, *a):
+            return False
+
+        def read(self):
+            return "Complaint ID\né\n".encode()
+
+    monkeypatch.setattr(urllib.request, "urlopen", lambda url, timeout: Reply(url))
+    fetch = url_fetcher("https://example.org/{day}.csv")
+    assert fetch(dt.date(2024, 1, 1)) == "Complaint ID\né\n"
+    with pytest.raises(RuntimeError):
+        fetch(dt.date(2024, 1, 2))
