@@ -8,10 +8,13 @@ Column names and types agree between the two.
 
 from __future__ import annotations
 
+import datetime as dt
+import os
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,9 +39,10 @@ from layerkit.functions.messages import from_message
 from layerkit.plans import fixtures as fx
 from layerkit.session import scratch_path
 from layerkit.plans import loads
-from layerkit.sinks.tables import create_layer_table, create_namespace, upsert_table, write_full, write_messages
+from layerkit.functions.dates import safe_date
+from layerkit.sinks.tables import append_batch, create_layer_table, create_namespace, upsert_table, write_full, write_messages
 from layerkit.sources.csv import read_feed_csv, read_records_csv
-from layerkit.sources.feed import feed_days, next_day
+from layerkit.sources.feed import feed_days, land_days, next_day
 from layerkit.streaming.drain import stream_source, stream_to_table
 from layerkit.streaming.messages import decode_messages, encode_messages
 
@@ -239,6 +243,134 @@ def q_upsert_table_into_empty(spark, sf):
     return spark.table(table).select(L.typed_columns)
 
 
+def _export(spark: SparkSession, rows: DataFrame) -> str:
+    path = scratch_path(spark, "export")
+    rows.select(*L.raw).write.option("header", "true").option("escape", '"').csv(path)
+    return path
+
+
+def _no_lineage(spark: SparkSession, ns: str) -> DataFrame:
+    return spark.table(f"{ns}.complaints").select([c for c in L.typed_columns if c not in (L.origin, L.batch)])
+
+
+def _namespaces(spark: SparkSession) -> tuple[str, str, str]:
+    return tuple(_namespace(spark, n) for n in ("bronze", "silver", "gold"))
+
+
+def q_initial_all(spark, sf):
+    """L4 (L1 to L3): CSV export -> bronze, silver and gold tables."""
+    names = _namespaces(spark)
+    loads.initial_all(spark, _export(spark, _bronze(spark, sf)), names)
+    return _no_lineage(spark, names[2])
+
+
+def q_incremental_tables(spark, sf):
+    """L8 and L9: the first batch loaded in full, the second through two
+    incremental runs into silver and gold."""
+    b, s, g = _namespaces(spark)
+    bronze = _bronze(spark, sf)
+    first = F.col(L.batch) == fx._ntz(fx.BATCH_1)
+    append_batch(bronze.where(first), f"{b}.complaints")
+    loads.initial_silver(spark, b, s)
+    loads.initial_gold(spark, s, g)
+    append_batch(bronze.where(~first), f"{b}.complaints")
+    loads.incremental_silver(spark, b, s)
+    loads.incremental_gold(spark, s, g)
+    return spark.table(f"{g}.complaints").select(L.typed_columns)
+
+
+def q_append_batch(spark, sf):
+    """K3: two appended batches, matched by column name."""
+    ns = _namespace(spark, "bronze")
+    bronze = _bronze(spark, sf)
+    first = F.col(L.batch) == fx._ntz(fx.BATCH_1)
+    append_batch(bronze.where(first), f"{ns}.complaints")
+    append_batch(bronze.where(~first).select(*reversed(L.bronze_columns)), f"{ns}.complaints")
+    return spark.table(f"{ns}.complaints").select(L.bronze_columns)
+
+
+def q_marts_tables(spark, sf):
+    """L10: the three mart tables of a bronze layer, as written; ``place`` is
+    a row's rank in its mart's order (companies have none)."""
+    ns = _namespace(spark, "bronze")
+    append_batch(_bronze(spark, sf), f"{ns}.complaints")
+    loads.layer_marts(spark, ns)
+    empty = F.lit(None).cast("long")
+    company = spark.table(f"{ns}.company").select(F.lit("company").alias("mart"), F.col("company").alias("value"), empty.alias("count"), empty.alias("place"))
+    parts = [company]
+    for mart, key, order in (
+        ("summary_by_state", "state", (F.desc("count"), F.asc_nulls_last("state"))),
+        ("summary_by_year", "year", (F.desc_nulls_last("year"),)),
+    ):
+        # a mart has as many rows as there are states or years
+        place = F.row_number().over(Window.orderBy(*order)).cast("long")
+        parts.append(spark.table(f"{ns}.{mart}").select(F.lit(mart).alias("mart"), F.col(key).alias("value"), "count", place.alias("place")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+FEED_FROM = dt.date(2024, 1, 1)
+FEED_PAGES = 5
+
+
+def _feed(spark: SparkSession, sf: str, per_day: bool) -> DataFrame:
+    """L5: all dated records served as the pages of a few days. The pages lie
+    in the shared folder; ``fetch`` reads them there with plain Python."""
+    pages = scratch_path(spark, "served")
+    ns = _namespace(spark, "bronze")
+    create_layer_table(spark, f"{ns}.complaints", L, typed=False)
+    day = F.date_add(F.lit(FEED_FROM), (F.col(L.key).cast("long") % FEED_PAGES).cast("int"))
+    rows = _bronze(spark, sf).select(*L.raw).withColumn(L.date, day.cast("string"))
+    land_days(rows.repartition(L.date), pages)
+    root = pages.removeprefix("file:")
+
+    def fetch(d: dt.date) -> str:
+        folder = f"{root}/day={d.isoformat()}"
+        files = [f for f in sorted(os.listdir(folder)) if f.endswith(".csv")] if os.path.isdir(folder) else []
+        return "".join(open(f"{folder}/{f}", encoding="utf-8").read() for f in files)
+
+    stop = FEED_FROM + dt.timedelta(days=FEED_PAGES)
+    loads.feed_to_bronze(spark, ns, fetch, stop, default_start=FEED_FROM, per_day=per_day)
+    loaded = spark.table(f"{ns}.complaints")
+    rows = loaded.select(*L.raw, L.origin)
+    markers = loaded.agg(F.countDistinct(L.batch)).first()[0]
+    return rows.withColumn("markers", F.lit(markers).cast("long")) if per_day else rows
+
+
+def q_feed_to_bronze(spark, sf):
+    return _feed(spark, sf, per_day=False)
+
+
+def q_feed_to_bronze_per_day(spark, sf):
+    return _feed(spark, sf, per_day=True)
+
+
+def q_stream_to_bronze_table(spark, sf):
+    """L7: messages drained into a bronze table, with its marts."""
+    ns = _namespace(spark, "bronze")
+    topic, ckpt = scratch_path(spark, "topic"), scratch_path(spark, "ckpt")
+    write_messages(_bronze(spark, sf), fmt="text", path=topic)
+    loads.stream_to_bronze(spark, stream_source(spark, fmt="text", path=topic), ns, ckpt)
+    return spark.table(f"{ns}.complaints").select(*L.raw, L.origin)
+
+
+def q_upsert_table_null_year(spark, sf):
+    """A compat load that leaves undated rows under the NULL year, then a
+    default run whose second batch dates them: the NULL partition goes."""
+    ns = _namespace(spark, "silver")
+    table = f"{ns}.complaints"
+    create_layer_table(spark, table, L, batch_type=T.TimestampNTZType())
+    bronze = _bronze(spark, sf).withColumn(L.batch, fx._ntz(fx.BATCH_1))
+    upsert_table(spark, table, bronze, L, compat=True)
+    dated = bronze.where(safe_date(L.date).isNull()).withColumns(
+        {L.date: F.lit(NULL_YEAR_DATE), L.batch: fx._ntz(fx.BATCH_2)}
+    )
+    upsert_table(spark, table, dated, L)
+    return spark.table(table).select(L.typed_columns)
+
+
+NULL_YEAR_DATE = "2002-02-02"
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "valid_records": q_valid_records,
     "normalize": q_normalize,
@@ -270,6 +402,14 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "upsert_table_fresh": q_upsert_table_fresh,
     "upsert_table_replay_compat": q_upsert_table_replay_compat,
     "upsert_table_into_empty": q_upsert_table_into_empty,
+    "upsert_table_null_year": q_upsert_table_null_year,
+    "initial_all": q_initial_all,
+    "incremental_tables": q_incremental_tables,
+    "append_batch": q_append_batch,
+    "marts_tables": q_marts_tables,
+    "feed_to_bronze": q_feed_to_bronze,
+    "feed_to_bronze_per_day": q_feed_to_bronze_per_day,
+    "stream_to_bronze_table": q_stream_to_bronze_table,
 }
 
 
@@ -363,6 +503,9 @@ _DATED = {
     "upsert_table_fresh": V.dates,
     "upsert_table_replay_compat": V.dates,
     "upsert_table_into_empty": L.dates,
+    "upsert_table_null_year": L.dates,
+    "initial_all": L.dates,
+    "incremental_tables": L.dates,
 }
 
 
@@ -391,6 +534,9 @@ def _oracle_sql() -> dict[str, str]:
         f"CASE WHEN {batch_1} THEN COALESCE({c}, '') END AS {c}" if h == FEED_DROPPED else f"COALESCE({c}, '') AS {c}"
         for h, c in L.feed_headers
     )
+    no_lineage = ", ".join(c for c in L.typed_columns if c not in (L.origin, L.batch))
+    served_day = f"strftime(DATE '{FEED_FROM}' + CAST(CAST({L.key} AS BIGINT) % {FEED_PAGES} AS INTEGER), '%Y-%m-%d')"
+    served = ", ".join(f"{served_day} AS {c}" if c == L.date else f"COALESCE({c}, '') AS {c}" for c in L.raw)
     fresh = _with(**_fresh_target_ctes())
     vers = _with(**_versions_ctes())
     next_date = f"SELECT max(TRY_CAST({L.date} AS DATE)) + 1 AS next_date FROM bronze"
@@ -439,4 +585,26 @@ def _oracle_sql() -> dict[str, str]:
         "upsert_table_fresh": _upsert_sql(_fresh_target_ctes(), compat=False),
         "upsert_table_replay_compat": _upsert_sql(_replay_target_ctes(), compat=True),
         "upsert_table_into_empty": sil + f"SELECT {typed_cols} FROM silver",
+        "upsert_table_null_year": _with(
+            bronze=_BRONZE,
+            dated=f"SELECT * REPLACE (CASE WHEN {_VALID} THEN {L.date} ELSE '{NULL_YEAR_DATE}' END AS {L.date}, "
+            f"CASE WHEN {_VALID} THEN TIMESTAMP '2024-01-01 00:00:00' ELSE TIMESTAMP '2024-01-02 00:00:00' END "
+            f"AS {L.batch}) FROM bronze",
+            silver=fx.typed_sql(L, "dated"),
+        )
+        + f"SELECT {typed_cols} FROM silver",
+        "initial_all": sil + f"SELECT {no_lineage} FROM silver",
+        "incremental_tables": sil + f"SELECT {typed_cols} FROM silver",
+        "append_batch": sil + f"SELECT {bronze_cols} FROM bronze",
+        "marts_tables": sil
+        + "SELECT DISTINCT 'company' AS mart, company AS value, CAST(NULL AS BIGINT) AS count, "
+        "CAST(NULL AS BIGINT) AS place FROM bronze UNION ALL "
+        "SELECT 'summary_by_state', state, count(*), row_number() OVER (ORDER BY count(*) DESC, state NULLS LAST) "
+        "FROM bronze GROUP BY state UNION ALL "
+        f"SELECT 'summary_by_year', {_YEAR_OF_BRONZE}, count(*), "
+        f"row_number() OVER (ORDER BY {_YEAR_OF_BRONZE} DESC NULLS LAST) FROM bronze GROUP BY {_YEAR_OF_BRONZE}",
+        "feed_to_bronze": sil + f"SELECT {served}, 'api' AS {L.origin} FROM bronze",
+        "feed_to_bronze_per_day": sil
+        + f"SELECT {served}, 'api' AS {L.origin}, CAST({FEED_PAGES} AS BIGINT) AS markers FROM bronze",
+        "stream_to_bronze_table": sil + f"SELECT {raw}, 'kafka' AS {L.origin} FROM bronze",
     }

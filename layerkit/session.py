@@ -6,7 +6,6 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -158,14 +157,12 @@ def bounded_broadcast(
 
     Meant for derived frames that are small in practice (distinct batch
     markers, a per-run delta) but not bounded by construction. The frame is
-    persisted before the check, so the check and the join that follows
-    compute it once; a frame over the bounds is released and joined by
-    shuffle. ``max_rows=None`` leaves the choice to the optimizer and AQE.
+    staged and measured in one job, so the check and the join that follows
+    compute it once and nothing stays cached; a frame over the bounds is
+    joined by shuffle. ``max_rows=None`` leaves the choice to the optimizer
+    and AQE.
     """
     if max_rows is None:
         return df
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    if broadcast_fits(kept, max_rows, max_bytes):
-        return F.broadcast(kept)
-    kept.unpersist()
-    return df
+    staged, fits = stage_measured(df, max_rows, max_bytes)
+    return F.broadcast(staged) if fits else staged

@@ -14,7 +14,7 @@ sys.path.insert(0, ".")
 from pyspark.sql import functions as F  # noqa: E402
 
 from layerkit.layout import COMPLAINTS as L  # noqa: E402
-from layerkit.sources.csv import read_feed_pages  # noqa: E402
+from layerkit.sources.csv import read_feed_csv  # noqa: E402
 from layerkit.operators import latest_per_key, mart_by_state, to_silver, unseen_batches  # noqa: E402
 from layerkit.operators.upsert import apply_merge, merge_source  # noqa: E402
 from layerkit.plans import fixtures as fx  # noqa: E402
@@ -53,7 +53,7 @@ def main() -> None:
     fx.bronze_fixture(spark, sf).select([F.col(c).alias(h) for h, c in L.feed_headers]).write.mode(
         "overwrite"
     ).option("header", "true").csv(pages)
-    sections["read_feed_pages (per-file headers: one aggregate, broadcast header table)"] = read_feed_pages(spark, pages)
+    sections["read_feed_csv (one scan per distinct header)"] = read_feed_csv(spark, pages)
     src = stage(merge_source(target, bronze, V))
     sections["upsert, small source (broadcast; target not shuffled)"] = apply_merge(target, src, V, small_source=True)
     for title, df in sections.items():
