@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from layerkit.llm.common import SPACES, col
+from layerkit.llm.common import SPACES, col, free_name
 from layerkit.llm.tokens import WORD_BPE, WordEncoder, encoder
 
 LEAF = 512
@@ -169,6 +169,7 @@ def grow(text: Column, tokenizer: str = WORD_BPE) -> Column:
     @F.pandas_udf(_STATE)
     def run(s: pd.Series) -> pd.DataFrame:
         enc, rows = encoder(tokenizer), []
+        enc.learn(s)
         for t in s:
             leaves = cut(t or "")
             rows.append(([len(x) for x in leaves], [enc.count(x) for x in leaves]))
@@ -188,28 +189,54 @@ def _from_state(text: str, chars, tokens, enc: WordEncoder) -> TokenTree:
     return tree
 
 
+def _apply(tree: TokenTree, todo) -> tuple:
+    before = tree.count
+    for e in todo if todo is not None else ():
+        if e is not None:
+            tree.edit(int(e["start"] or 0), int(e["end"] or 0), e["text"] or "")
+    state = {"chars": [len(x) for x in tree.leaves], "tokens": tree.tokens[tree.n : tree.n + len(tree.leaves)]}
+    return tree.text, state, before, tree.count, tree.encoded
+
+
+_FIELDS = ["text", "tree", "n_before", "n_after", "encoded_chars"]
+
+
 def edited(text: Column, tree: Column, edits: Column, tokenizer: str = WORD_BPE) -> Column:
     """Apply ``edits`` (an array of ``(start, end, text)``) in order: the new
     text, its tree, the counts before and after, and the characters encoded."""
 
     @F.pandas_udf(_DONE)
     def run(texts: pd.Series, trees: pd.DataFrame, lists: pd.Series) -> pd.DataFrame:
-        enc, rows = encoder(tokenizer), []
-        for t, chars, tokens, todo in zip(texts, trees["chars"], trees["tokens"], lists):
-            tree = _from_state(t or "", chars, tokens, enc)
-            before = tree.count
-            for e in todo if todo is not None else ():
-                if e is not None:
-                    tree.edit(int(e["start"] or 0), int(e["end"] or 0), e["text"] or "")
-            state = {"chars": [len(x) for x in tree.leaves], "tokens": tree.tokens[tree.n : tree.n + len(tree.leaves)]}
-            rows.append((tree.text, state, before, tree.count, tree.encoded))
-        return pd.DataFrame(rows, columns=["text", "tree", "n_before", "n_after", "encoded_chars"])
+        enc = encoder(tokenizer)
+        rows = [
+            _apply(_from_state(t or "", chars, tokens, enc), todo)
+            for t, chars, tokens, todo in zip(texts, trees["chars"], trees["tokens"], lists)
+        ]
+        return pd.DataFrame(rows, columns=_FIELDS)
 
     return run(text, tree, edits)
 
 
+def grown_and_edited(text: Column, edits: Column, tokenizer: str = WORD_BPE) -> Column:
+    """``edited`` for texts that have no tree yet: it is grown in the same
+    pass, and ``encoded_chars`` counts the edits' share alone."""
+
+    @F.pandas_udf(_DONE)
+    def run(texts: pd.Series, lists: pd.Series) -> pd.DataFrame:
+        enc, rows = encoder(tokenizer), []
+        enc.learn(texts)
+        for t, todo in zip(texts, lists):
+            tree = TokenTree(t or "", enc)
+            tree.encoded = 0
+            rows.append(_apply(tree, todo))
+        return pd.DataFrame(rows, columns=_FIELDS)
+
+    return run(text, edits)
+
+
 def with_edits(docs: DataFrame, edits: DataFrame, key: str = "doc_id", into: str = "edits") -> DataFrame:
     """``docs`` with their edits ``(key, seq, start, end, text)`` as one array
     in order of ``seq``; NULL for a document without any."""
-    todo = edits.groupBy(col(key).alias("_key")).agg(F.sort_array(F.collect_list(F.struct("seq", "start", "end", "text"))).alias(into))
-    return docs.join(todo, col(key).eqNullSafe(F.col("_key")), "left").drop("_key")
+    own = free_name([*docs.columns, into], "edit_key")
+    todo = edits.groupBy(col(key).alias(own)).agg(F.sort_array(F.collect_list(F.struct("seq", "start", "end", "text"))).alias(into))
+    return docs.join(todo, col(key).eqNullSafe(col(own)), "left").drop(own)

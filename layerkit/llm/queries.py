@@ -73,7 +73,7 @@ def op8_wavelet_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out, m, kept = quality.judge(_documents(spark, sf_dir))
+    out, m, kept = quality.judge(_documents(spark, sf_dir), drop_text=True)
     return out.select(
         "doc_id",
         *[F.col(m)[k].alias(k) for k in quality.BASE],
@@ -89,7 +89,7 @@ def op10_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     place = lambda k: F.pmod(F.xxhash64("doc_id", F.lit(k)), F.length("text") + 1).cast("int")
     edit = lambda at, n, new: F.struct(at.alias("start"), (at + n).alias("end"), F.lit(new).alias("text"))
     edits = F.array(edit(place(1), 20, ""), edit(place(2), 0, " counts follow edits "), edit(place(3), 7, "spliced"))
-    done = docs.select("doc_id", edit_counts.edited(F.col("text"), edit_counts.grow(F.col("text")), edits).alias("done"))
+    done = docs.select("doc_id", edit_counts.grown_and_edited(F.col("text"), edits).alias("done"))
     return done.select(
         "doc_id",
         "done.n_before",

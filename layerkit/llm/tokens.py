@@ -3,19 +3,71 @@
 The word tokenizer drops white space and never lets a pre-token cross it, and
 its normalizers (NFC, white-space folding, lower-casing char by char) do not
 look across white space either. The ids of a text are therefore the ids of
-its words, one after the other, so each worker asks the tokenizers library
-once per distinct word and remembers the answer, up to ``REMEMBER`` words.
+its words, one after the other. Words are lower-cased before (A-Z; the
+tokenizer does it anyway), and signs after a letter or digit at a word's end
+are pre-tokens of their own. So each worker asks the tokenizers library once
+per distinct bare word and remembers the answer, in two generations of up to
+``REMEMBER`` words: when the younger is full it becomes the older, and words
+still in use move on. Texts that hold "<|" may name special tokens and are
+looked up as they are.
 """
 
 from __future__ import annotations
 
 import os
+from collections.abc import Iterable
 
 import numpy as np
 
 # Fixed value: the tokenizer file of the contracts.
 WORD_BPE = "word_bpe_49k.json"
-REMEMBER = 1_000_000
+_SIGNS = b",.;:!?"
+REMEMBER = 400_000
+# Words asked for in one text.
+JOIN = 1000
+
+
+class _Memory(dict):
+    """Ids of lower-cased words as little-endian uint16; asks for a word that
+    is not there."""
+
+    def __init__(self, library):
+        super().__init__()
+        self.library, self.older = library, {}
+        # ids that end a pre-token
+        vocabulary = library.get_vocab(with_added_tokens=True)
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.last[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+
+    def learn(self, words: set[bytes]) -> None:
+        """Remember the ids of ``words``, asking for many at a time. A word of
+        letters is one pre-token, so the ids of many such words in one text
+        part where a pre-token ends."""
+        if len(self) > REMEMBER:
+            self.older = dict(self)
+            self.clear()
+        older = self.older
+        bare = {w.rstrip(_SIGNS) for w in words if w not in self and w not in older}
+        new = [(w, t) for w in bare if w not in self and w not in older and (t := w.decode("utf-8", "replace")).isalpha()]
+        texts = [" ".join(t for _, t in new[i : i + JOIN]) for i in range(0, len(new), JOIN)]
+        for i, e in enumerate(self.library.encode_batch_fast(texts, add_special_tokens=False)):
+            part, ids = new[i * JOIN : (i + 1) * JOIN], np.array(e.ids, "<u2")
+            ends = np.flatnonzero(self.last[ids]) + 1
+            if len(ends) == len(part):
+                raw, cuts = ids.tobytes(), [0, *(2 * ends).tolist()]
+                self.update((w, raw[a:b]) for (w, _), a, b in zip(part, cuts, cuts[1:]))
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self.older.get(word)
+        if ids is None:
+            bare = word.rstrip(_SIGNS)
+            if bare and bare != word and b"<|" not in word and bare[-1:].isalnum():
+                ids = self[bare] + self[word[len(bare) :]]
+            else:
+                found = self.library.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
+                ids = np.array(found, "<u2").tobytes()
+        self[word] = ids
+        return ids
 
 
 class WordEncoder:
@@ -30,37 +82,32 @@ class WordEncoder:
             import public_tokenizers
 
             path = public_tokenizers.path(tokenizer)
-        self._library = Tokenizer.from_file(str(path))
-        self.vocabulary = self._library.get_vocab_size(with_added_tokens=True)
+        library = Tokenizer.from_file(str(path))
+        self.vocabulary = library.get_vocab_size(with_added_tokens=True)
         if self.vocabulary > 1 << 16:
             raise ValueError("ids do not fit 16 bits")
-        self._known: dict[bytes, bytes] = {}
-
-    def _learn(self, new: list[bytes]) -> None:
-        if len(self._known) + len(new) > REMEMBER:
-            self._known.clear()
-        texts = [w.decode("utf-8", "replace") for w in new]
-        for w, e in zip(new, self._library.encode_batch_fast(texts, add_special_tokens=False), strict=True):
-            self._known[w] = np.array(e.ids, "<u2").tobytes()
-
-    def _parts(self, text: str | None) -> list[bytes]:
-        words = (text or "").encode("utf-8", "replace").split()
-        known = self._known
-        parts = list(map(known.get, words))
-        if None in parts:
-            self._learn(list({w for w, p in zip(words, parts) if p is None}))
-            known = self._known
-            parts = list(map(known.get, words))
-            if None in parts:  # forgotten just now to stay within the bound
-                self._learn(list(set(words)))
-                parts = list(map(self._known.get, words))
-        return parts
+        self._memory = _Memory(library)
+
+    @staticmethod
+    def _words(text: str | None) -> list[bytes]:
+        raw = (text or "").encode("utf-8", "replace")
+        return (raw if b"<|" in raw else raw.lower()).split()
+
+    def learn(self, texts: Iterable[str | None]) -> None:
+        """Prepare for ``texts``: their new words are asked for together."""
+        words: set[bytes] = set()
+        for t in texts:
+            words.update(self._words(t))
+            if len(words) > REMEMBER:
+                self._memory.learn(words)
+                words = set()
+        self._memory.learn(words)
 
     def ids(self, text: str | None) -> bytes:
-        return b"".join(self._parts(text))
+        return b"".join(map(self._memory.__getitem__, self._words(text)))
 
     def count(self, text: str | None) -> int:
-        return sum(map(len, self._parts(text))) // 2
+        return len(self.ids(text)) // 2
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
