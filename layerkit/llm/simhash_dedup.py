@@ -45,6 +45,10 @@ SEED = 42
 # Shingles hashed at a time, and the longest run compared pair by pair.
 CHUNK = 100_000
 PAIRWISE = 2048
+# Variants to a shuffle partition, and the least number of partitions: few
+# large partitions keep a fingerprint's variants together, which compresses.
+PARTITION_ROWS = 4_000_000
+LEAST_PARTITIONS = 64
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
@@ -188,7 +192,8 @@ def _link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def links(fps: DataFrame) -> DataFrame:
     """``fps(fp)``, distinct -> edges ``(a, b)`` that connect exactly the
     fingerprints connected by differences of up to three bits."""
-    v = variants(fps).repartition("key").sortWithinPartitions("key")
+    parts = max(LEAST_PARTITIONS, -(-fps.count() * len(ball()) // PARTITION_ROWS))
+    v = variants(fps).repartition(parts, "key").sortWithinPartitions("key")
     return v.mapInArrow(_link, "a long, b long")
 
 
