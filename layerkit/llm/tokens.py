@@ -22,7 +22,7 @@ import numpy as np
 # Fixed value: the tokenizer file of the contracts.
 WORD_BPE = "word_bpe_49k.json"
 _SIGNS = b",.;:!?"
-REMEMBER = 400_000
+REMEMBER = 700_000
 # Words asked for in one text.
 JOIN = 1000
 
