@@ -157,9 +157,10 @@ def _starts(at: Column, n: Column, k: Column, need: Column, size: Column) -> Col
     def span(p: Column, i: Column) -> Column:
         lo = F.greatest(F.get(at, i + need - 1) - (n - k), F.lit(0))
         hi = F.least(p, last)
-        return F.when(lo <= hi, F.sequence(lo, hi)).otherwise(F.array().cast("array<int>"))
+        # positions too near the end of ``at`` do not have enough after them
+        return F.when((i + need <= F.size(at)) & (lo <= hi), F.sequence(lo, hi)).otherwise(F.array().cast("array<int>"))
 
-    return F.array_distinct(F.flatten(F.filter(F.transform(at, span), lambda x: x.isNotNull())))
+    return F.array_distinct(F.flatten(F.transform(at, span)))
 
 
 def contaminated(
