@@ -4,8 +4,10 @@
 2. Words that look disguised are decoded: a lattice over their characters has
    an arc per reading (the character itself, what it may stand for in
    leetspeak, a repeat or a separator to leave out), and a Viterbi search
-   keeps the ``BEST`` most probable readings under channel and model. Runs of
-   single characters ("i d i o t") are joined and decoded as one word.
+   keeps the ``BEST`` most probable readings under channel and model. In runs
+   of single characters ("y o u i d i o t") a gap is either left out or closes
+   a word, at the model's cost of a boundary; the lattice goes over the whole
+   run, and the ``BEST_RUN`` best paths give its words.
 3. Features are a word and its beginnings of ``BEGINS`` characters. Over a
    bounded sample of labelled training rows (``SAMPLE`` distinct texts) they
    are counted with and without the label; a feature is kept when the label
@@ -25,7 +27,8 @@ feature; a NULL id counts as the id ''; labels that are NULL or belong to no
 document are ignored, and of several labels for an id the largest counts;
 without training labels every score is 0, and with labels of one
 kind alone every score is that label; repeated rows are scored each, but
-teach once; very long words are not decoded; an empty table gives no rows;
+teach once; words and runs of any length are decoded, in one pass whose state
+does not grow with them; an empty table gives no rows;
 other columns are ignored.
 """
 
@@ -57,9 +60,10 @@ STEPS = 400
 SURE = 0.9
 BEGINS = (3, 4, 5, 6)
 BEST = 4
+BEST_RUN = 32
 # Hash buckets in which features are counted.
 BUCKETS = 1 << 22
-# Characters a disguised word may have.
+# Characters a path holds as one string; what is before goes to a chain.
 LONGEST = 32
 # Distinct words a task remembers.
 REMEMBER = 300_000
@@ -78,7 +82,9 @@ _OTHER, _SIZE = 27, 28
 _ENDS = string.punctuation + "¡¿«»…“”„’‘"
 _DISGUISED = re.compile(r"[^\W\d_][0-9@$!|+(€£]+[^\W\d_]|^[0-9@$!|+(€£]{1,2}[^\W\d_]|[^\W\d_][0-9@]{1,2}$|([^\W\d_])\1\1")
 _SPLIT_UP = re.compile(r"^(?:[^\W_][.\-_*~']+){2,}[^\W_]$")
-_SPACED = re.compile(r"(?<!\S)(?:[^\s][ .\-_*]{1,2}){3,}[^\s](?!\S)")
+# a gap's signs are no characters of a run, so a match never backtracks far
+_SPACED = re.compile(r"(?<!\S)[\"'(\[“‘«]*([^\s.\-_*](?:[ .\-_*]{1,2}[^\s.\-_*]){3,})(?=[^\w\s]*(?!\S))")
+_GAPS = frozenset(" " + SEPARATORS)
 
 
 def _code(c: str) -> int:
@@ -152,15 +158,85 @@ def decode(word: str, model: CharModel, best: int = BEST) -> list[str]:
     return list(dict.fromkeys(s for _, s in sorted(ends)))[:best]
 
 
+def _add(states: dict, key: tuple, paths: list[tuple]) -> None:
+    states.setdefault(key, []).extend(paths)
+
+
+def decode_run(run: str, model: CharModel, best: int = BEST_RUN, split: bool = True) -> list[list[str]]:
+    """The words of the most probable paths through a run of any length, best
+    first. With ``split`` a gap may close a word; without, it is one word.
+
+    A path is its cost, a hash of what it reads, the end of its current word
+    and a chain of what is before; chains are shared, and per character only
+    the ``best`` paths of a state are kept."""
+    table = model.table
+    states = {(0, 0, ""): [(0.0, 0, "", None)]}
+    for c in run:
+        gap = c in _GAPS
+        arcs = [] if split and gap else [(c, 0.0 if c.isalpha() else 6.0)]
+        arcs += [(x, COST_LEET) for x in LEET.get(c, "")]
+        nxt: dict[tuple, list] = {}
+        for (a, b, last), paths in states.items():
+            for x, cost in arcs:
+                k = _code(x)
+                more = cost + table[a][b][k]
+                _add(nxt, (b, k, x), [
+                    (p + more, hash((h, x)), s + x, chain) if len(s) < LONGEST else (p + more, hash((h, x)), x, (chain, s, False))
+                    for p, h, s, chain in paths
+                ])
+            if last and (c == last or last in LEET.get(c, "")):
+                _add(nxt, (a, b, last), [(p + COST_REPEAT, h, s, chain) for p, h, s, chain in paths])
+            if gap:
+                _add(nxt, (a, b, last), [(p + COST_SEPARATOR, h, s, chain) for p, h, s, chain in paths])
+                if split and last:
+                    end = table[a][b][0]
+                    _add(nxt, (0, 0, ""), [(p + end, hash((h, " ")), "", (chain, s, True)) for p, h, s, chain in paths])
+        states = {}
+        for key, paths in nxt.items():
+            kept: dict[int, tuple] = {}
+            for path in sorted(paths, key=lambda p: p[0]):
+                kept.setdefault(path[1], path)
+                if len(kept) == best:
+                    break
+            states[key] = list(kept.values())
+    ends = [(p + (table[a][b][0] if s else 0.0), s, chain) for (a, b, _), paths in states.items() for p, _, s, chain in paths]
+    out = []
+    for _, s, chain in sorted(ends, key=lambda p: p[0])[:best]:
+        words, parts = [], [s]
+        while chain:
+            chain, s, closed = chain
+            if closed:
+                words.append("".join(reversed(parts)))
+                parts = []
+            parts.append(s)
+        words.append("".join(reversed(parts)))
+        out.append([w for w in reversed(words) if w])
+    return out
+
+
+def run_words(run: str, model: CharModel) -> list[str]:
+    """The distinct words of a run's best paths, and its readings as one word
+    where it is short enough to be one."""
+    joined = "".join(c for c in run if c not in _GAPS)
+    whole = [joined, *decode(joined, model)] if len(joined) <= LONGEST else []
+    return list(dict.fromkeys([*whole, *(w for words in decode_run(run, model) for w in words)]))
+
+
 def readings(word: str, model: CharModel) -> list[str]:
     """A lower-cased word without the signs around it, or its readings if it
     looks disguised."""
     core = word.strip(_ENDS)
-    if not 0 < len(core) <= LONGEST:
-        return [core[:LONGEST]]
+    if not core:
+        return [core]
+    if _SPLIT_UP.search(core):
+        return [core, *run_words(core, model)]
+    if len(core) > LONGEST:
+        if not _DISGUISED.search(core):
+            return [core]
+        return [core, *("".join(ws) for ws in decode_run(core, model, BEST, split=False))]
     # signs at the ends may stand for letters too
     whole = word.strip(".,;:?\"'()[]{}#%&*")
-    if _SPLIT_UP.search(core) or _DISGUISED.search(core):
+    if _DISGUISED.search(core):
         return [core, *decode(core, model)]
     if whole != core and len(whole) <= LONGEST and _DISGUISED.search(whole):
         return [core, *decode(whole, model)]
@@ -168,14 +244,14 @@ def readings(word: str, model: CharModel) -> list[str]:
 
 
 def spaced(text: str) -> list[str]:
-    """Runs of single characters, joined."""
-    return ["".join(c for c in m.group() if c not in " .-_*") for m in _SPACED.finditer(text)]
+    """Runs of single characters, as written."""
+    return [m.group(1) for m in _SPACED.finditer(text)]
 
 
 def words_of(text: str | None) -> tuple[set[str], list[str]]:
-    """The distinct words of a text, and its spaced-out words joined."""
+    """The distinct words of a text, and its spaced-out runs."""
     t = (text or "").lower()
-    return set(t.split()), [w for w in spaced(t) if len(w) <= LONGEST]
+    return set(t.split()), spaced(t)
 
 
 def features(word: str) -> list[str]:
@@ -190,7 +266,7 @@ class _Reader:
         self.model, self.pick, self.known = model, pick, {}
 
     def of(self, text: str | None) -> list:
-        plain, joined = words_of(text)
+        plain, runs = words_of(text)
         known, out = self.known, []
         if len(known) > REMEMBER:
             known.clear()
@@ -200,8 +276,8 @@ class _Reader:
                 got = known[w] = self.pick({f for r in readings(w, self.model) for f in features(r)})
             if len(got):
                 out.append(got)
-        for w in joined:
-            got = self.pick({f for r in (w, *decode(w, self.model)) for f in features(r)})
+        for run in runs:
+            got = self.pick({f for w in run_words(run, self.model) for f in features(w)})
             if len(got):
                 out.append(got)
         return out

@@ -83,3 +83,24 @@ def test_odd_rows_and_no_labels(spark, make, odd):
     none = tx.toxicity(docs, labelled(spark, [])).collect()
     assert {(r.score, r.predicted) for r in none} == {(0.0, 0)}
     assert tx.toxicity(make([]), labelled(spark, [])).count() == 0
+
+
+def test_gaps_of_spaced_runs_close_words(spark, make):
+    """A toxic word is found among other spaced-out words, in runs of any
+    length, and next to punctuation."""
+    rows = [(i, "you are a such the this idiot moron and know we " * 3) for i in range(30)]
+    model = tx.char_model(make(rows).select("doc_id", "text"))
+    runs = ["such a i d i o t", "u r a m o r o n", "y o u i d i o t", "y o u a r e a m o r o n", "i d i o t, we", "y.o.u.i.d.i.o.t"]
+    runs.append(" ".join("youarethis" * 8 + "idiot" + "andweknow" * 8))
+    for r in runs:
+        words = {w for run in tx.spaced(r) for w in tx.run_words(run, model)}
+        assert words & {"idiot", "moron"}, r
+    assert tx.decode_run("y o u i d i o t", model)[0] == ["you", "idiot"]
+
+
+def test_long_words_keep_their_whole_reading(spark, make):
+    model = tx.char_model(make([(1, "idiot you are")]).select("doc_id", "text"))
+    word = "idiot" * 20
+    assert tx.readings(word, model) == [word]
+    assert tx.readings(word.replace("o", "0"), model)[1] == word
+    assert tx.spaced("-" * 300 + "|") == []
