@@ -76,10 +76,14 @@ LEET = {
 SEPARATORS = ".-_*~'"
 # Channel costs in nats: a reading in leetspeak, a repeat or separator left out.
 COST_LEET, COST_REPEAT, COST_SEPARATOR = 0.5, 0.2, 0.1
+# and a sign at a word's edge taken for punctuation.
+COST_EDGE = 0.1
 
 # Characters of the model: a boundary, a-z, and one for all other letters.
 _OTHER, _SIZE = 27, 28
 _ENDS = string.punctuation + "¡¿«»…“”„’‘"
+# signs around a word that stand for no letter
+_MERE_ENDS = "".join(c for c in _ENDS if c not in LEET)
 _DISGUISED = re.compile(r"[^\W\d_][0-9@$!|+(€£]+[^\W\d_]|^[0-9@$!|+(€£]{1,2}[^\W\d_]|[^\W\d_][0-9@]{1,2}$|([^\W\d_])\1\1")
 _SPLIT_UP = re.compile(r"^(?:[^\W_][.\-_*~']+){2,}[^\W_]$")
 # a gap's signs are no characters of a run, so a match never backtracks far
@@ -135,12 +139,20 @@ def char_model(docs: DataFrame, text: str = "text") -> CharModel:
     return CharModel(counts)
 
 
-def decode(word: str, model: CharModel, best: int = BEST) -> list[str]:
-    """The most probable readings of a disguised word, best first."""
+def decode(word: str, model: CharModel, best: int = BEST, head: int = 0, tail: int = 0) -> list[str]:
+    """The most probable readings of a disguised word, best first. Its first
+    ``head`` and last ``tail`` characters may be punctuation outside the word:
+    they can be left out from the edge inwards."""
     table = model.table
+    tail = len(word) - tail
     # state: (last two codes, last character as written) -> [(cost, reading)]
     states = {(0, 0, ""): [(0.0, "")]}
-    for c in word:
+    ends: list[tuple[float, str]] = []
+    for i, c in enumerate(word):
+        if i >= tail:
+            # the word ends here, and what follows is punctuation
+            out = (len(word) - i) * COST_EDGE
+            ends += [(p + out + table[a][b][0], s) for (a, b, _), paths in states.items() for p, s in paths if s]
         arcs = [(c, 0.0)] if c.isalpha() else [(c, 6.0)]
         arcs += [(x, COST_LEET) for x in LEET.get(c, "")]
         nxt: dict[tuple, list] = {}
@@ -153,8 +165,10 @@ def decode(word: str, model: CharModel, best: int = BEST) -> list[str]:
                 nxt.setdefault((a, b, last), []).extend((p + COST_REPEAT, s) for p, s in paths)
             if c in SEPARATORS:
                 nxt.setdefault((a, b, last), []).extend((p + COST_SEPARATOR, s) for p, s in paths)
+        if i < head:
+            nxt.setdefault((0, 0, ""), []).append(((i + 1) * COST_EDGE, ""))
         states = {k: sorted(set(v))[:best] for k, v in nxt.items()}
-    ends = [(p + table[a][b][0], s) for (a, b, _), paths in states.items() for p, s in paths]
+    ends += [(p + table[a][b][0], s) for (a, b, _), paths in states.items() for p, s in paths]
     return list(dict.fromkeys(s for _, s in sorted(ends)))[:best]
 
 
@@ -225,22 +239,35 @@ def run_words(run: str, model: CharModel) -> list[str]:
 def readings(word: str, model: CharModel) -> list[str]:
     """A lower-cased word without the signs around it, or its readings if it
     looks disguised."""
-    core = word.strip(_ENDS)
+    core, outer = word.strip(_ENDS), word.strip(_MERE_ENDS)
+    head = len(outer) - len(outer.lstrip(_ENDS))
+    tail = len(outer) - len(outer.rstrip(_ENDS)) if core else 0
     if not core:
-        return [core]
+        # signs alone: at least two different ones may spell a word
+        if len(set(outer) & LEET.keys()) < 2 or len(outer) > LONGEST:
+            return [core]
+        return decode(outer, model)
     if _SPLIT_UP.search(core):
         return [core, *run_words(core, model)]
-    if len(core) > LONGEST:
-        if not _DISGUISED.search(core):
-            return [core]
-        return [core, *("".join(ws) for ws in decode_run(core, model, BEST, split=False))]
-    # signs at the ends may stand for letters too
-    whole = word.strip(".,;:?\"'()[]{}#%&*")
-    if _DISGUISED.search(core):
-        return [core, *decode(core, model)]
-    if whole != core and len(whole) <= LONGEST and _DISGUISED.search(whole):
-        return [core, *decode(whole, model)]
-    return [core]
+    disguised = _DISGUISED.search(core) is not None
+    if head or tail:
+        # signs at the ends may stand for letters too: the lattice decides
+        if len(outer) <= LONGEST:
+            return [core, *decode(outer, model, 2 * BEST, head, tail)]
+        return [core, *(r for w in _edged(outer, core, head, tail) for r in _long(w, model))]
+    if not disguised:
+        return [core]
+    return [core, *(decode(core, model) if len(core) <= LONGEST else _long(core, model))]
+
+
+def _edged(outer: str, core: str, head: int, tail: int) -> list[str]:
+    """A word with the signs at neither, one or both of its ends."""
+    return list(dict.fromkeys([core, outer[head:], outer[: len(outer) - tail], outer]))
+
+
+def _long(word: str, model: CharModel) -> list[str]:
+    """The readings of a word of any length."""
+    return ["".join(ws) for ws in decode_run(word, model, BEST, split=False)]
 
 
 def spaced(text: str) -> list[str]:

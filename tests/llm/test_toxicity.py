@@ -104,3 +104,16 @@ def test_long_words_keep_their_whole_reading(spark, make):
     assert tx.readings(word, model) == [word]
     assert tx.readings(word.replace("o", "0"), model)[1] == word
     assert tx.spaced("-" * 300 + "|") == []
+
+
+def test_signs_at_the_edges_may_be_letters(make):
+    """The lattice, not a strip, tells letters from punctuation."""
+    rows = [(i, "stupid asshole idiot trash scum ass you are reading " * 3) for i in range(20)]
+    model = tx.char_model(make(rows).select("doc_id", "text"))
+    for word, plain in {
+        "$tup1d": "stupid", "@ssh0le": "asshole", "!d10t": "idiot", "+r@$h": "trash", "$cum": "scum",
+        "a$$": "ass", "@$$": "ass", "($tup1d!)": "stupid", "1d10t!!": "idiot", "!d10+": "idiot",
+    }.items():
+        assert plain in tx.readings(word, model), word
+    assert tx.readings("reading!", model)[:2] == ["reading", "reading"]
+    assert tx.readings("!!!", model) == [""] and tx.readings("reading.", model) == ["reading"]
