@@ -9,14 +9,17 @@ Kinds, and what a permutation keeps:
 
 * ``email``: the domain, and the place of letters, digits and signs in the
   local part;
-* ``date``: layout, a valid date of 1700-2099 (yyyy-MM-dd, yyyy/MM/dd,
-  dd/MM/yyyy, dd.MM.yyyy, dd-MM-yyyy);
+* ``date``: layout, a valid date of 1700-2099 (year first or last; days and
+  months of one or two digits; between them - or /, and . where the year is
+  last). With the year last the day comes first, or the month where only that
+  is a date; such a date maps to one that is read the same way;
 * ``ip``: a valid IPv4 address;
 * ``ssn``: a valid number (area, group and serial in their ranges);
-* ``card``: 13-19 digits, spaced or not, with the check digit's standing: a
+* ``card``: 13-19 digits, unbroken or in groups of 4-4-4-4 or 4-6-5, with the check digit's standing: a
   number that passes the Luhn check maps to one that passes, any other to one
   that does not;
-* ``phone``: the layout and the country code.
+* ``phone``: the layout and the country code (3-3-4 digits, with a country
+  code also two to four groups of 2-4 digits).
 
 A candidate that is not valid (an octet over 255, a 30 February) is left
 alone.
@@ -38,25 +41,25 @@ from layerkit.llm.common import col, free_name, let
 ROUNDS = 8
 KINDS = ("email", "date", "ip", "ssn", "card", "phone")
 
+# pattern -> layouts, the first that gives a date holds
 _DATE_LAYOUTS = {
-    r"\d{4}-\d{2}-\d{2}": "yyyy-MM-dd",
-    r"\d{4}/\d{2}/\d{2}": "yyyy/MM/dd",
-    r"\d{2}/\d{2}/\d{4}": "dd/MM/yyyy",
-    r"\d{2}\.\d{2}\.\d{4}": "dd.MM.yyyy",
-    r"\d{2}-\d{2}-\d{4}": "dd-MM-yyyy",
+    **{rf"\d{{4}}{c}\d{{2}}{c}\d{{2}}": (f"yyyy{c}MM{c}dd",) for c in "-/"},
+    **{rf"\d{{4}}{c}\d{{1,2}}{c}\d{{1,2}}": (f"yyyy{c}M{c}d",) for c in "-/"},
+    **{rf"\d{{2}}[{c}]\d{{2}}[{c}]\d{{4}}": (f"dd{c}MM{c}yyyy", f"MM{c}dd{c}yyyy") for c in "/.-"},
+    **{rf"\d{{1,2}}[{c}]\d{{1,2}}[{c}]\d{{4}}": (f"d{c}M{c}yyyy", f"M{c}d{c}yyyy") for c in "/.-"},
 }
 _PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     "date": "(?:" + "|".join(_DATE_LAYOUTS) + ")",
     "ip": r"\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d)",
     "ssn": r"\d{3}-\d{2}-\d{4}",
-    "card": r"(?:\d{4}([ -])\d{4}\2\d{4}\2\d{4}|\d{13,19})",
-    "phone": r"(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[ .-]\d{4}|\+\d{8,15}",
+    "card": r"(?:\d{4}([ -])\d{4}\2\d{4}\2\d{4}|\d{4} \d{6} \d{5}|\d{4}-\d{6}-\d{5}|\d{13,19})",
+    "phone": r"(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}|\+\d{1,3}(?:[ .-](?:\d{2,4}|\(\d{2,4}\))){2,4}|\+\d{8,15}",
 }
 _START, _END = r"(?<![A-Za-z0-9._%+@-])", r"(?![A-Za-z0-9])"
 # one capture for the whole match; group 2 is the card's separator
 _NUMBERS = "|".join(_PATTERNS[k] for k in KINDS if k != "email")
-CANDIDATE = f"({_START}{_PATTERNS['email']}|(?<![A-Za-z0-9.])(?:{_NUMBERS}){_END})"
+CANDIDATE = f"({_START}{_PATTERNS['email']}|(?<![A-Za-z0-9])(?<![0-9][.])(?:{_NUMBERS}){_END})"
 # Marks around a candidate: private-use characters; the text's own first mark
 # is escaped before, so the pair never occurs in it.
 _MARK, _ESCAPED, _ONE = "\ue000\ue001", "\ue000\ue002", "\ue000"
@@ -137,25 +140,51 @@ def _email(key: str, s: Column) -> Column:
     return _string(key, "email", local, lambda p: F.concat(p, F.lit("@"), domain))
 
 
-def _date(key: str, s: Column) -> Column:
-    def of(layout: str) -> Column:
-        base = F.lit("1700-01-01").cast("date")
+def _month_first(key: str, n: Column, use: Callable[[Column], Column]) -> Column:
+    """A permutation of the dates after the 12th, which alone are read with the
+    month first; ``n``: days since 1700."""
+    base = F.lit("1700-01-01").cast("date")
+    # days of the base's months up to the month, less 12 for each
+    upto = lambda m: F.datediff(F.add_months(base, m), base) - 12 * m
 
-        def back(a: Column, b: Column) -> Column:
-            return F.date_format(F.date_add(base, (a * 773 + b).cast("int")), layout)
+    def back(a: Column, b: Column) -> Column:
+        def day(k: Column) -> Column:
+            near = F.floor(k / 18.436875).cast("int")
+            month = F.element_at(F.filter(F.array(*[near + d for d in (-2, -1, 0, 1, 2)]), lambda m: upto(m) <= k), -1)
+            return let(month, lambda m: use(F.date_add(F.add_months(base, m), (12 + k - upto(m)).cast("int"))))
 
-        def move(day: Column) -> Column:
-            # 146,097 days of 400 years = 189 * 773
-            n = F.datediff(day, base).cast("long")
-            ok = day.isNotNull() & n.between(0, 146_096)
-            return F.when(ok, _pair(key, "date", F.floor(n / 773), 189, n % 773, 773, back)).otherwise(s)
+        return let(a * 9833 + b, day)
 
-        return let(F.try_to_date(s, layout) if hasattr(F, "try_to_date") else F.try_to_timestamp(s, F.lit(layout)).cast("date"), move)
+    day = F.date_add(base, n.cast("int"))
+    months = (F.year(day) - 1700) * 12 + F.month(day)
+    # 88,497 = 9 * 9833 of the 146,097 days of 400 years
+    return let((n - 12 * months).cast("long"), lambda k: _pair(key, "month-first", F.floor(k / 9833), 9, k % 9833, 9833, back))
 
-    out = s
-    for pattern, layout in _DATE_LAYOUTS.items():
-        out = F.when(s.rlike(f"^{pattern}$"), of(layout)).otherwise(out)
-    return out
+
+def _date(key: str, s: Column) -> Column:
+    base = F.lit("1700-01-01").cast("date")
+    parsed = lambda layout: F.datediff(F.try_to_timestamp(s, F.lit(layout)).cast("date"), base).cast("long")
+
+    def read(layout: str, swapped: bool) -> Column:
+        # days since 1700, layout and whether the month comes first
+        fits = lambda n: F.when(n.isNotNull(), F.struct(n.alias("n"), F.lit(layout).alias("layout"), F.lit(swapped).alias("swapped")))
+        return let(parsed(layout), fits)
+
+    found = F.lit(None)
+    for pattern, layouts in reversed(_DATE_LAYOUTS.items()):
+        first = F.coalesce(*[read(layout, k == 1) for k, layout in enumerate(layouts)])
+        found = F.when(s.rlike(f"^{pattern}$"), first).otherwise(found)
+
+    def move(d: Column) -> Column:
+        written = lambda day: F.call_function("date_format", day, d["layout"])
+        back = lambda a, b: written(F.date_add(base, (a * 773 + b).cast("int")))
+        # 146,097 days of 400 years = 189 * 773
+        n = d["n"]
+        plain = _pair(key, "date", F.floor(n / 773), 189, n % 773, 773, back)
+        ok = n.between(0, 146_096)
+        return F.when(ok & d["swapped"], _month_first(key, n, written)).when(ok, plain).otherwise(s)
+
+    return let(found, move)
 
 
 def _ip(key: str, s: Column) -> Column:

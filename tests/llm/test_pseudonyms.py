@@ -106,3 +106,27 @@ def test_odd_rows(make, odd):
     r = next(r for r in got if r.doc_id == 30)
     assert r.n_chars == len(r.text) and "555-7713" not in r.text
     assert ps.pseudonymize(make([]), DEMO_KEY).count() == 0
+
+
+def test_wider_candidates_are_replaced(moved):
+    values = [
+        "+1 555 123 4567", "555 123 4567", "+44 20 7946 0958", "+49 (30) 1234 5678",
+        "12/31/1999", "1/31/1999", "3/4/2020", "13.4.2020", "2020-3-4", "3782 822463 10005", "3782-822463-10005",
+    ]
+    out = moved(values)
+    assert all(a != b for a, b in zip(values, out)), out
+    assert [re.sub(r"\d+", "0", v) for v in values] == [re.sub(r"\d+", "0", v) for v in out]
+    assert out[2].startswith("+44 ")
+    assert luhn(re.sub(r"\D", "", out[9])) == luhn(re.sub(r"\D", "", values[9]))
+    got = moved(["No.9807915762804490", "9807915762804490"])
+    assert got[0] == "No." + got[1] != "No.9807915762804490"
+    assert moved(["1.9807915762804490"]) == ["1.9807915762804490"]
+
+
+def test_month_first_dates_are_permuted(moved):
+    days = [dt.date(1700, 1, 13), dt.date(2099, 12, 31)] + [dt.date(1700, 1, 1) + dt.timedelta(days=i * 61) for i in range(2300)]
+    days = sorted({d for d in days if d.day > 12})
+    out = moved([d.strftime("%m/%d/") + str(d.year) for d in days])
+    back = [dt.datetime.strptime(x, "%m/%d/%Y").date() for x in out]
+    assert len(set(back)) == len(days)
+    assert all(d.day > 12 and 1700 <= d.year <= 2099 for d in back)
