@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from layerkit.session import scratch_path
@@ -74,3 +74,50 @@ def free_name(taken: list[str], base: str) -> str:
 def col(name: str) -> Column:
     """A column by its exact name, dots and backticks included."""
     return F.col("`" + name.replace("`", "``") + "`")
+
+
+# A key that holds more than one row in so many counts as hot: there are fewer
+# hot keys than this, whatever the rows.
+HOT_SHARE = 10_000
+
+
+def counted_join(rows: DataFrame, facts: DataFrame, keys: list[str], n: str, total: int, salt: Column) -> DataFrame:
+    """``rows`` left-joined with ``facts`` on ``keys``, no key's rows in one task.
+
+    ``facts`` (staged) has one row per key, and in ``n`` how many of the
+    ``total`` rows hold it. The facts of hot keys, fewer than ``HOT_SHARE`` by
+    counting, are broadcast; the rest meet by shuffle, where no key is left
+    with more than a ``HOT_SHARE``-th of all rows. Rows already served are
+    dealt out by ``salt``, a column that tells rows apart. Keys are not NULL;
+    facts and rows share no other column name.
+    """
+    cut = F.col(n) > max(total // HOT_SHARE, 1)
+    held = [c for c in facts.columns if c not in keys]
+    hot = facts.where(cut).select(*keys, F.struct(*held).alias("_hot_facts"))
+    first = facts.schema[keys[0]].dataType
+    dealt = rows.join(F.broadcast(hot), keys, "left")
+    served = F.col("_hot_facts").isNotNull()
+    dealt = dealt.withColumn("_dealt", F.when(served, salt.cast(first)).otherwise(F.col(keys[0])))
+    rest = facts.where(~cut).select(*[F.col(k).alias(f"_rest_{k}") for k in keys], F.struct(*held).alias("_rest_facts"))
+    on = (F.col("_dealt") == F.col(f"_rest_{keys[0]}")) & ~served
+    for k in keys[1:]:
+        on = on & (F.col(k) == F.col(f"_rest_{k}"))
+    found = F.coalesce("_hot_facts", "_rest_facts")
+    return dealt.join(rest, on, "left").select(*rows.columns, *[found[c].alias(c) for c in held])
+
+
+def ranked(rows: DataFrame, order: list[Column], name: str, rank: str = "rank") -> DataFrame:
+    """``rows`` with their place (1, 2, 3 ...) in ``order``, staged.
+
+    One range split, then every task numbers its own rows; the tasks' row
+    counts, one each, give where a task begins. No task holds all rows.
+    """
+    sorted_rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    # the task's number in the upper 31 bits, the row's in the lower 33
+    placed = stage(sorted_rows.withColumn("_place", F.monotonically_increasing_id()), name)
+    part, at = F.shiftright("_place", 33), F.col("_place").bitwiseAND((1 << 33) - 1)
+    upto = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    begins = parts.select("_part", F.coalesce(F.sum("_n").over(upto), F.lit(0)).alias("_begin"))
+    found = placed.join(F.broadcast(begins), part == F.col("_part"))
+    return found.select(*rows.columns, (F.col("_begin") + at + 1).alias(rank))

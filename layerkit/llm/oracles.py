@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from layerkit.llm import decontaminate, quality
+from layerkit.llm import decontaminate, quality, resample, spelling
 
 _WORDS = r"list_filter(regexp_split_to_array({}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
@@ -108,5 +108,109 @@ WHERE common / whole >= {decontaminate.SIMILARITY}
 QUALIFY row_number() OVER (PARTITION BY sim.doc_id, item ORDER BY common / whole DESC, s) = 1"""
 
 
+# One row: the table of CRC-32, made from its rule.
+_CRC = """crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(range(8),
+    lambda c, bit: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, i)) AS t)"""
+
+
+def _crc32(x: str) -> str:
+    """CRC-32 of a text's UTF-8 bytes, beside the table ``crc``."""
+    octets = f"list_transform(range(octet_length(encode({x}))), lambda i: CAST('0x' || substr(hex(encode({x})), 2 * i + 1, 2) AS BIGINT))"
+    return f"xor(4294967295, list_reduce({octets}, lambda c, o: xor(c >> 8, t[xor(c, o) % 256 + 1]), 4294967295))"
+
+
+def importance_resampling() -> str:
+    """Word by word, without segments: every word's bucket, the two counts,
+    and the sum of gains per document."""
+    b = resample.BUCKETS
+    words = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    return f"""
+WITH {_CRC},
+d AS (SELECT row_number() OVER () AS rid, doc_id, {words} AS ws FROM documents),
+dw AS (SELECT rid, w, count(*) AS n FROM (SELECT rid, unnest(ws) AS w FROM d) GROUP BY rid, w),
+tw AS (SELECT w, count(*) AS n FROM (SELECT unnest({words}) AS w FROM benchmark) GROUP BY w),
+named AS (SELECT w, {_crc32("w")} % {b} AS bucket FROM (SELECT w FROM dw UNION SELECT w FROM tw), crc),
+s AS (SELECT bucket, sum(n) AS s FROM dw JOIN named USING (w) GROUP BY bucket),
+t AS (SELECT bucket, sum(n) AS t FROM tw JOIN named USING (w) GROUP BY bucket),
+gain AS (
+  SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(s), 0) FROM s) + {b})::DOUBLE
+         / ((s + 1)::DOUBLE * ((SELECT coalesce(sum(t), 0) FROM t) + {b})::DOUBLE))) AS gain
+  FROM s LEFT JOIN t USING (bucket)),
+weight AS (
+  SELECT rid, CAST(sum(n * gain) AS BIGINT) AS weight
+  FROM dw JOIN named USING (w) JOIN gain USING (bucket) GROUP BY rid),
+scored AS (
+  SELECT d.rid, doc_id, CAST(len(ws) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((
+           CAST('0x' || substr(sha256('{resample.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) + 0.5::DOUBLE)
+           / 4294967296.0::DOUBLE))) AS BIGINT) AS score
+  FROM d LEFT JOIN weight ON d.rid = weight.rid),
+placed AS (
+  SELECT rid, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, weight, rid) AS place, count(*) OVER () AS fit
+  FROM scored WHERE n_features >= {resample.MIN_WORDS})
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= {resample.PERCENT} * fit // 100 THEN place END AS rank
+FROM scored LEFT JOIN placed ON scored.rid = placed.rid"""
+
+
+def spelling_variants() -> str:
+    """Near words by shared deletions: of equal length, without the letter at
+    one same place; else one is the other without a letter."""
+    low = "translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"""
+WITH RECURSIVE {_CRC},
+runs AS (
+  SELECT doc_id, {low} AS run, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')) AS run FROM documents)
+  WHERE length(run) >= {spelling.MIN_LENGTH} GROUP BY ALL),
+hashed AS (SELECT *, {_crc32("(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)")} AS h FROM runs, crc),
+words AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
+    SELECT n, CASE WHEN h % {spelling.SLIPS} = 0
+                   THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word
+    FROM hashed)
+  WHERE length(word) >= {spelling.MIN_LENGTH} GROUP BY word HAVING sum(n) >= {spelling.MIN_COUNT}),
+gone AS (
+  SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS less
+  FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)),
+near AS (
+  SELECT a.word, a.n, b.word AS other, b.n AS m FROM gone a JOIN gone b ON a.less = b.less AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, a.n, b.word, b.n FROM gone a JOIN words b ON a.less = b.word
+  UNION SELECT b.word, b.n, a.word, a.n FROM gone a JOIN words b ON a.less = b.word),
+best AS (
+  SELECT word, n, count(*) AS n_near, first(other ORDER BY m DESC, encode(other)) AS other, max(m) AS m FROM near GROUP BY word, n),
+form AS (SELECT word, other AS form, m AS form_n FROM best WHERE m >= {spelling.RATIO} * n),
+chain(word, root, step) AS (
+  SELECT word, form, 1 FROM form
+  UNION ALL SELECT chain.word, form.form, step + 1 FROM chain JOIN form ON chain.root = form.word),
+last AS (SELECT word, arg_max(root, step) AS root FROM chain GROUP BY word)
+SELECT words.word, words.n, coalesce(n_near, 0) AS n_near, form, form_n, coalesce(root, words.word) AS root
+FROM words LEFT JOIN best ON words.word = best.word LEFT JOIN form ON words.word = form.word
+LEFT JOIN last ON words.word = last.word"""
+
+
+def warc_records() -> str:
+    """The digest written in base 32, and the largest page of each payload."""
+    digits = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'"
+    five = "CAST('0x' || substr(sha1(coalesce(html, '')), 5 * k + 1, 5) AS BIGINT)"
+    four = " || ".join(f"substr({digits}, (({five}) >> {s}) % 32 + 1, 1)" for s in (15, 10, 5, 0))
+    return f"""
+WITH p AS (
+  SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes,
+         array_to_string(list_transform(range(8), lambda k: {four}), '') AS payload_digest
+  FROM pages),
+q AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS top FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id IS NOT DISTINCT FROM top THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM top THEN top END AS refers_to
+FROM q"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op9_quality_rules": quality_rules(), "op6_decontamination": decontamination()}
+    return {
+        "op9_quality_rules": quality_rules(),
+        "op6_decontamination": decontamination(),
+        "op11_importance_resampling": importance_resampling(),
+        "op12_warc": warc_records(),
+        "op13_spelling_variants": spelling_variants(),
+    }

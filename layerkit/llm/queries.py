@@ -11,7 +11,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerkit.llm import class_lm, decontaminate, edit_counts, oracles, packing, pseudonyms, quality, secrets, simhash_dedup, toxicity, wavelet
+from layerkit.llm import (
+    class_lm,
+    decontaminate,
+    edit_counts,
+    oracles,
+    packing,
+    pseudonyms,
+    quality,
+    resample,
+    secrets,
+    simhash_dedup,
+    spelling,
+    toxicity,
+    warc,
+    wavelet,
+)
 from layerkit.llm.common import table
 from layerkit.session import scratch_path
 
@@ -99,6 +114,30 @@ def op10_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = resample.scores(_documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "archives")
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    # every payload is held against the length and digest of its header
+    found = warc.read_archives(spark, path, payload=False, verify=True).where(F.col("record_type").isin("response", "revisit"))
+    return found.select(
+        F.col("page_id").cast("long").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to").cast("long").alias("refers_to"),
+    )
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = spelling.variants(spelling.word_counts(_documents(spark, sf_dir)))
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     done = (
         op1_best_fit_packing,
@@ -111,6 +150,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_wavelet_files,
         op9_quality_rules,
         op10_edit_counts,
+        op11_importance_resampling,
+        op12_warc,
+        op13_spelling_variants,
     )
     return {f.__name__: f for f in done}
 
