@@ -122,8 +122,9 @@ def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "archives")
     warc.write_archives(table(spark, sf_dir, "pages"), path)
-    # every payload is held against the length and digest of its header
-    found = warc.read_archives(spark, path, payload=False, verify=True).where(F.col("record_type").isin("response", "revisit"))
+    # payloads are held against the digests of their headers, and not returned
+    of_pages = F.col("record_type").isin("response", "revisit")
+    found = warc.read_archives(spark, path, of_pages, payload=False, verify=True)
     return found.select(
         F.col("page_id").cast("long").alias("page_id"),
         "payload_bytes",

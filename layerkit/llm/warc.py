@@ -45,7 +45,7 @@ from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyarrow import fs as pafs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import datasource as ds
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -345,14 +345,6 @@ class WarcReader(ds.DataSourceReader):
         self.tests: list[tuple[str, Callable]] = []
         self.arrow = pa.schema([(f.name, _ARROW[f.name]) for f in schema.fields])
 
-    def pushFilters(self, filters: list[ds.Filter]):
-        for f in filters:
-            test = _predicate(f)
-            if test is None:
-                yield f
-            else:
-                self.tests.append(test)
-
     def partitions(self) -> list[Ranges]:
         fs, root = _filesystem(self.path)
         out, held = [], 0
@@ -399,6 +391,18 @@ class WarcReader(ds.DataSourceReader):
         return pa.RecordBatch.from_arrays(cells, schema=self.arrow)
 
 
+class PushingReader(WarcReader):
+    """A reader that takes over Spark's filters on header columns."""
+
+    def pushFilters(self, filters: list[ds.Filter]):
+        for f in filters:
+            test = _predicate(f)
+            if test is None:
+                yield f
+            else:
+                self.tests.append(test)
+
+
 _ARROW = {f.name: pa.string() for f in SCHEMA.fields} | {
     "payload_bytes": pa.int64(),
     "payload": pa.binary(),
@@ -486,7 +490,11 @@ class WarcWriter(ds.DataSourceArrowWriter):
 
 class WarcSource(ds.DataSource):
     """``spark.read.format("warc")``; options ``verify`` (payloads are held
-    against their digests), ``partitionBytes``. ``df.write.format("warc")``;
+    against their digests), ``partitionBytes``, and ``pushdown``: the reader
+    takes over Spark's filters on header columns. Spark 4.1 keeps the filters
+    that were pushed last for all uses of one loaded frame, so a frame loaded
+    with ``pushdown`` is for one filter; ``read_archives`` sees to that.
+    ``df.write.format("warc")``;
     options ``compression`` (``gzip`` or ``none``), ``date``."""
 
     @classmethod
@@ -500,25 +508,38 @@ class WarcSource(ds.DataSource):
         unknown = set(schema.names) - set(SCHEMA.names)
         if unknown:
             raise ValueError(f"a record has no columns {sorted(unknown)}")
-        return WarcReader(schema, self.options)
+        pushing = self.options.get("pushdown", "false").lower() == "true"
+        return PushingReader(schema, self.options) if pushing else WarcReader(schema, self.options)
 
     def writer(self, schema: T.StructType, overwrite: bool) -> WarcWriter:
         return WarcWriter(schema, self.options, overwrite)
 
 
 def register(spark: SparkSession) -> None:
-    """Make ``format("warc")`` known to the session, filters pushed down."""
+    """Make ``format("warc")`` known to the session, with filters pushed down."""
     spark.dataSource.register(WarcSource)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
 
 
-def read_archives(spark: SparkSession, path: str, payload: bool = True, verify: bool = False) -> DataFrame:
-    """The records under ``path``. Without ``payload`` there is no such
-    column and no payload is decoded, unless ``verify`` holds every payload
-    against its digest."""
+def read_archives(
+    spark: SparkSession, path: str, condition: Column | None = None, payload: bool = True, verify: bool = False
+) -> DataFrame:
+    """The records under ``path`` that meet ``condition``.
+
+    What the condition asks of header columns is decided on the headers, and
+    payloads of other records are not decoded. Without ``payload`` there is no
+    such column and no payload is decoded at all, unless ``verify`` holds
+    those of the records asked for against their digests.
+    """
     register(spark)
     fields = [f for f in SCHEMA.fields if payload or f.name != "payload"]
-    return spark.read.format("warc").schema(T.StructType(fields)).option("verify", str(verify).lower()).load(path)
+    reader = spark.read.format("warc").schema(T.StructType(fields)).option("verify", str(verify).lower())
+    if condition is None:
+        return reader.load(path)
+    # Filters of the caller's stay above the count, so every use of the frame
+    # pushes the same ones
+    found = reader.option("pushdown", "true").load(path).where(condition)
+    return found.observe(f"warc_{uuid.uuid4().hex}", F.count(F.lit(1)).alias("records"))
 
 
 def page_records(
