@@ -190,13 +190,14 @@ def stream_to_bronze(
     layout: Layout = COMPLAINTS,
     fmt: str = "parquet",
 ) -> dict:
-    """L7: drain the message stream into bronze, then rebuild its marts. The
-    report's progress has every micro-batch, from a listener."""
+    """L7: drain the message stream into bronze, beside what other loads have
+    put there, then rebuild its marts. The report's progress has every
+    micro-batch, from a listener; ``complete`` is False when it lagged."""
     rows = decode_messages(stream, layout, "kafka").select(layout.bronze_columns)
     log = logged_drain(
         spark, lambda: stream_to_table(rows, checkpoint, table=_t(bronze_ns), fmt=fmt, name=f"{bronze_ns}_drain")
     )
-    return {"progress": log.rows(), "marts": layer_marts(spark, bronze_ns, layout, fmt)}
+    return {"progress": log.rows(), "complete": log.complete, "marts": layer_marts(spark, bronze_ns, layout, fmt)}
 
 
 def _incremental(

@@ -353,6 +353,23 @@ def q_stream_to_bronze_table(spark, sf):
     return spark.table(f"{ns}.complaints").select(*L.raw, L.origin)
 
 
+def q_stream_into_loaded_bronze(spark, sf):
+    """K5/L7: a bronze table filled by a batch load, a stream, an append, and
+    the same stream again; every part stays to be seen."""
+    ns = _namespace(spark, "bronze")
+    table, topic, ckpt = f"{ns}.complaints", scratch_path(spark, "topic"), scratch_path(spark, "ckpt")
+    rows = _bronze(spark, sf).withColumn("_part", F.col(L.key).cast("long") % 4)
+    part = lambda k: rows.where(F.col("_part") == k).drop("_part")
+    loaded = lambda k: part(k).withColumn(L.batch, F.col(L.batch).cast("timestamp")).select(L.bronze_columns)
+    write_full(loaded(0), table)
+    for streamed, appended in ((1, 2), (3, None)):
+        write_messages(part(streamed), fmt="text", path=topic)
+        loads.stream_to_bronze(spark, stream_source(spark, fmt="text", path=topic), ns, ckpt)
+        if appended is not None:
+            append_batch(loaded(appended), table)
+    return spark.table(table).select(*L.raw, L.origin)
+
+
 def q_upsert_table_null_year(spark, sf):
     """A compat load that leaves undated rows under the NULL year, then a
     default run whose second batch dates them: the NULL partition goes."""
@@ -410,6 +427,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "feed_to_bronze": q_feed_to_bronze,
     "feed_to_bronze_per_day": q_feed_to_bronze_per_day,
     "stream_to_bronze_table": q_stream_to_bronze_table,
+    "stream_into_loaded_bronze": q_stream_into_loaded_bronze,
 }
 
 
@@ -607,4 +625,6 @@ def _oracle_sql() -> dict[str, str]:
         "feed_to_bronze_per_day": sil
         + f"SELECT {served}, 'api' AS {L.origin}, CAST({FEED_PAGES} AS BIGINT) AS markers FROM bronze",
         "stream_to_bronze_table": sil + f"SELECT {raw}, 'kafka' AS {L.origin} FROM bronze",
+        "stream_into_loaded_bronze": sil
+        + f"SELECT {raw}, CASE WHEN CAST({L.key} AS BIGINT) % 2 = 1 THEN 'kafka' ELSE 'csv' END AS {L.origin} FROM bronze",
     }

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from layerkit.layout import COMPLAINTS, Layout
+from layerkit.sinks import files
 from layerkit.operators.upsert import apply_merge, merge_source, replaces
 from layerkit.session import DEFAULT_BROADCAST_ROWS, scratch_path, stage, stage_measured
 from layerkit.streaming.messages import encode_messages
@@ -113,9 +114,6 @@ def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
-V2_FORMATS = ("delta", "iceberg")
-
-
 def append_batch(df: DataFrame, table: str, fmt: str = "parquet") -> int:
     """Append by column name; create the table on first use. Returns the
     rows appended.
@@ -126,7 +124,7 @@ def append_batch(df: DataFrame, table: str, fmt: str = "parquet") -> int:
     """
     spark = df.sparkSession
     df, obs = _counted(df)
-    if spark.catalog.tableExists(table) and _provider(spark, table) in V2_FORMATS:
+    if spark.catalog.tableExists(table) and _provider(spark, table) in files.V2_FORMATS:
         df.writeTo(table).append()
     else:
         df.write.mode("append").format(fmt).saveAsTable(table)
@@ -190,7 +188,7 @@ def upsert_table(
     if compat:
         rule = "differs"
     if method == "auto":
-        method = "merge" if _provider(spark, table) in V2_FORMATS else "rewrite"
+        method = "merge" if _provider(spark, table) in files.V2_FORMATS else "rewrite"
     if method == "rewrite":
         finish_pending(spark, table, layout, distribute)
     target = spark.table(table)

@@ -302,11 +302,11 @@ def test_upsert_leaves_session_overwrite_mode_alone(spark):
     key = "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(key)
     t1, t2 = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)
-    spark.sql("CREATE NAMESPACE IF NOT EXISTS t7_bronze")
-    spark.createDataFrame([_rec("a", "2001-01-01", t1)], _schema()).write.saveAsTable("t7_bronze.complaints")
-    loads.initial_silver(spark, "t7_bronze", "t7_silver")
-    append_batch(spark.createDataFrame([_rec("b", "2002-01-01", t2)], _schema()), "t7_bronze.complaints")
-    assert loads.incremental_silver(spark, "t7_bronze", "t7_silver")["inserted"] == 1
+    spark.sql("CREATE NAMESPACE IF NOT EXISTS t17_bronze")
+    spark.createDataFrame([_rec("a", "2001-01-01", t1)], _schema()).write.saveAsTable("t17_bronze.complaints")
+    loads.initial_silver(spark, "t17_bronze", "t17_silver")
+    append_batch(spark.createDataFrame([_rec("b", "2002-01-01", t2)], _schema()), "t17_bronze.complaints")
+    assert loads.incremental_silver(spark, "t17_bronze", "t17_silver")["inserted"] == 1
     assert spark.conf.get(key) == before
 
 
