@@ -84,6 +84,21 @@ def mart_counts(df: DataFrame, layout: Layout = COMPLAINTS) -> DataFrame:
     return sets.select(mart.alias("mart"), F.coalesce(c, s, y).alias("value"), "n")
 
 
+def signed_counts(rows: DataFrame, n: str, layout: Layout = COMPLAINTS) -> DataFrame:
+    """Like ``mart_counts``, of rows that each add their ``n``, which may be
+    negative; values whose changes cancel out are left out."""
+    names = {"company": layout.company, "summary_by_state": layout.state, "summary_by_year": layout.partition}
+    each = F.array(*[F.struct(F.lit(m).alias("mart"), F.col(c).cast("string").alias("value")) for m, c in names.items()])
+    found = rows.select(F.col(n).alias("n"), F.explode(each).alias("x")).groupBy("x.mart", "x.value").agg(F.sum("n").alias("n"))
+    return found.where("n <> 0")
+
+
+def apply_delta(counts: DataFrame, delta: DataFrame) -> DataFrame:
+    """``mart_counts`` after ``signed_counts``: values that reach zero go."""
+    both = counts.select("mart", "value", "n").unionByName(delta.select("mart", "value", "n"))
+    return both.groupBy("mart", "value").agg(F.sum("n").alias("n")).where("n <> 0")
+
+
 def split_marts(counts: DataFrame) -> dict[str, DataFrame]:
     """The mart tables of ``mart_counts``, by name, in their order."""
     of = lambda m: counts.where(F.col("mart") == m)

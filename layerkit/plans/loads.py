@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerkit.layout import COMPLAINTS, Layout
-from layerkit.operators.marts import mart_counts, split_marts
+from layerkit.operators.marts import apply_delta, mart_counts, split_marts
 from layerkit.operators.promote import promote_gold, to_silver
 from layerkit.operators.stamp import stamp_batch
 from layerkit.operators.versions import missing_batches
@@ -23,7 +23,11 @@ from layerkit.sinks.tables import (
     append_batch,
     create_namespace,
     finish_pending,
+    mark_version,
+    table_version,
+    unpromoted,
     upsert_table,
+    version_delta,
     write_full,
     write_marts,
     write_messages,
@@ -35,6 +39,8 @@ from layerkit.streaming.drain import logged_drain, stream_to_table
 from layerkit.streaming.messages import decode_messages
 
 TABLE = "complaints"
+# Beside the marts: their counts, from which an upsert's changes make the next.
+COUNTS = "mart_counts"
 
 
 def _t(namespace: str, table: str = TABLE) -> str:
@@ -43,8 +49,41 @@ def _t(namespace: str, table: str = TABLE) -> str:
 
 def layer_marts(spark: SparkSession, namespace: str, layout: Layout = COMPLAINTS, fmt: str = "parquet") -> dict:
     """L10: rebuild the three marts of a layer from one scan of its table."""
-    counts = stage(mart_counts(spark.table(_t(namespace)), layout))
-    return write_marts(split_marts(counts), namespace, fmt)
+    return _write_counts(spark, namespace, mart_counts(spark.table(_t(namespace)), layout), fmt)
+
+
+def _write_counts(spark: SparkSession, namespace: str, counts: DataFrame, fmt: str) -> dict:
+    """The marts from their counts, which are kept beside them, marked with
+    the version of the layer they are of."""
+    version = table_version(spark, _t(namespace))
+    counts = stage(counts)
+    write_full(counts, _t(namespace, COUNTS), fmt)
+    done = write_marts(split_marts(counts), namespace, fmt)
+    mark_version(spark, _t(namespace, COUNTS), version)
+    return done
+
+
+def refresh_marts(spark: SparkSession, namespace: str, layout: Layout = COMPLAINTS, fmt: str = "parquet") -> dict:
+    """The marts of a layer after an upsert, from the changes it left: no scan
+    of the layer. Rebuilt when the kept counts are not of the version that
+    the changes start from (another load came between, or an earlier run
+    ended before its marts), or do not add up to the layer's rows."""
+    layer, kept = _t(namespace), _t(namespace, COUNTS)
+    version = table_version(spark, layer)
+    of = table_version(spark, kept) if spark.catalog.tableExists(kept) else None
+    counts = spark.table(kept) if of is not None and version is not None else None
+    if counts is None or of != version:
+        delta = version_delta(spark, layer, of) if counts is not None else None
+        if delta is None:
+            return layer_marts(spark, namespace, layout, fmt)
+        counts = stage(apply_delta(counts, delta))
+    rows = counts.where("mart = 'summary_by_year'").agg(F.sum("n")).first()[0] or 0
+    if rows != spark.table(layer).count():  # file footers only
+        return layer_marts(spark, namespace, layout, fmt)
+    if of == version:
+        held = {r["mart"]: r["count"] for r in counts.groupBy("mart").count().collect()}
+        return {m: held.get(m, 0) for m in ("company", "summary_by_state", "summary_by_year")}
+    return _write_counts(spark, namespace, counts, fmt)
 
 
 def initial_bronze(
@@ -209,12 +248,16 @@ def _incremental(
     compat: bool,
     fmt: str,
 ) -> dict:
-    finish_pending(spark, _t(target_ns), layout)
+    finish_pending(spark, _t(target_ns))
     base, target = spark.table(_t(base_ns)), spark.table(_t(target_ns))
     # The missing markers are found once: for the report and for the merge.
-    missing = stage(missing_batches(base, target, layout))
-    counts = upsert_table(spark, _t(target_ns), base, layout, rule, compat, missing=missing)
-    marts = layer_marts(spark, target_ns, layout, fmt)
+    # Batches that an earlier run has looked at are not missing.
+    missing = missing_batches(base, target, layout)
+    if not compat:
+        missing = unpromoted(spark, _t(target_ns), missing, _t(base_ns), layout)
+    missing = stage(missing)
+    counts = upsert_table(spark, _t(target_ns), base, layout, rule, compat, missing=missing, source_name=_t(base_ns))
+    marts = refresh_marts(spark, target_ns, layout, fmt)
     return {"missing_batches": missing, "missing_count": missing.count(), **counts, "marts": marts}
 
 

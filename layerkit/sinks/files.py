@@ -50,6 +50,11 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def make(spark: SparkSession, path: str) -> None:
+    p, fs = _path(spark, path)
+    fs.mkdirs(p)
+
+
 def move(spark: SparkSession, source: str, target: str) -> None:
     p, fs = _path(spark, source)
     t, _ = _path(spark, target)

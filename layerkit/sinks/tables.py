@@ -9,14 +9,18 @@ from __future__ import annotations
 
 import json
 import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from layerkit.layout import COMPLAINTS, Layout
-from layerkit.sinks import files
+from layerkit.functions.dates import has_date
+from layerkit.operators.marts import signed_counts
 from layerkit.operators.upsert import apply_merge, merge_source, replaces
+from layerkit.operators.versions import missing_batches, unseen_batches
 from layerkit.session import DEFAULT_BROADCAST_ROWS, scratch_path, stage, stage_measured
+from layerkit.sinks import files
 from layerkit.streaming.messages import encode_messages
 
 
@@ -48,6 +52,8 @@ def create_layer_table(
     if typed:
         w = w.partitionBy(layout.partition)
     w.saveAsTable(table)
+    if fmt not in files.V2_FORMATS:
+        _set(spark, table, VERSION, uuid.uuid4().hex)
 
 
 def list_namespaces(spark: SparkSession) -> list[str]:
@@ -55,7 +61,15 @@ def list_namespaces(spark: SparkSession) -> list[str]:
 
 
 def drop_table(spark: SparkSession, table: str) -> None:
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    """Drop ``table`` if it exists, with all versions of a managed table's
+    data (Spark removes the current one)."""
+    if not spark.catalog.tableExists(table):
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        return
+    about, home = files.describe(spark, table), files.root(spark, table)
+    spark.sql(f"DROP TABLE {table}")
+    if about.get("Type") == "MANAGED":
+        files.delete(spark, home)
 
 
 def distribute_for_write(df: DataFrame, partition_by: str, sort_by: list[str], how: str = "rebalance") -> DataFrame:
@@ -90,25 +104,47 @@ def write_full(
     """Replace ``table`` with ``df`` in one write; returns the rows written
     (observed during the write, no second pass).
 
-    Not atomic on plain file tables: Spark drops the old table before it
-    writes the new one, so a reload that fails leaves no table and is run
-    again. Table formats with snapshots replace in one commit.
+    The new data is written beside the old, in a version folder of its own,
+    and the table is pointed at it at the end: until then, and when the write
+    fails at any step, the old table stays readable. The old data goes with
+    the next commit. A table that is not there yet, or whose columns, format
+    or partitioning change, is created anew; table formats with snapshots
+    replace in one commit of their own.
 
     With ``partition_by`` all partitions are written by one job (not one job
     per partition value); rows are arranged by ``distribute_for_write``.
     """
+    spark = df.sparkSession
     if partition_by:
         df = distribute_for_write(df, partition_by, list(sort_by or []), distribute)
     # observed above any exchange: a range split's sampling pass runs the plan
     # below it too, and must not be counted
     df, obs = _counted(df)
-    w = df.write.mode("overwrite").format(fmt)
-    if partition_by:
-        w = w.partitionBy(partition_by)
-    w.saveAsTable(table)
+    if fmt in files.V2_FORMATS or not _same_shape(spark, table, df, fmt, partition_by):
+        w = df.write.mode("overwrite").format(fmt)
+        if partition_by:
+            w = w.partitionBy(partition_by)
+        if fmt not in files.V2_FORMATS:
+            drop_table(spark, table)
+        w.saveAsTable(table)
+        if fmt not in files.V2_FORMATS:
+            _set(spark, table, VERSION, uuid.uuid4().hex)
+    else:
+        path = _write_version(df.select(spark.table(table).columns), table, fmt, partition_by)
+        _commit(spark, table, partition_by, path, whole=True)
     return obs.get["rows"]
 
 
+def _same_shape(spark: SparkSession, table: str, df: DataFrame, fmt: str, partition_by: str | None) -> bool:
+    if not spark.catalog.tableExists(table) or _provider(spark, table) != fmt.lower():
+        return False
+    columns = spark.catalog.listColumns(table)
+    kinds = lambda x: {f.name: f.dataType.simpleString() for f in x.schema}
+    return kinds(spark.table(table)) == kinds(df) and [c.name for c in columns if c.isPartition] == [
+        c for c in [partition_by] if c
+    ]
+
+
 def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     obs = Observation(f"layerkit_rows_{uuid.uuid4().hex}")
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
@@ -127,7 +163,10 @@ def append_batch(df: DataFrame, table: str, fmt: str = "parquet") -> int:
     if spark.catalog.tableExists(table) and _provider(spark, table) in files.V2_FORMATS:
         df.writeTo(table).append()
     else:
-        df.write.mode("append").format(fmt).saveAsTable(table)
+        w = df.write.mode("append").format(fmt)
+        if spark.catalog.tableExists(table):
+            w = w.partitionBy(*[c.name for c in spark.catalog.listColumns(table) if c.isPartition])
+        w.saveAsTable(table)
     return obs.get["rows"]
 
 
@@ -166,6 +205,7 @@ def upsert_table(
     method: str = "auto",
     distribute: str = "rebalance",
     missing: DataFrame | None = None,
+    source_name: str | None = None,
 ) -> dict[str, int]:
     """Merge the unseen batches of ``source`` into the partitioned ``table``.
 
@@ -173,15 +213,21 @@ def upsert_table(
     through ``DataFrame.mergeInto``. ``method="rewrite"`` (auto for plain
     file tables, which cannot MERGE) rewrites only the partitions the merge
     touches: decisions are taken against one narrow pass over the whole
-    target and staged in the checkpoint folder, then only the affected
-    partitions are merged and written with dynamic partition overwrite; a
-    partition the merge empties is dropped; ``distribute`` arranges the
-    rewritten rows as in ``write_full``. ``missing`` passes the unseen batch
-    markers on when the caller has them. Returns the inserted / updated row
-    counts.
+    target and staged in the checkpoint folder, then the affected partitions
+    are merged and written once, into a version folder, and the table's
+    partitions are pointed there; a partition the merge empties is dropped;
+    ``distribute`` arranges the rewritten rows as in ``write_full``.
+    ``missing`` passes the unseen batch markers on when the caller has them.
+    Returns the inserted / updated row counts.
+
+    With ``source_name`` every batch looked at is entered in the table's
+    ledger in the same commit (``promoted_batches``), also one of which no row
+    came in, and batches in the ledger are not read again. ``compat`` takes no
+    ledger, as the original has none. A file table's commit also leaves the
+    changes per value of the marts (``version_delta``).
 
     A rewrite can be repeated: the merged rows are staged and recorded with
-    the table before its files are touched, and a run that finds such a record
+    the table before it is pointed at them, and a run that finds such a record
     finishes it first. A run that failed at any point, run again, gives what
     it would have given uninterrupted.
     """
@@ -190,12 +236,17 @@ def upsert_table(
     if method == "auto":
         method = "merge" if _provider(spark, table) in files.V2_FORMATS else "rewrite"
     if method == "rewrite":
-        finish_pending(spark, table, layout, distribute)
+        finish_pending(spark, table, layout)
     target = spark.table(table)
+    if source_name and not compat and method == "rewrite":
+        if missing is None:
+            missing = stage(unpromoted(spark, table, missing_batches(source, target, layout), source_name, layout))
+    else:
+        source_name = None
     src, small = stage_measured(merge_source(target, source, layout, compat, broadcast_rows, missing), broadcast_rows)
     if method == "merge":
         return _merge_into(src, table, layout, rule, keep_year=compat)
-    return _rewrite_partitions(spark, table, target, src, layout, rule, compat, small, distribute)
+    return _rewrite_partitions(spark, table, target, src, layout, rule, compat, small, distribute, source, missing, source_name)
 
 
 def _merge_into(src: DataFrame, table: str, layout: Layout, rule: str, keep_year: bool) -> dict[str, int]:
@@ -239,75 +290,92 @@ def _rewrite_partitions(
     rule: str,
     compat: bool,
     small: bool,
-    distribute: str = "rebalance",
+    distribute: str,
+    source: DataFrame,
+    missing: DataFrame | None,
+    source_name: str | None,
 ) -> dict[str, int]:
     key, part, version = layout.key, layout.partition, layout.version
+    none = {"inserted": 0, "updated": 0}
+    if src.isEmpty():
+        if source_name:
+            _enter(spark, table, _outcomes(source, target, None, missing, source_name, layout))
+        return none
 
     # 1. Decide every source row against the whole target through a narrow
-    #    scan of (key, version, partition). One decision row per updated
-    #    target row (old and new partition) and per inserted source row;
+    #    scan of (key, version, and what the marts count). One decision row per
+    #    updated target row (old and new values) and per inserted source row;
     #    staged, since everything below reads it.
-    narrow = target.select(key, version, part)
-    s = src.select(*[F.col(c).alias("_s_" + c) for c in (key, version, part)])
+    counted = list(dict.fromkeys([part, layout.company, layout.state]))
+    narrow = target.select(key, version, *counted)
+    s = src.select(*[F.col(c).alias("_s_" + c) for c in (key, version, *counted)])
     if small:
         s = F.broadcast(s)
+    values = lambda prefix, name: F.struct(*[F.col(prefix + c).alias(c) for c in counted]).alias(name)
     # The one pass over the target: rows whose key the source names (at most
     # the target rows of those keys), staged so both decisions read it.
     matched = stage(narrow.join(s, F.col(key) == F.col("_s_" + key), "inner"))
+    new = values("_s_", "new")
+    if compat:
+        new = new.withField(part, F.col(part)).alias("new")
     updates = matched.where(replaces(rule, F.col("_s_" + version), F.col(version))).select(
-        key,
-        F.lit("update").alias("action"),
-        F.col(part).alias("old"),
-        F.col(part if compat else "_s_" + part).alias("new"),
+        key, F.lit("update").alias("action"), values("", "old"), new
     )
     hit = matched.select(key).distinct()
     inserts = src.join(F.broadcast(hit) if small else hit, key, "left_anti").select(
-        key, F.lit("insert").alias("action"), F.lit(None).cast("string").alias("old"), F.col(part).alias("new")
+        key, F.lit("insert").alias("action"), F.lit(None).alias("old"), values("", "new")
     )
     decisions = stage(updates.unionByName(inserts))
 
     # 2. Row movements per (action, old, new) partition: at most a few rows
     #    per pair of partition values.
-    moves = decisions.groupBy("action", "old", "new").agg(F.count(F.lit(1)).alias("n")).collect()
+    old_new = [F.col("old")[part].alias("old"), F.col("new")[part].alias("new")]
+    moves = decisions.groupBy("action", *old_new).agg(F.count(F.lit(1)).alias("n")).collect()
     result = {
         "inserted": sum(m.n for m in moves if m.action == "insert"),
         "updated": sum(m.n for m in moves if m.action == "update"),
     }
-    affected = {m.old for m in moves if m.action == "update"} | {m.new for m in moves}
-    if not moves:
-        return result
-    # A partition is emptied when every row it holds moves out and none moves in.
-    moved_out, moved_in = {}, {}
-    for m in moves:
-        if m.action == "update" and m.old != m.new:
-            moved_out[m.old] = moved_out.get(m.old, 0) + m.n
-        if m.action == "insert" or m.old != m.new:
-            moved_in[m.new] = moved_in.get(m.new, 0) + m.n
-    held = {
-        r[0]: r[1] for r in target.where(_is_any(part, moved_out)).groupBy(part).count().collect()
-    } if moved_out else {}
-    emptied = [y for y, n in moved_out.items() if held.get(y) == n and not moved_in.get(y)]
-
-    # 3. Merge only the affected partitions. The effective source holds the
-    #    decided updates and inserts, so a key kept in an untouched
-    #    partition is neither re-inserted nor rewritten.
+    # The effective source holds the decided updates and inserts, so a key
+    # kept in an untouched partition is neither re-inserted nor rewritten.
     decided = decisions.select(key).distinct()
     effective = src.join(F.broadcast(decided) if small else decided, key, "left_semi").unionByName(
         src.where(F.col(key).isNull())
     )
-    merged = apply_merge(target.where(_is_any(part, affected)), effective, layout, rule, compat, small)
+    entries = _outcomes(source, target, effective, missing, source_name, layout) if source_name else None
+    if not moves:
+        if entries is not None:
+            _enter(spark, table, entries)
+        return result
+    affected = {m.old for m in moves if m.action == "update"} | {m.new for m in moves}
 
-    # 4. Stage the merged partitions, record them with the table, commit.
-    path = scratch_path(spark, "upsert")
-    merged.select(target.columns).write.parquet(path)
-    record = json.dumps({"path": path, "emptied": emptied})
-    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{PENDING}' = '{record}')")
-    finish_pending(spark, table, layout, distribute)
+    # 3. Merge only the affected partitions, write them once into a version
+    #    folder, record them with the table, point the table there. A touched
+    #    partition without a folder is emptied.
+    merged = apply_merge(target.where(_is_any(part, affected)), effective, layout, rule, compat, small)
+    arranged = distribute_for_write(merged.select(target.columns), part, [layout.date], distribute)
+    path = _write_version(arranged, table, _provider(spark, table), part)
+    delta = scratch_path(spark, "delta")
+    _signed(decisions, layout).write.parquet(delta)
+    ledger = _stage_entries(spark, table, entries) if entries is not None else None
+    _commit(spark, table, part, path, touched=sorted(affected, key=str), delta=delta, ledger=ledger)
     return result
 
 
-# Table property that records a commit under way.
+def _signed(decisions: DataFrame, layout: Layout) -> DataFrame:
+    """What the decisions change in the marts' counts: ``mart, value, n``."""
+    side = lambda c, n: F.struct(F.col(c).alias("v"), F.lit(n).cast("long").alias("n"))
+    both = F.filter(F.array(side("old", -1), side("new", 1)), lambda x: x["v"].isNotNull())
+    rows = decisions.select(F.explode(both).alias("x")).select("x.n", "x.v.*")
+    return signed_counts(rows, "n", layout)
+
+
+# Table properties: a commit under way; what the last one replaced; the
+# version of the data; the changes that led from one version to the next.
 PENDING = "layerkit.pending"
+REPLACED = "layerkit.replaced"
+VERSION = "layerkit.version"
+DELTA = "layerkit.delta"
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
 
 def _is_any(column: str, values) -> Column:
@@ -316,40 +384,213 @@ def _is_any(column: str, values) -> Column:
     return cond | F.col(column).isNull() if None in values else cond
 
 
-def _overwrite_partitions(spark: SparkSession, table: str, path: str, layout: Layout, distribute: str) -> None:
-    """Replace the partitions staged under ``path``. The overwrite mode is set
-    in a session of its own, so no other write of the caller's inherits it."""
-    own = spark.newSession()
-    own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    name = table if "." in table else f"{spark.catalog.currentDatabase()}.{table}"
-    rows = own.read.schema(spark.table(table).schema).parquet(path)
-    distribute_for_write(rows, layout.partition, [layout.date], distribute).write.insertInto(name, overwrite=True)
+def _property(spark: SparkSession, table: str, key: str):
+    found = spark.sql(f"SHOW TBLPROPERTIES {table}").where(F.col("key") == key).collect()
+    return json.loads(found[0]["value"]) if found else None
+
+
+def _set(spark: SparkSession, table: str, key: str, value) -> None:
+    text = json.dumps(value).replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{key}' = '{text}')")
+
+
+def _write_version(df: DataFrame, table: str, fmt: str, partition_by: str | None) -> str:
+    spark = df.sparkSession
+    path = f"{files.root(spark, table)}/{files.VERSIONS}/{uuid.uuid4().hex}"
+    w = df.write.format(fmt)
+    if partition_by:
+        w = w.partitionBy(partition_by)
+    w.save(path)
+    return path
+
+
+def _partition_folders(spark: SparkSession, path: str, part: str) -> dict[str | None, str]:
+    """Partition values under ``path`` and their folders."""
+    names = [n for n in files.children(spark, path) if n.startswith(f"{part}=")]
+    value = lambda n: None if n.endswith(f"={NULL_FOLDER}") else unquote(n.split("=", 1)[1])
+    return {value(n): f"{path}/{n}" for n in names}
+
+
+def _spec(part: str, value: str | None) -> str:
+    return f"PARTITION ({part} = null)" if value is None else f"PARTITION ({part} = '{value}')"
+
+
+def _held_partitions(spark: SparkSession, table: str) -> list[str | None]:
+    held = [r[0].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]
+    return [None if v in (NULL_FOLDER, "null") else unquote(v) for v in held]
 
 
-def _drop_partitions(spark: SparkSession, table: str, layout: Layout, emptied: list[str | None]) -> None:
-    for year in emptied:
-        value = "null" if year is None else f"'{year}'"
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({layout.partition} = {value})")
+def _partition_location(spark: SparkSession, table: str, part: str, value: str | None) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table} {_spec(part, value)}").collect()
+    return next(r["data_type"] for r in rows if r["col_name"] == "Location")
+
+
+def _commit(
+    spark: SparkSession,
+    table: str,
+    part: str | None,
+    path: str,
+    touched: list[str | None] = (),
+    whole: bool = False,
+    delta: str | None = None,
+    ledger: str | None = None,
+) -> None:
+    """Point ``table`` at the version written under ``path``: all of it, or
+    its ``touched`` partitions. What is to be done is recorded first, so a run
+    that was cut short is finished by the next."""
+    record = {"path": path, "part": part, "whole": whole, "delta": delta, "ledger": ledger, "from": _property(spark, table, VERSION)}
+    if part:
+        held, new = _held_partitions(spark, table), _partition_folders(spark, path, part)
+        record["emptied"] = [v for v in held if v not in new and (whole or v in touched)]
+        record["replaced"] = [_partition_location(spark, table, part, v) for v in held if v in new]
+    else:
+        record["replaced"] = [files.location(spark, table)]
+    _set(spark, table, PENDING, record)
+    finish_pending(spark, table)
+
+
+def _point_partitions(spark: SparkSession, table: str, part: str, path: str) -> None:
+    for value, folder in _partition_folders(spark, path, part).items():
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {_spec(part, value)} LOCATION '{folder}'")
+        spark.sql(f"ALTER TABLE {table} {_spec(part, value)} SET LOCATION '{folder}'")
+
+
+def _drop_partitions(spark: SparkSession, table: str, part: str, emptied: list[str | None]) -> None:
+    for value in emptied:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {_spec(part, value)}")
 
 
 def _clear_pending(spark: SparkSession, table: str) -> None:
     spark.sql(f"ALTER TABLE {table} UNSET TBLPROPERTIES IF EXISTS ('{PENDING}')")
 
 
-def finish_pending(spark: SparkSession, table: str, layout: Layout, distribute: str = "rebalance") -> None:
+def _delete_replaced(spark: SparkSession, table: str, keep: list[str]) -> None:
+    """Data that the commit before replaced: readers that began before it have
+    had the time between two commits."""
+    home = files.root(spark, table)
+    for folder in _property(spark, table, REPLACED) or []:
+        if folder in keep:
+            continue
+        if folder.rstrip("/") == home:  # the table's first version lies beside the later ones
+            for name in files.children(spark, home):
+                if not name.startswith("_") or name == "_SUCCESS":
+                    files.delete(spark, f"{home}/{name}")
+        else:
+            files.delete(spark, folder)
+
+
+def finish_pending(spark: SparkSession, table: str, layout: Layout | None = None) -> None:
     """Finish the commit recorded with ``table``, if any. Every step can be
-    repeated: the staged rows replace whole partitions, and dropping an
-    emptied partition twice is dropping it once."""
-    found = spark.sql(f"SHOW TBLPROPERTIES {table}").where(F.col("key") == PENDING).collect()
-    if not found:
+    repeated: partitions are pointed at folders that are there already, and
+    dropping an emptied partition twice is dropping it once."""
+    record = _property(spark, table, PENDING)
+    if record is None:
         return
-    record = json.loads(found[0]["value"])
-    _overwrite_partitions(spark, table, record["path"], layout, distribute)
-    _drop_partitions(spark, table, layout, record["emptied"])
+    if record["part"]:
+        _point_partitions(spark, table, record["part"], record["path"])
+        _drop_partitions(spark, table, record["part"], record["emptied"])
+    else:
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{record['path']}'")
+    if record["whole"]:
+        files.delete(spark, _promoted(spark, table))
+    elif record["ledger"]:
+        _move_entries(spark, table, record["ledger"])
+    version = record["path"].rsplit("/", 1)[1]
+    _set(spark, table, DELTA, {"from": record["from"], "to": version, "path": record["delta"]})
+    _set(spark, table, VERSION, version)
+    if _property(spark, table, REPLACED) != record["replaced"]:
+        _delete_replaced(spark, table, record["replaced"])
+        _set(spark, table, REPLACED, record["replaced"])
     _clear_pending(spark, table)
     spark.catalog.refreshTable(table)
 
 
+def table_version(spark: SparkSession, table: str) -> str | None:
+    """The version of a file table's data: every full load and every upsert
+    gives a new one. None where other means made the table."""
+    return _property(spark, table, VERSION)
+
+
+def mark_version(spark: SparkSession, table: str, version: str | None) -> None:
+    """State that ``table`` was derived from that version of another."""
+    _set(spark, table, VERSION, version)
+
+
+def version_delta(spark: SparkSession, table: str, since: str | None) -> DataFrame | None:
+    """What changed in the marts' counts from version ``since`` to the one
+    now (``mart, value, n``); None when that is not known."""
+    delta = _property(spark, table, DELTA)
+    if not delta or since is None or delta["from"] != since or delta["to"] != table_version(spark, table):
+        return None
+    if not delta["path"] or not files.exists(spark, delta["path"]):
+        return None
+    return spark.read.schema("mart string, value string, n long").parquet(delta["path"])
+
+
+# --- the ledger of promoted batches
+
+
+def _promoted(spark: SparkSession, table: str) -> str:
+    return f"{files.root(spark, table)}/{files.LEDGERS}/promoted"
+
+
+def promoted_batches(spark: SparkSession, table: str) -> DataFrame | None:
+    """The ledger of ``table``: ``source``, the batch marker, the ``rows`` it
+    had, how many were ``valid``, and the ``outcome``: ``merged``,
+    ``superseded`` (no row came in) or ``invalid`` (no row was valid). None
+    before the first entry."""
+    folder = _promoted(spark, table)
+    runs = files.children(spark, folder)
+    return spark.read.parquet(*[f"{folder}/{r}" for r in runs]) if runs else None
+
+
+def unpromoted(spark: SparkSession, table: str, missing: DataFrame, source_name: str, layout: Layout = COMPLAINTS) -> DataFrame:
+    """The batch markers of ``missing`` that the ledger of ``table`` does not
+    have from that source."""
+    held = promoted_batches(spark, table)
+    if held is None:
+        return missing
+    done = held.where(F.col("source") == source_name).select(layout.batch).distinct()
+    return missing.join(done, layout.batch, "left_anti").orderBy(F.desc_nulls_last(layout.batch))
+
+
+def _outcomes(
+    source: DataFrame, target: DataFrame, effective: DataFrame | None, missing: DataFrame, source_name: str, layout: Layout
+) -> DataFrame:
+    """Ledger entries of the batches in ``missing``, by a narrow scan of them."""
+    b = layout.batch
+    rows = unseen_batches(source, target, layout, missing=missing).select(b, layout.date)
+    rows = rows.join(missing.select(b).distinct(), b, "left_semi")
+    valid = has_date(layout.date) if dict(rows.dtypes)[layout.date] == "string" else F.col(layout.date).isNotNull()
+    each = rows.groupBy(b).agg(F.count(F.lit(1)).alias("rows"), F.count(F.when(valid, 1)).alias("valid"))
+    if effective is None:
+        each = each.withColumn("came_in", F.lit(0).cast("long"))
+    else:
+        came = effective.groupBy(b).agg(F.count(F.lit(1)).alias("came_in"))
+        each = each.join(came, b, "left").withColumn("came_in", F.coalesce("came_in", F.lit(0)))
+    outcome = F.when(F.col("valid") == 0, "invalid").when(F.col("came_in") == 0, "superseded").otherwise("merged")
+    return each.select(F.lit(source_name).alias("source"), b, "rows", "valid", outcome.alias("outcome"))
+
+
+def _stage_entries(spark: SparkSession, table: str, entries: DataFrame) -> str:
+    path = f"{_promoted(spark, table)}-pending/{uuid.uuid4().hex}"
+    entries.coalesce(1).write.parquet(path)
+    return path
+
+
+def _move_entries(spark: SparkSession, table: str, path: str) -> None:
+    if files.exists(spark, path):
+        folder = _promoted(spark, table)
+        files.make(spark, folder)
+        files.move(spark, path, f"{folder}/{path.rsplit('/', 1)[1]}")
+
+
+def _enter(spark: SparkSession, table: str, entries: DataFrame) -> None:
+    entries = stage(entries)
+    if not entries.isEmpty():
+        _move_entries(spark, table, _stage_entries(spark, table, entries))
+
+
 def write_marts(marts: dict[str, DataFrame], namespace: str, fmt: str = "parquet") -> dict[str, int]:
     """Write each mart as ``namespace.<mart>`` and return their row counts."""
     return {name: write_full(df, f"{namespace}.{name}", fmt) for name, df in marts.items()}

@@ -141,7 +141,7 @@ def test_rewrite_empties_the_null_partition(spark):
     assert layer(spark, s) == DONE
 
 
-@pytest.mark.parametrize("step", ["_overwrite_partitions", "_drop_partitions", "_clear_pending", "distribute_for_write"])
+@pytest.mark.parametrize("step", ["_write_version", "_point_partitions", "_drop_partitions", "_delete_replaced", "_clear_pending"])
 @pytest.mark.parametrize("after", [False, True])
 def test_a_run_that_failed_anywhere_can_be_repeated(spark, monkeypatch, step, after):
     from layerkit.sinks import tables
