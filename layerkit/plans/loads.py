@@ -34,6 +34,7 @@ from layerkit.sinks.tables import (
 )
 from layerkit.sources.csv import read_records_csv
 from layerkit.session import stage
+from layerkit.sources.split import read_records_split
 from layerkit.sources.feed import feed_days, ingest_feed, ingest_until_failure, next_day
 from layerkit.streaming.drain import logged_drain, stream_to_table
 from layerkit.streaming.messages import decode_messages
@@ -96,13 +97,18 @@ def initial_bronze(
     at: dt.datetime | None = None,
     partitions: int | None = None,
     multi_line: bool = True,
+    split: bool = False,
 ) -> dict:
     """L1: CSV export -> bronze (full reload), then its marts. One multi-line
-    file is one reading task: ``partitions`` spreads its rows for the write,
-    and ``multi_line=False`` lets Spark split files without line breaks inside
+    file is one reading task unless ``split`` (one file, see
+    ``sources.split``); ``partitions`` spreads its rows for the write, and
+    ``multi_line=False`` lets Spark split files without line breaks inside
     fields."""
     create_namespace(spark, namespace, location)
-    records = read_records_csv(spark, csv_path, layout, partitions=partitions, multi_line=multi_line)
+    if split:
+        records = read_records_split(spark, csv_path, layout)
+    else:
+        records = read_records_csv(spark, csv_path, layout, partitions=partitions, multi_line=multi_line)
     rows = stamp_batch(records, "csv", at, layout)
     n = write_full(rows.select(layout.bronze_columns), _t(namespace), fmt)
     return {"rows": n, "marts": layer_marts(spark, namespace, layout, fmt)}

@@ -42,6 +42,7 @@ from layerkit.plans import loads
 from layerkit.functions.dates import safe_date
 from layerkit.sinks.tables import append_batch, create_layer_table, create_namespace, upsert_table, write_full, write_messages
 from layerkit.sources.csv import read_feed_csv, read_records_csv
+from layerkit.sources.split import read_records_split
 from layerkit.sources.feed import feed_days, land_days, next_day
 from layerkit.streaming.drain import stream_source, stream_to_table
 from layerkit.streaming.messages import decode_messages, encode_messages
@@ -162,6 +163,17 @@ def q_read_records_csv(spark, sf):
     return read_records_csv(spark, path)
 
 
+def q_read_records_split(spark, sf):
+    """S1 over one file, read in splits by the parity of the quotes before
+    them; the narratives hold line breaks, separators and quotes."""
+    path = scratch_path(spark, "records-split")
+    raw = _bronze(spark, sf).select(*L.raw)
+    story = F.concat(F.lit('said "'), F.col(L.key), F.lit('",\n and\n\nmore'))
+    told = raw.withColumn("complaint_what_happened", F.when(F.col(L.key).cast("long") % 3 == 0, story))
+    told.coalesce(1).write.option("header", "true").option("escape", '"').csv(path)
+    return read_records_split(spark, path, split_bytes=1 << 17)
+
+
 def q_read_feed_csv(spark, sf):
     path = scratch_path(spark, "feed-csv")
     raw = _bronze(spark, sf)
@@ -412,6 +424,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "encode_decode": q_encode_decode,
     "decode_props": q_decode_props,
     "read_records_csv": q_read_records_csv,
+    "read_records_split": q_read_records_split,
     "read_feed_csv": q_read_feed_csv,
     "read_feed_pages": q_read_feed_pages,
     "stream_drain": q_stream_drain,
@@ -593,6 +606,9 @@ def _oracle_sql() -> dict[str, str]:
         "encode_decode": sil + f"SELECT {raw} FROM bronze",
         "decode_props": "SELECT event_id, json_extract_string(props, '$.k') AS k FROM events",
         "read_records_csv": sil + f"SELECT {raw} FROM bronze",
+        "read_records_split": sil
+        + f"SELECT {raw} FROM (SELECT * REPLACE (CASE WHEN CAST({L.key} AS BIGINT) % 3 = 0 THEN 'said \"' || {L.key} || "
+        + "'\",' || chr(10) || ' and' || chr(10) || chr(10) || 'more' END AS complaint_what_happened) FROM bronze)",
         "read_feed_csv": sil + f"SELECT {feed_raw} FROM bronze",
         "read_feed_pages": sil + f"SELECT {pages_raw} FROM bronze",
         "stream_drain": sil + f"SELECT {raw}, 'kafka' AS {L.origin} FROM bronze",

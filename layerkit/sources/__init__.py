@@ -10,8 +10,10 @@ from layerkit.sources.feed import (
     read_landing,
     url_fetcher,
 )
+from layerkit.sources.split import read_records_split
 
 __all__ = [
+    "read_records_split",
     "ragged_rows",
     "read_feed_csv",
     "read_records_csv",

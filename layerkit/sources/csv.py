@@ -65,7 +65,9 @@ def read_records_csv(
 
 def _fields(record: Column) -> Column:
     """How many fields a raw CSV record has: separators outside quotes, and one."""
-    bare = F.regexp_replace(record, r'"(?:[^"]|"")*"', "")
+    # a doubled quote ends one quoted part and begins the next; possessive, so
+    # the matcher takes a field of any length in one step
+    bare = F.regexp_replace(record, r'"[^"]*+"', "")
     return F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
 
 
@@ -92,9 +94,10 @@ def ragged_rows(
 
 
 def _first_lines(spark: SparkSession, path: str | list[str]) -> list[tuple[str, list[str]]]:
-    """Header lines and the files that begin with them.
+    """Header lines (the first lines that are not blank) and the files that
+    begin with them.
 
-    Read on the executors, one task per file that stops after its first line;
+    Read on the executors, one task per file that stops after that line;
     the driver gets one row per distinct header with its files' names. An own
     session holds the settings, so the caller's are not touched.
     """
@@ -105,7 +108,7 @@ def _first_lines(spark: SparkSession, path: str | list[str]) -> list[tuple[str,
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
+            if batch.num_rows and batch.column(0)[0].as_py().strip("\ufeff \t\r"):
                 yield batch.slice(0, 1)
                 return
 
@@ -142,6 +145,23 @@ def select_by_header(df: DataFrame, layout: Layout = COMPLAINTS, empty_as_null:
     return df.select(cols + [c for c in ("_file",) if c in place])
 
 
+def _header(spark: SparkSession, file: str, layout: Layout) -> tuple[list[str], bool]:
+    """The columns of a file by its header record, and whether a header is
+    repeated: of those the last counts, as in a plain dictionary reader, and
+    the others get names of their own."""
+    first = spark.read.options(**_CSV).option("header", "false").csv(file).limit(1).collect()
+    names = [("" if v is None else v).removeprefix("\ufeff") for v in first[0]] if first else []
+    low = [n.lower() for n in names]
+    wanted = {h for h, _ in layout.feed_headers}
+
+    def keeps(i: int) -> bool:
+        same = [j for j, n in enumerate(low) if n == low[i]]
+        exact = [j for j in same if names[j] in wanted]
+        return i == (exact or same)[-1]
+
+    return [n if n and keeps(i) else f"_other_{i}" for i, n in enumerate(names)], len(set(low)) < len(low) or "" in names
+
+
 def read_feed_csv(
     spark: SparkSession,
     path: str | list[str],
@@ -151,22 +171,25 @@ def read_feed_csv(
     keep_file: bool = False,
 ) -> DataFrame:
     """Header-mapped CSV read: every file's rows are bound by that file's own
-    header line, whatever its order and width.
-
-    The first line of each file is read first; files of one header are then
-    read by one scan, which checks every file's header again and raises if it
-    is not the expected one. So the input is read once, plus one line per
-    file. Files without a header line (empty pages) have no rows.
-    ``keep_file`` adds the column ``_file``.
+    header, whatever its order and width.
+
+    The first line of each file that is not blank is read first; files of one
+    such line are then read by one scan, which checks every file's header
+    again and raises if it is not the expected one, so files whose headers
+    differ after a line break are not mixed up. The input is read once, plus
+    one line per file. Blank lines before a header are passed over; of
+    repeated headers the last counts. Files without any line that is not blank
+    (empty pages) have no rows. ``keep_file`` adds the column ``_file``.
     """
     parts = []
     for _, files in _first_lines(spark, path):
-        names = spark.read.options(**_CSV).option("header", "true").csv(files[0]).columns
+        names, repeated = _header(spark, files[0], layout)
         schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, _RAGGED]])
         rows = (
             spark.read.options(**_CSV)
             .option("header", "true")
-            .option("enforceSchema", "false")
+            # repeated headers cannot be held against a schema's distinct names
+            .option("enforceSchema", str(repeated).lower())
             .option("columnNameOfCorruptRecord", _RAGGED)
             .schema(schema)
             .csv(files)
