@@ -13,8 +13,10 @@
    are counted with and without the label; a feature is kept when the label
    is significantly more frequent with it than without (``CHI2``) and the
    lower bound of its precision is over a half. The counts are merged by
-   Spark; at most ``KEEP`` features are kept, and a logistic regression on
-   the sample weighs them against each other.
+   Spark in hash buckets; the features in the buckets that pass are read from
+   the sample again by name, and a logistic regression on it weighs them
+   against each other. Scoring searches no lattice of which no path begins
+   like a kept feature.
 4. A text's score is the regression's probability from the features of its
    restored words, or the precision (lower bound) of a single feature where
    that is ``SURE`` at least and higher.
@@ -51,7 +53,6 @@ from layerkit.llm.class_lm import remainder
 from layerkit.llm.common import col, stage
 
 SAMPLE = 40_000
-KEEP = 5000
 CHI2 = 30.0
 # Strength of the regression's ridge, and its steps.
 RIDGE = 0.5
@@ -236,20 +237,57 @@ def run_words(run: str, model: CharModel) -> list[str]:
     return list(dict.fromkeys([*whole, *(w for words in decode_run(run, model) for w in words)]))
 
 
-def readings(word: str, model: CharModel) -> list[str]:
+class Heads:
+    """What readings must begin with to matter: the first letters of the
+    features that are kept, or a whole word where it is shorter."""
+
+    def __init__(self, names):
+        self.whole = {n[1 : 1 + BEGINS[0]] for n in names}
+        self.part = {h[:k] for h in self.whole for k in range(len(h))}
+
+    def of(self, word: str) -> bool:
+        return word[: BEGINS[0]] in self.whole
+
+    def reached(self, word: str, head: int = 0) -> bool:
+        """Whether any path of the lattice over ``word`` begins so. The arcs
+        are those of ``decode`` and ``decode_run``, without their costs, so a
+        word for which this is false has no reading that matters."""
+        states = {("", "")}
+        for i, c in enumerate(word):
+            arcs, nxt = c + LEET.get(c, ""), set()
+            for s, last in states:
+                for x in arcs:
+                    if s + x in self.whole:
+                        return True
+                    if s + x in self.part:
+                        nxt.add((s + x, x))
+                if c in SEPARATORS or last and (c == last or last in LEET.get(c, "")):
+                    nxt.add((s, last))
+            if i < head:
+                nxt.add(("", ""))
+            states = nxt
+            if not states:
+                return False
+        return False
+
+
+def readings(word: str, model: CharModel, heads: Heads | None = None) -> list[str]:
     """A lower-cased word without the signs around it, or its readings if it
-    looks disguised."""
+    looks disguised. With ``heads`` the lattice is left out where no path of
+    it can begin with one of them."""
     core, outer = word.strip(_ENDS), word.strip(_MERE_ENDS)
     head = len(outer) - len(outer.lstrip(_ENDS))
     tail = len(outer) - len(outer.rstrip(_ENDS)) if core else 0
     if not core:
         # signs alone: at least two different ones may spell a word
-        if len(set(outer) & LEET.keys()) < 2 or len(outer) > LONGEST:
+        if len(set(outer) & LEET.keys()) < 2 or len(outer) > LONGEST or heads and not heads.reached(outer):
             return [core]
         return decode(outer, model)
     if _SPLIT_UP.search(core):
         return [core, *run_words(core, model)]
     disguised = _DISGUISED.search(core) is not None
+    if heads and (head or tail or disguised) and not heads.reached(outer if head or tail else core, head):
+        return [core]
     if head or tail:
         # signs at the ends may stand for letters too: the lattice decides
         if len(outer) <= LONGEST:
@@ -287,20 +325,30 @@ def features(word: str) -> list[str]:
 
 
 class _Reader:
-    """Features of words, remembered."""
+    """Features of words, remembered in two generations: when the younger is
+    full it becomes the older, and words still in use move on."""
+
+    def __init__(self, model: CharModel, pick, heads: Heads | None = None):
+        self.model, self.pick, self.heads, self.known, self.older = model, pick, heads, {}, {}
 
-    def __init__(self, model: CharModel, pick):
-        self.model, self.pick, self.known = model, pick, {}
+    def _word(self, w: str):
+        got = self.older.get(w)
+        if got is None:
+            heads = self.heads
+            found = [r for r in readings(w, self.model, heads) if heads is None or heads.of(r)]
+            got = self.pick({f for r in found for f in features(r)}) if found else ()
+        self.known[w] = got
+        return got
 
     def of(self, text: str | None) -> list:
         plain, runs = words_of(text)
+        if len(self.known) > REMEMBER:
+            self.older, self.known = self.known, {}
         known, out = self.known, []
-        if len(known) > REMEMBER:
-            known.clear()
         for w in plain:
             got = known.get(w)
             if got is None:
-                got = known[w] = self.pick({f for r in readings(w, self.model) for f in features(r)})
+                got = self._word(w)
             if len(got):
                 out.append(got)
         for run in runs:
@@ -336,9 +384,9 @@ def _teach(model: CharModel):
 
 
 class Scorer:
-    """The place of each kept bucket, its weight and precision, and the bias."""
+    """The place of each kept feature, its weight and precision, and the bias."""
 
-    def __init__(self, place: dict[int, int], weights: np.ndarray, precision: np.ndarray, bias: float):
+    def __init__(self, place: dict[str, int], weights: np.ndarray, precision: np.ndarray, bias: float):
         self.place, self.weights, self.bias = place, weights, bias
         self.sure = np.where(precision >= SURE, precision, 0.0)
 
@@ -400,27 +448,26 @@ def learn(
     m, z = a + b, 1.96
     p = b / m
     low = (p + z * z / (2 * m) - z * F.sqrt(p * (1 - p) / m + z * z / (4 * m * m))) / (1 + z * z / m)
-    kept = counted.where((chi >= CHI2) & (low > 0.5)).select("bucket", chi.alias("chi"), low.alias("low"))
-    got = kept.orderBy(F.desc("chi"), "bucket").limit(KEEP).collect()
-    place = {r["bucket"]: i for i, r in enumerate(got)}
+    kept = counted.where((chi >= CHI2) & (low > 0.5)).select("bucket", low.alias("low"))
+    # the features that pass, of at most ``sample`` texts
+    low_of = {r["bucket"]: r["low"] for r in kept.collect()}
     # at most ``sample`` rows of a label and the few kept features they hold
-    seen = rows.select("label", _found(model, place)("text").alias("found")).collect()
-    weights, bias = fit([r["found"] for r in seen], np.array([r["label"] for r in seen], float), len(place))
-    return Scorer(place, weights, np.array([r["low"] for r in got]), bias)
-
-
-def _reader(model: CharModel, place: dict[int, int]) -> _Reader:
-    return _Reader(model, lambda fs: [place[b] for f in fs if (b := _bucket(f)) in place])
+    seen = rows.select("label", _found(model, set(low_of))("text").alias("found")).collect()
+    names = sorted({f for r in seen for f in r["found"]})
+    place = {f: i for i, f in enumerate(names)}
+    found = [[place[f] for f in r["found"]] for r in seen]
+    weights, bias = fit(found, np.array([r["label"] for r in seen], float), len(place))
+    return Scorer(place, weights, np.array([low_of[_bucket(f)] for f in names]), bias)
 
 
-def _found(model: CharModel, place: dict[int, int]):
-    """A column function: the kept features of a text."""
+def _found(model: CharModel, buckets: set[int]):
+    """A column function: the features of a text in the kept buckets."""
     held: list[_Reader] = []
 
-    @F.pandas_udf("array<int>")
+    @F.pandas_udf("array<string>")
     def run(s: pd.Series) -> pd.Series:
         if not held:
-            held.append(_reader(model, place))
+            held.append(_Reader(model, lambda fs: [f for f in fs if _bucket(f) in buckets]))
         return pd.Series([sorted(set().union(*held[0].of(t))) for t in s])
 
     return run
@@ -433,7 +480,8 @@ def score(scorer: Scorer, model: CharModel):
     @F.pandas_udf("double")
     def run(s: pd.Series) -> pd.Series:
         if not held:
-            held.append(_reader(model, scorer.place))
+            place = scorer.place
+            held.append(_Reader(model, lambda fs: [place[f] for f in fs if f in place], Heads(place)))
         return pd.Series([scorer.probability(held[0].of(t)) for t in s], dtype="float64")
 
     return run

@@ -117,3 +117,50 @@ def test_signs_at_the_edges_may_be_letters(make):
         assert plain in tx.readings(word, model), word
     assert tx.readings("reading!", model)[:2] == ["reading", "reading"]
     assert tx.readings("!!!", model) == [""] and tx.readings("reading.", model) == ["reading"]
+
+
+def paths(word, model, at=0, a=0, b=0, last="", s="", p=0.0, out=None):
+    """Every path through a word's lattice, one by one: reading -> least cost."""
+    out = {} if out is None else out
+    if at == len(word):
+        out[s] = min(out.get(s, np.inf), p + model.table[a][b][0])
+        return out
+    c = word[at]
+    for x, cost in [(c, 0.0 if c.isalpha() else 6.0), *[(x, tx.COST_LEET) for x in tx.LEET.get(c, "")]]:
+        k = tx._code(x)
+        paths(word, model, at + 1, b, k, x, s + x, p + (cost + model.table[a][b][k]), out)
+    if last and (c == last or last in tx.LEET.get(c, "")):
+        paths(word, model, at + 1, a, b, last, s, p + tx.COST_REPEAT, out)
+    if c in tx.SEPARATORS:
+        paths(word, model, at + 1, a, b, last, s, p + tx.COST_SEPARATOR, out)
+    return out
+
+
+def some_words(n, seed):
+    rng = random.Random(seed)
+    return ["".join(rng.choice("idotmrnscuah10@!$3.-(") for _ in range(rng.randint(1, 7))) for _ in range(n)] + [
+        "1d10t", "m0r0n", "!d!ot", "i.d.i.o.t", "iiidiot", "s(um", "$(um", "tr@5h", "(trash!)", "@@@", "l0", "1d"]
+
+
+def test_viterbi_equals_all_paths(trained):
+    model, _ = trained
+    for word in some_words(300, 1):
+        want = paths(word, model)
+        order = sorted(want, key=lambda s: (want[s], s))
+        assert tx.decode(word, model, best=10**6) == order, word
+        # the beam never loses the most probable reading
+        assert tx.decode(word, model)[0] == order[0], word
+
+
+def test_screened_lattices_change_no_feature(trained):
+    """What is left out could not have matched a kept feature."""
+    model, _ = trained
+    rng = random.Random(4)
+    for names in (["=idiot", "^mor", "=trash", "^scum"], ["=id", "=i", "^iddi", "=ooo"], ["=" + w for w in BAD]):
+        heads, kept = tx.Heads(names), set(names)
+        of = lambda rs: {f for r in rs for f in tx.features(r)} & kept
+        words = some_words(1_500, rng.random()) + ["(" + w + "!!" for w in some_words(300, 9)] + ["1d10t" * 9 + "!", "m" * 40 + "0ron"]
+        for w in words:
+            full = tx.readings(w, model)
+            assert of(tx.readings(w, model, heads)) == of(full), w
+            assert of([r for r in full if heads.of(r)]) == of(full), w
