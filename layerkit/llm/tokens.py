@@ -15,7 +15,7 @@ looked up as they are.
 from __future__ import annotations
 
 import os
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 
@@ -25,6 +25,8 @@ _SIGNS = b",.;:!?"
 REMEMBER = 700_000
 # Words asked for in one text.
 JOIN = 1000
+# Characters of the texts that are looked up together.
+CHUNK = 1 << 22
 
 
 class _Memory(dict):
@@ -47,15 +49,23 @@ class _Memory(dict):
             self.older = dict(self)
             self.clear()
         older = self.older
-        bare = {w.rstrip(_SIGNS) for w in words if w not in self and w not in older}
-        new = [(w, t) for w in bare if w not in self and w not in older and (t := w.decode("utf-8", "replace")).isalpha()]
-        texts = [" ".join(t for _, t in new[i : i + JOIN]) for i in range(0, len(new), JOIN)]
-        for i, e in enumerate(self.library.encode_batch_fast(texts, add_special_tokens=False)):
+        bare = {w.rstrip(_SIGNS) for w in words}
+        bare = [w for w in bare if w and w not in self and w not in older]
+        texts = [w.decode("utf-8", "replace") for w in bare]
+        new = [(w, t) for w, t in zip(bare, texts) if t.isalpha()]
+        joined = [" ".join([t for _, t in new[i : i + JOIN]]) for i in range(0, len(new), JOIN)]
+        for i, e in enumerate(self.library.encode_batch_fast(joined, add_special_tokens=False)):
             part, ids = new[i * JOIN : (i + 1) * JOIN], np.array(e.ids, "<u2")
             ends = np.flatnonzero(self.last[ids]) + 1
             if len(ends) == len(part):
                 raw, cuts = ids.tobytes(), [0, *(2 * ends).tolist()]
                 self.update((w, raw[a:b]) for (w, _), a, b in zip(part, cuts, cuts[1:]))
+        # other words one by one, but asked for together
+        rest = [(w, t) for w, t in zip(bare, texts) if not t.isalpha()]
+        for i in range(0, len(rest), JOIN):
+            part = rest[i : i + JOIN]
+            for (w, _), e in zip(part, self.library.encode_batch_fast([t for _, t in part], add_special_tokens=False)):
+                self[w] = np.array(e.ids, "<u2").tobytes()
 
     def __missing__(self, word: bytes) -> bytes:
         ids = self.older.get(word)
@@ -103,6 +113,29 @@ class WordEncoder:
                 words = set()
         self._memory.learn(words)
 
+    def batch(self, texts: Iterable[str | None]) -> Iterator[bytes]:
+        """The ids of ``texts``, one after the other. Words are cut and looked
+        up once; the new ones of some texts are asked for together."""
+        held, size = [], 0
+        for t in texts:
+            held.append(t)
+            size += len(t or "")
+            if size >= CHUNK:
+                yield from self._chunk(held)
+                held, size = [], 0
+        yield from self._chunk(held)
+
+    def _chunk(self, texts: list[str | None]) -> Iterator[bytes]:
+        memory = self._memory
+        words = [self._words(t) for t in texts]
+        found = [list(map(memory.get, ws)) for ws in words]
+        gaps = [[i for i, g in enumerate(got) if g is None] for got in found]
+        memory.learn({ws[i] for ws, at in zip(words, gaps) for i in at})
+        for ws, got, at in zip(words, found, gaps):
+            for i in at:
+                got[i] = memory[ws[i]]
+            yield b"".join(got)
+
     def ids(self, text: str | None) -> bytes:
         return b"".join(map(self._memory.__getitem__, self._words(text)))
 

@@ -205,10 +205,9 @@ def _shards(tokenizer: str, end_id: int, shard_tokens: int):
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cells, types)], names=names)
 
         for rb in batches:
-            texts = rb.column(1).to_pylist()
-            enc.learn(texts)
-            for doc_id, text in zip(rb.column(0).to_pylist(), texts):
-                ids = enc.ids(text) + end
+            coded = enc.batch(x.as_py() for x in rb.column(1))
+            for doc_id, ids in zip(rb.column(0).to_pylist(), coded):
+                ids += end
                 n = len(ids) // 2
                 if held and held + n > shard_tokens:
                     yield flush()
