@@ -24,7 +24,8 @@ from __future__ import annotations
 from bisect import bisect_right
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -85,9 +86,11 @@ def best_fit(lengths: list[int], sizes: tuple[int, ...] = SIZES, cost=bin_cost)
 def _pack_shard(sizes: tuple[int, ...], cost):
     top = max(sizes)
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["length", "doc_id", "tie"], ascending=[False, True, True], na_position="first", kind="stable")
-        n = pdf["length"].to_numpy(np.int64)
+    def run(shard: pa.Table) -> pa.Table:
+        # ids stay Arrow values: as pandas numbers, a NULL among them would make them floats
+        keys = [("length", "descending"), ("doc_id", "ascending"), ("tie", "ascending")]
+        shard = shard.take(pc.sort_indices(shard, sort_keys=keys, null_placement="at_start"))
+        n = shard["length"].to_numpy()
         full = np.where(n > top, n // top, 0)
         rest = n - full * top
         whole = (rest == 0) & (full > 0)  # nothing is left over
@@ -99,13 +102,18 @@ def _pack_shard(sizes: tuple[int, ...], cost):
         at, offset, final = best_fit(rest[ends].tolist(), sizes, cost)
         rows = np.concatenate([src, ends])
         bins = np.concatenate([np.arange(len(src)), len(src) + np.array(at, np.int64)])
-        out = pdf.iloc[rows][["doc_id", "shard"]].reset_index(drop=True)
-        out["piece"] = np.concatenate([nth, full[ends]])
-        out["start"] = out["piece"] * top
-        out["length"] = np.concatenate([np.full(len(src), top), rest[ends]])
-        out["bin"] = bins
-        out["bin_offset"] = np.concatenate([np.zeros(len(src), np.int64), np.array(offset, np.int64)])
-        out["bin_size"] = np.concatenate([np.full(len(src), top), np.array(final, np.int64)])[bins]
+        piece = np.concatenate([nth, full[ends]])
+        cells = {
+            "piece": piece,
+            "start": piece * top,
+            "length": np.concatenate([np.full(len(src), top), rest[ends]]),
+            "bin": bins,
+            "bin_offset": np.concatenate([np.zeros(len(src), np.int64), np.array(offset, np.int64)]),
+            "bin_size": np.concatenate([np.full(len(src), top), np.array(final, np.int64)])[bins],
+        }
+        out = shard.select(["doc_id", "shard"]).take(pa.array(rows))
+        for name, values in cells.items():
+            out = out.append_column(name, pa.array(values, pa.int64()))
         return out
 
     return run
@@ -137,4 +145,4 @@ def pack(
         T.StructField(c, T.LongType())
         for c in ("shard", "piece", "start", "length", "bin", "bin_offset", "bin_size")
     ]
-    return rows.groupBy("shard").applyInPandas(_pack_shard(tuple(sizes), cost), T.StructType(fields))
+    return rows.groupBy("shard").applyInArrow(_pack_shard(tuple(sizes), cost), T.StructType(fields))

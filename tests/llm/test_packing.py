@@ -80,3 +80,14 @@ def test_odd_rows(make, odd):
     assert [p[:2] for p in pieces] == [(i, i * 1000) for i in range(121)]
     assert packing.pack(make([]), F.lit(1)).count() == 0
     assert [r.length for r in packing.pack(make([(1, "a"), (2, "b")]), F.lit(None).cast("long")).collect()] == [0, 0]
+
+
+def test_ids_stay_whole_numbers_beside_a_null(make):
+    """As pandas numbers, ids beyond 2^53 would change next to a NULL."""
+    ids = [9007199254740993, 1152921504606846977, -9223372036854775807, None, 3]
+    rows = [(d, f"text number {i} of these") for i, d in enumerate(ids)]
+    got = packing.pack(make(rows), packing.word_lengths(F.col("text")), shard_docs=10)
+    assert sorted((r.doc_id for r in got.collect()), key=str) == sorted(ids, key=str)
+    names = make(rows).withColumn("doc_id", F.concat(F.lit("n"), F.col("doc_id").cast("string")))
+    got = packing.pack(names, packing.word_lengths(F.col("text")))
+    assert {r.doc_id for r in got.collect()} == {None, *(f"n{d}" for d in ids if d is not None)}
