@@ -49,7 +49,9 @@ _DATE_LAYOUTS = {
     **{rf"\d{{1,2}}[{c}]\d{{1,2}}[{c}]\d{{4}}": (f"d{c}M{c}yyyy", f"M{c}d{c}yyyy") for c in "/.-"},
 }
 _PATTERNS = {
-    "email": r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+    # at most 64 characters before the sign, 127 labels of 63 after it, as
+    # mail allows: an unbounded group would take a frame per label
+    "email": r"[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}+(?:\.[A-Za-z0-9-]{1,63}+){0,125}\.[A-Za-z]{2,}",
     "date": "(?:" + "|".join(_DATE_LAYOUTS) + ")",
     "ip": r"\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d)",
     "ssn": r"\d{3}-\d{2}-\d{4}",

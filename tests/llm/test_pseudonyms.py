@@ -130,3 +130,29 @@ def test_month_first_dates_are_permuted(moved):
     back = [dt.datetime.strptime(x, "%m/%d/%Y").date() for x in out]
     assert len(set(back)) == len(days)
     assert all(d.day > 12 and 1700 <= d.year <= 2099 for d in back)
+
+
+LONG_RUNS = [
+    "x@" + "a." * 50_000,
+    "x@" + "ab." * 50_000 + "com",
+    "x@" + "a-" * 50_000 + ".com",
+    "a." * 50_000 + "@b.com",
+    "1" * 100_000,
+    "1." * 50_000,
+    "12-" * 30_000,
+    "1234 " * 2_000,
+    "+1 (555) " * 10_000,
+    "+" * 100_000,
+    "@" * 100_000,
+    "2024-01-01" * 10_000,
+]
+ENDS = {"a@b.com. End": ". End", "a@b.com.x1": ".x1", "a@b..com": "a@b..com", "a@b.c": "a@b.c", "(a@b-c.org)": ")"}
+
+
+def test_very_long_runs_of_each_kind_and_ends_of_domains(moved):
+    """A repeated group takes a frame per repetition: a session's end."""
+    out = moved([*LONG_RUNS, *ENDS])
+    assert [len(t) for t in out[: len(LONG_RUNS)]] == [len(t) for t in LONG_RUNS]
+    assert out[0] == LONG_RUNS[0] and out[3] == LONG_RUNS[3]
+    for text, got in zip(ENDS, out[len(LONG_RUNS) :]):
+        assert got.endswith(ENDS[text]), text
