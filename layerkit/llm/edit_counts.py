@@ -130,7 +130,7 @@ class TokenTree:
         held = self.leaves[a][i:j] if a == b else "".join([self.leaves[a][i:], *self.leaves[a + 1 : b], self.leaves[b][:j]])
         first = start - self._before(a) - i
         region = held[:first] + new + held[first + end - start :]
-        tokens = sum(self.tokens[self.n + a : self.n + b + 1]) + self._count(region) - self.enc.count(held)
+        tokens = sum(self.tokens[self.n + a : self.n + b + 1]) + self._count(region) - self._count(held)
         for leaf in range(a + 1, b + 1):
             if self.leaves[leaf]:
                 self._set(leaf, "", 0)
@@ -151,7 +151,7 @@ class TokenTree:
 
     def _regrow(self, a: int, parts: list[str]) -> None:
         counts = self.tokens[self.n : self.n + len(self.leaves)]
-        own = [self.enc.count(p) for p in parts]
+        own = [self._count(p) for p in parts]
         leaves = self.leaves[:a] + parts + self.leaves[a + 1 :]
         counts = counts[:a] + own + counts[a + 1 :]
         kept = [(t, c) for t, c in zip(leaves, counts) if t] or [("", 0)]

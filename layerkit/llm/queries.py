@@ -97,15 +97,19 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def op10_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three edits of every document, at places drawn from its id: a deletion,
-    an insertion, a replacement."""
+def three_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``doc_id`` and what ``grown_and_edited`` makes of three edits of every
+    document, at places drawn from its id: a deletion, an insertion, a
+    replacement."""
     docs = _documents(spark, sf_dir).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     place = lambda k: F.pmod(F.xxhash64("doc_id", F.lit(k)), F.length("text") + 1).cast("int")
     edit = lambda at, n, new: F.struct(at.alias("start"), (at + n).alias("end"), F.lit(new).alias("text"))
     edits = F.array(edit(place(1), 20, ""), edit(place(2), 0, " counts follow edits "), edit(place(3), 7, "spliced"))
-    done = docs.select("doc_id", edit_counts.grown_and_edited(F.col("text"), edits).alias("done"))
-    return done.select(
+    return docs.select("doc_id", edit_counts.grown_and_edited(F.col("text"), edits).alias("done"))
+
+
+def op10_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return three_edits(spark, sf_dir).select(
         "doc_id",
         "done.n_before",
         "done.n_after",

@@ -11,7 +11,7 @@ from tokenizers import Tokenizer
 
 from layerkit.llm import edit_counts as ec
 from layerkit.llm import tokens, wavelet
-from layerkit.llm.queries import op8_wavelet_files, op10_edit_counts
+from layerkit.llm.queries import op8_wavelet_files, op10_edit_counts, three_edits
 from tests.llm.conftest import SF
 
 ODD = [
@@ -124,8 +124,27 @@ def test_only_the_touched_region_is_encoded():
 def test_query_equals_fresh_counts(spark, library, documents):
     rows = op10_edit_counts(spark, SF).collect()
     assert len(rows) == len(documents)
+    texts = {r.doc_id: r.text for r in three_edits(spark, SF).select("doc_id", "done.text").collect()}
     for r in rows:
         assert r.n_before == len(library(documents[r.doc_id]))
+        assert r.n_after == len(library(texts[r.doc_id]))
+        assert r.text_crc32 == zlib.crc32(texts[r.doc_id].encode())
+
+
+def test_all_that_is_encoded_is_counted():
+    """The old region is encoded too, to be subtracted, and a grown leaf."""
+    tree = ec.TokenTree("some words to edit here and more of them " * 50, tokens.encoder())
+    tree.encoded, asked = 0, []
+    plain = tree.enc.count
+
+    class Counting:
+        def count(self, text):
+            asked.append(len(text))
+            return plain(text)
+
+    tree.enc = Counting()
+    tree.edit(20, 25, "x" * 100 + " " + "long " * 5_000)
+    assert tree.encoded == sum(asked) > 50_000
 
 
 def test_edits_by_join_and_odd_rows(spark, make, library, odd):
