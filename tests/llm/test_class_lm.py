@@ -4,7 +4,9 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from layerkit.llm import class_lm
 from layerkit.llm.queries import op5_class_lm
@@ -74,3 +76,62 @@ def test_exchange_separates_two_languages(make):
     got = class_lm.scores(make(rows)).where("held_out").selectExpr("sum(score) / sum(n_tokens)", "sum(base_score) / sum(n_tokens)").first()
     # knowing the language is worth a factor of two per word
     assert got[0] > got[1] + 0.2
+
+
+def test_score_against_plain_sums(make, tiny):
+    """The probabilities recomputed from the learnt classes, text by text."""
+    rng = random.Random(3)
+    vocabulary = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(rng.choice(vocabulary[: rng.choice([12, 60])]) for _ in range(rng.randrange(25)))) for i in range(80)]
+    rows += [(100, "new words only"), (101, ""), (102, None), (103, "w1 unseen w59 w58 unseen")]
+    docs = make(rows)
+    part = docs.select("doc_id", (class_lm.remainder(F.col("doc_id"), 7) == 2).alias("held_out"), "text")
+    encoded, model, ids = class_lm.encode(part)
+    known = {r.word: r for r in class_lm.fit(encoded.where(~F.col("held_out")), model).collect()}
+    counts = Counter(w for d, t in rows if not out(d) for w in words(t))
+    assert set(known) == set(counts) - set(ids) and all(counts[w] == r.c for w, r in known.items())
+
+    def suffix_class(w):
+        return model.suffix_class[class_lm.suffix_unit(w)]
+
+    cls = lambda w: model.word_class[ids[w]] if w in ids else known[w]["class"] if w in known else suffix_class(w)
+    context = lambda w: model.word_class[ids[w]] if w in ids else suffix_class(w)
+    pair, size, kinds = Counter(), Counter(), Counter()
+    for d, t in rows:
+        if not out(d):
+            for a, b in zip(["\n", *words(t)], words(t)):
+                pair[context(a), cls(b)] += 1
+    for w, c in counts.items():
+        size[cls(w)] += c
+        kinds[cls(w)] += 1
+    total, k = sum(pair.values()), class_lm.CLASSES
+
+    def p(a, b):
+        into, outof = (sum(n for x, n in pair.items() if x[i] == c) for i, c in ((1, cls(b)), (0, context(a))))
+        step = (pair[context(a), cls(b)] + (into + 1) / (total + k)) / (outof + 1)
+        return step * (counts[b] + 1) / (size[cls(b)] + kinds[cls(b)] + 1)
+
+    want = {d: sum(math.log10(p(a, b)) for a, b in zip(["\n", *words(t)], words(t))) for d, t in rows}
+    got = {r.doc_id: r.score for r in class_lm.scores(docs).collect()}
+    assert got == pytest.approx(want, abs=1e-6)
+
+
+def test_best_class_is_the_likeliest():
+    """Every word's choice against the likelihood with the word in each class."""
+    rng = np.random.default_rng(4)
+    k = class_lm.CLASSES
+    pair = rng.integers(5, 60, (k, k)).astype(float)
+    xlogx = lambda x: float((x * np.log(np.maximum(x, 1))).sum())
+    for _ in range(20):
+        home, cells = int(rng.integers(1, k)), np.sort(rng.choice(k, 6, replace=False))
+        n = rng.integers(1, 6, 6)
+        free = pair.copy()
+        free[cells, home] -= n
+
+        def likelihood(c):
+            t = free.copy()
+            t[cells, c] += n
+            return xlogx(t) - xlogx(t.sum(0))
+
+        best = class_lm.best_classes(np.zeros(6, int), cells, n, np.array([home]), pair, 1)[0]
+        assert likelihood(best) == pytest.approx(max(likelihood(c) for c in range(1, k)))
