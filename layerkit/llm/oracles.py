@@ -10,7 +10,8 @@ _WORDS = r"list_filter(regexp_split_to_array({}, '[\x20\x09-\x0D]+'), lambda x:
 def quality_rules() -> str:
     g = f"({1 + quality.ALPHA!r} / {1 - quality.ALPHA!r})"
     value = lambda b: f"CASE WHEN {b} < 0 THEN 0.0 ELSE pow({g}, {b}) * (2 / ({g} + 1)) END"
-    slack = " ".join(f"WHEN '{k}' THEN {float(v)}" for k, v in quality.SLACK.items())
+    floor = " ".join(f"WHEN '{k}' THEN {float(v)}" for k, v in quality.FLOOR.items())
+    two_sided = ", ".join(f"'{k}'" for k in quality.TWO_SIDED)
     failed = "(n_words < 10 OR 100 * n_repeat_words > 20 * n_words)"
 
     def lim(name: str, keys: str) -> str:
@@ -20,13 +21,16 @@ def quality_rules() -> str:
          sum(sum(n)) OVER (PARTITION BY {keys}, measure) AS total
   FROM sketch GROUP BY {keys}, measure, bucket),
 {name}_q AS (
-  SELECT {keys}, measure, max(total) AS docs, min(bucket) FILTER (upto >= 0.5 * total) AS b50,
+  SELECT {keys}, measure, max(total) AS docs, min(bucket) FILTER (upto >= 0.25 * total) AS b25,
          min(bucket) FILTER (upto >= 0.75 * total) AS b75
   FROM {name}_cum GROUP BY {keys}, measure),
+{name}_v AS (
+  SELECT {keys}, measure, docs, {value("b25")} AS q25, {value("b75")} AS q75, CASE measure {floor} END AS room
+  FROM {name}_q),
 {name} AS (
-  SELECT {keys}, measure, docs, {value("b75")} + {quality.SPREAD} * ({value("b75")} - ({value("b50")}))
-         + CASE measure {slack} END AS upper
-  FROM {name}_q)"""
+  SELECT {keys}, measure, docs, q75 + ({quality.SPREAD} * (q75 - q25) + room) AS upper,
+         CASE WHEN measure IN ({two_sided}) THEN q25 - ({quality.SPREAD} * (q75 - q25) + room) END AS lower
+  FROM {name}_v)"""
 
     return f"""
 WITH d AS (
@@ -45,12 +49,14 @@ m AS (
          CAST(coalesce(length(array_to_string(ws, '')), 0) AS BIGINT) AS word_chars,
          CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
          CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
-         coalesce(covered.n, 0) AS n_repeat_words, len(ls) AS n_lines
+         coalesce(covered.n, 0) AS n_repeat_words, len(ls) AS n_lines,
+         length(t) - length(regexp_replace(t, '{quality.SIGNS}', '', 'g')) AS n_signs,
+         len(list_filter(range(2, len(ws) + 1), lambda i: ws[i] = ws[i - 1])) AS n_stutter
   FROM w LEFT JOIN covered ON w.rid = covered.rid),
 rate AS (
-  SELECT rid, lang, source, {failed} AS failed, unnest(['symbols', 'dup_lines', 'repeats']) AS measure,
-         unnest([floor(1000 * n_symbols / greatest(word_chars, 1)), floor(1000 * n_dup_lines / (n_lines + 10)),
-                 floor(1000 * n_repeat_words / (n_words + 50))]) AS v
+  SELECT rid, lang, source, {failed} AS failed, unnest(['word_length', 'signs', 'stutter', 'dup_lines']) AS measure,
+         unnest([floor(1000 * (word_chars + 250) / (n_words + 50)), floor(1000 * n_signs / (word_chars + 250)),
+                 floor(1000 * n_stutter / (n_words + 50)), floor(1000 * n_dup_lines / (n_lines + 10))]) AS v
   FROM m),
 sketch AS (
   SELECT lang, source, measure,
@@ -61,7 +67,8 @@ over AS (
   FROM rate r
   JOIN by_source s ON r.measure = s.measure AND r.lang IS NOT DISTINCT FROM s.lang AND r.source IS NOT DISTINCT FROM s.source
   JOIN by_lang l ON r.measure = l.measure AND r.lang IS NOT DISTINCT FROM l.lang
-  WHERE v > CASE WHEN s.docs >= {quality.MIN_GROUP} THEN s.upper ELSE l.upper END)
+  WHERE v > CASE WHEN s.docs >= {quality.MIN_GROUP} THEN s.upper WHEN l.docs >= {quality.MIN_LANGUAGE} THEN l.upper END
+     OR v < CASE WHEN s.docs >= {quality.MIN_GROUP} THEN s.lower WHEN l.docs >= {quality.MIN_LANGUAGE} THEN l.lower END)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, {failed} AS base_failed,
        NOT {failed} AND over.rid IS NULL AS kept
 FROM m LEFT JOIN over ON m.rid = over.rid"""

@@ -4,13 +4,16 @@ Every document gets its measures from built-in functions. Per language and
 source, each measure is summarised by a mergeable quantile sketch: counts per
 logarithmic bucket with a bounded relative error (a DDSketch), so merging is
 adding counts and the outcome does not depend on how rows are spread over
-tasks. A group's limit for a measure is
+tasks. A group's limits for a measure are its outer fences
 
-    q75 + SPREAD * (q75 - q50) + SLACK[measure]
+    q75 + SPREAD * (q75 - q25) + FLOOR[measure]
+    q25 - SPREAD * (q75 - q25) - FLOOR[measure]    (``TWO_SIDED`` measures only)
 
 read from its sketch (documents failing the base rule are left out of it), in
-thousandths. A group of fewer than ``min_group`` documents takes the limit of
-its language's merged sketch. The limits are joined back and filter.
+thousandths. ``FLOOR`` is only the room a group without any spread still has. A
+group of fewer than ``min_group`` documents takes the limits of its language's
+merged sketch, and a language of fewer than ``MIN_LANGUAGE`` sets none. The
+limits are joined back and filter.
 
 Defined cases: a NULL text counts as empty (no words: the base rule fails); a
 NULL language or source is a group of its own; repeated rows count as often
@@ -30,12 +33,16 @@ from layerkit.llm.common import WORD_RE, col, free_name, let, small, stage, word
 WINDOW = 5
 SPREAD = 3
 MIN_GROUP = 100
+MIN_LANGUAGE = 30
 # Relative error of the sketch's quantiles.
-ALPHA = 0.01
-# Room above the fence, in thousandths: a group without any spread must not
-# reject on a single symbol or line.
-SLACK = {"symbols": 50, "dup_lines": 250, "repeats": 250}
+ALPHA = 0.005
+# Room beyond the fence, in thousandths: a group without any spread must not
+# reject on a single sign or line.
+FLOOR = {"word_length": 250, "signs": 20, "stutter": 20, "dup_lines": 150}
+TWO_SIDED = ("word_length",)
 SYMBOLS = r"[#*$%&|<>]"
+# ASCII punctuation and signs.
+SIGNS = r"[!-/:-@\[-`{-~]"
 
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
@@ -87,6 +94,8 @@ def measures(text: Column) -> Column:
                 (F.size(ls) - F.size(F.array_distinct(ls))).cast("long").alias("n_dup_lines"),
                 repeat_words(a).alias("n_repeat_words"),
                 F.size(ls).cast("long").alias("n_lines"),
+                (F.length(t) - F.length(F.regexp_replace(t, SIGNS, ""))).cast("long").alias("n_signs"),
+                F.size(F.filter(a, lambda x, i: x == F.get(a, i - 1))).cast("long").alias("n_stutter"),
             ),
         )
 
@@ -98,12 +107,16 @@ def base_failed(m: Column) -> Column:
 
 
 def rates(m: Column) -> dict[str, Column]:
-    """The measures that get limits, in thousandths. Lines and repeats are
-    smoothed, so that one repeated line of a short text weighs little."""
+    """The measures that get limits, in thousandths: mean word length, signs per
+    character of words, words equal to the word before, repeated lines. All are
+    smoothed (by 50 words of five characters, or ten lines), so that a few long
+    words or one repeated line of a short text weigh little."""
+    chars, n = m["word_chars"] + 250, m["n_words"] + 50
     return {
-        "symbols": F.floor(1000 * m["n_symbols"] / F.greatest(m["word_chars"], F.lit(1))),
+        "word_length": F.floor(1000 * chars / n),
+        "signs": F.floor(1000 * m["n_signs"] / chars),
+        "stutter": F.floor(1000 * m["n_stutter"] / n),
         "dup_lines": F.floor(1000 * m["n_dup_lines"] / (m["n_lines"] + 10)),
-        "repeats": F.floor(1000 * m["n_repeat_words"] / (m["n_words"] + 50)),
     }
 
 
@@ -138,29 +151,37 @@ def merge(sketches: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def limits(sketches: DataFrame, keys: list[str], spread: float = SPREAD) -> DataFrame:
-    """One row per group and measure: documents and limit. A group holds at
-    most a few hundred buckets per measure, so its window is small."""
+    """One row per group and measure: documents and limits. A group holds at
+    most a few thousand buckets per measure, so its window is small."""
     w = Window.partitionBy(*keys, "measure")
     upto = w.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
     c = sketches.withColumn("upto", F.sum("n").over(upto)).withColumn("total", F.sum("n").over(w))
     q = lambda p: bucket_value(F.min(F.when(F.col("upto") >= p * F.col("total"), F.col("bucket"))))
-    slack = F.element_at(F.create_map(*[x for k, v in SLACK.items() for x in (F.lit(k), F.lit(float(v)))]), F.col("measure"))
+    floor = F.element_at(F.create_map(*[x for k, v in FLOOR.items() for x in (F.lit(k), F.lit(float(v)))]), F.col("measure"))
+    room = spread * (F.col("q75") - F.col("q25")) + floor
     return (
         c.groupBy(*keys, "measure")
-        .agg(F.max("total").alias("docs"), q(0.5).alias("q50"), q(0.75).alias("q75"))
-        .select(*keys, "measure", "docs", (F.col("q75") + spread * (F.col("q75") - F.col("q50")) + slack).alias("upper"))
+        .agg(F.max("total").alias("docs"), q(0.25).alias("q25"), q(0.75).alias("q75"))
+        .select(
+            *keys,
+            "measure",
+            "docs",
+            (F.col("q75") + room).alias("upper"),
+            F.when(F.col("measure").isin(*TWO_SIDED), F.col("q25") - room).alias("lower"),
+        )
     )
 
 
 def _wide(lim: DataFrame, keys: list[str], tag: str) -> DataFrame:
-    """One row per group: its documents and the limit of each measure."""
-    aggs = [F.max(F.when(F.col("measure") == k, F.col("upper"))).alias(f"{tag}_{k}") for k in SLACK]
+    """One row per group: its documents and the limits of each measure."""
+    at = lambda k, c: F.max(F.when(F.col("measure") == k, F.col(c))).alias(f"{tag}_{c}_{k}")
+    aggs = [at(k, c) for k in FLOOR for c in ("upper", "lower")]
     return lim.groupBy(*keys).agg(F.max("docs").alias(f"{tag}_docs"), *aggs)
 
 
 def thresholds(measured: DataFrame, m: str, lang: str, source: str, min_group: int = MIN_GROUP) -> DataFrame:
-    """Limits per (language, source), as columns ``g_lang``, ``g_source`` and
-    one ``max_<measure>`` each."""
+    """Limits per (language, source): columns ``g_lang``, ``g_source``, and
+    ``upper_<measure>``, ``lower_<measure>`` each (NULL: no limit)."""
     named = measured.select(col(lang).alias("g_lang"), col(source).alias("g_source"), col(m))
     own = stage(sketch(named, ["g_lang", "g_source"], m), "quality-sketch")
     by_source = _wide(limits(own, ["g_lang", "g_source"]), ["g_lang", "g_source"], "s")
@@ -168,10 +189,12 @@ def thresholds(measured: DataFrame, m: str, lang: str, source: str, min_group: i
     both = by_source.join(
         by_lang.withColumnRenamed("g_lang", "l_lang"), F.col("g_lang").eqNullSafe(F.col("l_lang")), "left"
     )
-    enough = F.col("s_docs") >= min_group
-    return both.select(
-        "g_lang", "g_source", *[F.when(enough, F.col(f"s_{k}")).otherwise(F.col(f"l_{k}")).alias(f"max_{k}") for k in SLACK]
-    )
+
+    def pick(c: str) -> Column:
+        own_one = F.when(F.col("s_docs") >= min_group, F.col(f"s_{c}"))
+        return own_one.when(F.col("l_docs") >= MIN_LANGUAGE, F.col(f"l_{c}")).alias(c)
+
+    return both.select("g_lang", "g_source", *[pick(f"{side}_{k}") for k in FLOOR for side in ("upper", "lower")])
 
 
 def judge(
@@ -190,9 +213,10 @@ def judge(
     measured = stage(measured.drop(text) if drop_text else measured, "quality")
     lim = small(stage(thresholds(measured, m, lang, source, min_group), "quality-limits"))
     lim = lim.select([F.col(c).alias(free_name([*docs.columns, m, kept], f"_q_{c}")) for c in lim.columns])
-    g_lang, g_source, *tops = lim.columns
+    g_lang, g_source, *ends = lim.columns
     within = [
-        F.coalesce(v <= col(top), F.lit(True)) for v, top in zip(rates(col(m)).values(), tops, strict=True)
+        F.coalesce(v <= col(upper), F.lit(True)) & F.coalesce(v >= col(lower), F.lit(True))
+        for v, upper, lower in zip(rates(col(m)).values(), ends[::2], ends[1::2], strict=True)
     ]
     joined = measured.join(
         lim, col(lang).eqNullSafe(col(g_lang)) & col(source).eqNullSafe(col(g_source)), "left"

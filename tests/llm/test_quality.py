@@ -1,3 +1,4 @@
+import random
 import re
 from collections import Counter
 
@@ -55,6 +56,36 @@ def test_limits_adapt_to_the_group(make):
     assert kept == {r[0] for r in rows} - {5000}
 
 
+def test_word_length_has_limits_on_both_sides(make):
+    rng = random.Random(2)
+    text = lambda sizes: " ".join("".join(rng.choices("abcdefghijklmnop", k=k)) for k in sizes)
+    rows = [(i, text([4 + (i + j) % 3 for j in range(40)]), "en", "s") for i in range(120)]
+    rows += [(900, text([2] * 80), "en", "s"), (901, text([12] * 80), "en", "s")]
+    out, m, kept = quality.judge(make(rows))
+    assert not out.where(~F.col(kept) & (F.col("doc_id") < 900)).count()
+    assert out.where(F.col("doc_id") >= 900).select(kept).distinct().collect() == [(False,)]
+
+
+def test_limits_differ_between_groups_of_the_table_and_spare_labelled_documents(spark):
+    sf = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    measured = docs.withColumn("m", quality.measures(F.col("text"))).drop("text").cache()
+    lim = quality.thresholds(measured, "m", "lang", "source").toPandas()
+    for k in ("word_length", "signs", "stutter"):
+        assert (lim[f"upper_{k}"].dropna() > quality.FLOOR[k]).any()
+    assert all(lim[k].nunique() > 1 for k in ("upper_word_length", "lower_word_length", "upper_signs"))
+    labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "quality").distinct()
+    rate = dict(
+        op9_quality_rules(spark, sf)
+        .where("not base_failed")
+        .join(labels, "doc_id")
+        .groupBy("quality")
+        .agg(F.avg(F.col("kept").cast("int")))
+        .collect()
+    )
+    assert rate[1] > 0.995 and rate[0] < 0.1
+
+
 def test_merged_sketches_equal_one_sketch(spark, make):
     rows = [(i, "word " * 12 + "#" * (i % 7) + f" a{i}", "en", f"s{i % 3}") for i in range(60)]
     docs = make(rows).withColumn("m", quality.measures(F.col("text")))
