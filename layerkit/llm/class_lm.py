@@ -39,6 +39,7 @@ columns are ignored.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 
@@ -130,29 +131,37 @@ def _suffix_unit(word: Column) -> Column:
     return (F.crc32(F.right(word, F.lit(3)).cast("binary")) % SUFFIXES).cast("int")
 
 
+class _Ids(dict):
+    """Ids by a word's bytes; a word without one is put into ``rest`` and reads
+    as -1 - suffix unit."""
+
+    def __init__(self, ids: dict[str, int]):
+        super().__init__((w.encode("utf-8"), i) for w, i in ids.items())
+        self.rest: list[str] = []
+
+    def __missing__(self, raw: bytes) -> int:
+        w = raw.decode("utf-8")
+        self.rest.append(w)
+        return -1 - suffix_unit(w)
+
+
 def _encode(ids: dict[str, int]):
     """Ids of the words in the dictionary; -1 - suffix unit of any other, and
     those words themselves."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        raw = {w.encode("utf-8"): i for w, i in ids.items()}
+        known = _Ids(ids)
         for rb in batches:
-            seqs, rest = [], []
+            flat, ends, rest_ends = array("i"), [0], [0]
+            known.rest = []
             for t in rb.column(2):
                 ws = (t.as_py() or "").encode("utf-8", "replace").lower().split()
-                seq, other = list(map(raw.get, ws)), []
-                if None in seq:
-                    for i, x in enumerate(seq):
-                        if x is None:
-                            w = ws[i].decode("utf-8")
-                            other.append(w)
-                            seq[i] = -1 - suffix_unit(w)
-                seqs.append(seq)
-                rest.append(other)
-            yield pa.RecordBatch.from_arrays(
-                [rb.column(0), rb.column(1), pa.array(seqs, pa.list_(pa.int32())), pa.array(rest, pa.list_(pa.string()))],
-                names=["doc_id", "held_out", "ids", "rest"],
-            )
+                flat.extend(map(known.__getitem__, ws))
+                ends.append(len(flat))
+                rest_ends.append(len(known.rest))
+            seqs = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.asarray(flat, np.int32)))
+            rest = pa.ListArray.from_arrays(pa.array(rest_ends, pa.int32()), pa.array(known.rest, pa.string()))
+            yield pa.RecordBatch.from_arrays([rb.column(0), rb.column(1), seqs, rest], names=["doc_id", "held_out", "ids", "rest"])
 
     return run
 
@@ -324,27 +333,22 @@ def _tail_contexts(model: Model):
     return run
 
 
+def _counted(columns: dict[str, pa.Array], n: str) -> Iterator[pa.RecordBatch]:
+    """Equal rows once, with their number as ``n``."""
+    got = pa.table(columns).group_by(list(columns), use_threads=False).aggregate([([], "count_all")])
+    yield from got.select([*columns, "count_all"]).rename_columns([*columns, n]).to_batches()
+
+
 def _rest_contexts(model: Model):
     """The classes before each word outside the dictionary."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter = Counter()
-
-        def out() -> pa.RecordBatch:
-            names, cells = zip(*held, strict=True)
-            cols = [pa.array(names, pa.string()), pa.array(cells, pa.int32()), pa.array(held.values(), pa.int64())]
-            held.clear()
-            return pa.RecordBatch.from_arrays(cols, names=["word", "cell", "n"])
-
         for rb in batches:
             ids, _ = _flat(rb, 0)
-            c = model.classes_of(ids)
-            before = np.concatenate([[0], c[:-1]])[ids < 0]
-            held.update(zip(rb.column(1).flatten().to_pylist(), before.tolist(), strict=True))
-            if len(held) > FLUSH // 2:
-                yield out()
-        if held:
-            yield out()
+            if not len(ids):
+                continue
+            before = np.concatenate([[0], model.classes_of(ids)[:-1]])[ids < 0]
+            yield from _counted({"word": rb.column(1).flatten(), "cell": pa.array(before.astype(np.int32))}, "n")
 
     return run
 
@@ -406,14 +410,12 @@ def _rest(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rb in batches:
             ids, n = _flat(rb, 1)
-            at = np.flatnonzero(ids < 0)
-            before = np.concatenate([[0], model.classes_of(ids)[:-1]])[at]
-            rids = np.repeat(rb.column(0).to_numpy(), n)[at]
-            held = Counter(zip(rids.tolist(), rb.column(2).flatten().to_pylist(), before.tolist(), strict=True))
-            if held:
-                r, w, d = zip(*held, strict=True)
-                cols = [pa.array(r, pa.int64()), pa.array(w, pa.string()), pa.array(d, pa.int32())]
-                yield pa.RecordBatch.from_arrays([*cols, pa.array(held.values(), pa.int64())], names=["rid", "word", "before", "k"])
+            if not len(ids):
+                continue
+            before = np.concatenate([[0], model.classes_of(ids)[:-1]])[ids < 0]
+            rids = np.repeat(rb.column(0).to_numpy(), n)[ids < 0]
+            columns = {"rid": pa.array(rids), "word": rb.column(2).flatten(), "before": pa.array(before.astype(np.int32))}
+            yield from _counted(columns, "k")
 
     return run
 
