@@ -45,6 +45,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -133,16 +134,22 @@ def _suffix_unit(word: Column) -> Column:
 
 class _Ids(dict):
     """Ids by a word's bytes; a word without one is put into ``rest`` and reads
-    as -1 - suffix unit."""
+    as -1."""
 
     def __init__(self, ids: dict[str, int]):
         super().__init__((w.encode("utf-8"), i) for w, i in ids.items())
-        self.rest: list[str] = []
+        self.rest: list[bytes] = []
 
     def __missing__(self, raw: bytes) -> int:
-        w = raw.decode("utf-8")
-        self.rest.append(w)
-        return -1 - suffix_unit(w)
+        self.rest.append(raw)
+        return -1
+
+
+def suffix_units(words: pa.Array) -> np.ndarray:
+    """``suffix_unit`` of many words: each distinct suffix once."""
+    suffixes = pc.utf8_slice_codeunits(words, -3).dictionary_encode()
+    units = np.array([suffix_unit(w) for w in suffixes.dictionary.to_pylist()], np.int32)
+    return units[suffixes.indices.to_numpy()]
 
 
 def _encode(ids: dict[str, int]):
@@ -159,8 +166,11 @@ def _encode(ids: dict[str, int]):
                 flat.extend(map(known.__getitem__, ws))
                 ends.append(len(flat))
                 rest_ends.append(len(known.rest))
-            seqs = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.asarray(flat, np.int32)))
-            rest = pa.ListArray.from_arrays(pa.array(rest_ends, pa.int32()), pa.array(known.rest, pa.string()))
+            others = pa.array(known.rest, pa.binary()).cast(pa.string())
+            seq = np.array(flat, np.int32)
+            seq[seq < 0] = -1 - suffix_units(others)
+            seqs = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(seq))
+            rest = pa.ListArray.from_arrays(pa.array(rest_ends, pa.int32()), others)
             yield pa.RecordBatch.from_arrays([rb.column(0), rb.column(1), seqs, rest], names=["doc_id", "held_out", "ids", "rest"])
 
     return run
@@ -468,7 +478,7 @@ def fit(training: DataFrame, model: Model) -> DataFrame:
 
     # all words outside the dictionary
     pair, suffix_class = pairs(), model.suffix_class
-    own = lambda w: suffix_class[[suffix_unit(x) for x in w.to_pylist()]]
+    own = lambda w: suffix_class[suffix_units(w)]
     rest = training.select("ids", "rest").mapInArrow(_rest_contexts(model), "word string, cell int, n long")
     rest = stage(_chosen(rest, own, pair, 1), "lm-rest")
     moves = rest.where("home <> class").select("home", "class", F.explode("cells").alias("e"))
