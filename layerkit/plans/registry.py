@@ -163,6 +163,12 @@ def q_read_records_csv(spark, sf):
     return read_records_csv(spark, path)
 
 
+def _export_one_file(rows: DataFrame, path: str) -> None:
+    """``rows`` as one CSV file. The one task only writes: the joins above run
+    in tasks of their own, where ``coalesce`` would sort all of them in it."""
+    rows.repartition(1).write.option("header", "true").option("escape", '"').csv(path)
+
+
 def q_read_records_split(spark, sf):
     """S1 over one file, read in splits by the parity of the quotes before
     them; the narratives hold line breaks, separators and quotes."""
@@ -170,7 +176,7 @@ def q_read_records_split(spark, sf):
     raw = _bronze(spark, sf).select(*L.raw)
     story = F.concat(F.lit('said "'), F.col(L.key), F.lit('",\n and\n\nmore'))
     told = raw.withColumn("complaint_what_happened", F.when(F.col(L.key).cast("long") % 3 == 0, story))
-    told.coalesce(1).write.option("header", "true").option("escape", '"').csv(path)
+    _export_one_file(told, path)
     return read_records_split(spark, path, split_bytes=1 << 17)
 
 

@@ -120,3 +120,13 @@ def test_a_header_with_a_line_break(spark, tmp):
             f.write(f'State,"Some\n{second}",Complaint ID\nNY,"p\nq",{name}1\n')
     got = sorted((r.complaint_id, r.state) for r in read_feed_csv(spark, f"{tmp}/*.csv").collect())
     assert got == [("a1", "NY"), ("b1", "NY")]
+
+
+def test_one_file_export_only_writes_in_its_task(spark, tmp):
+    """What lies above the export runs in tasks of its own, not in the writer."""
+    from layerkit.plans.registry import _export_one_file
+
+    _export_one_file(spark.range(0, 80, 1, 8).select("id", F.spark_partition_id().alias("task")), f"{tmp}/one")
+    got = spark.read.option("header", "true").csv(f"{tmp}/one")
+    assert len(got.inputFiles()) == 1 and got.count() == 80
+    assert got.select("task").distinct().count() == 8
