@@ -35,7 +35,7 @@ from layerkit.sinks.tables import (
 from layerkit.sources.csv import read_records_csv
 from layerkit.session import stage
 from layerkit.sources.split import read_records_split
-from layerkit.sources.feed import feed_days, ingest_feed, ingest_until_failure, next_day
+from layerkit.sources.feed import Page, feed_days, ingest_feed, ingest_until_failure, next_day
 from layerkit.streaming.drain import logged_drain, stream_to_table
 from layerkit.streaming.messages import decode_messages
 
@@ -177,7 +177,7 @@ def _days(spark: SparkSession, bronze_ns: str, stop, layout: Layout, default_sta
 def feed_to_bronze(
     spark: SparkSession,
     bronze_ns: str,
-    fetch: Callable[[dt.date], str],
+    fetch: Callable[[dt.date], Page],
     stop: dt.date | str,
     layout: Layout = COMPLAINTS,
     default_start: dt.date | str | None = None,
@@ -211,7 +211,7 @@ def feed_to_bronze(
 def feed_to_messages(
     spark: SparkSession,
     bronze_ns: str,
-    fetch: Callable[[dt.date], str],
+    fetch: Callable[[dt.date], Page],
     stop: dt.date | str,
     layout: Layout = COMPLAINTS,
     sink_format: str = "kafka",

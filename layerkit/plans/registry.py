@@ -11,7 +11,7 @@ from __future__ import annotations
 import datetime as dt
 import os
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -43,7 +43,7 @@ from layerkit.functions.dates import safe_date
 from layerkit.sinks.tables import append_batch, create_layer_table, create_namespace, upsert_table, write_full, write_messages
 from layerkit.sources.csv import read_feed_csv, read_records_csv
 from layerkit.sources.split import read_records_split
-from layerkit.sources.feed import feed_days, land_days, next_day
+from layerkit.sources.feed import BLOCK, feed_days, land_days, next_day
 from layerkit.streaming.drain import stream_source, stream_to_table
 from layerkit.streaming.messages import decode_messages, encode_messages
 
@@ -341,10 +341,12 @@ def _feed(spark: SparkSession, sf: str, per_day: bool) -> DataFrame:
     land_days(rows.repartition(L.date), pages)
     root = pages.removeprefix("file:")
 
-    def fetch(d: dt.date) -> str:
+    def fetch(d: dt.date) -> Iterator[str]:
         folder = f"{root}/day={d.isoformat()}"
         files = [f for f in sorted(os.listdir(folder)) if f.endswith(".csv")] if os.path.isdir(folder) else []
-        return "".join(open(f"{folder}/{f}", encoding="utf-8").read() for f in files)
+        for f in files:
+            with open(f"{folder}/{f}", encoding="utf-8") as page:
+                yield from iter(lambda: page.read(BLOCK), "")
 
     stop = FEED_FROM + dt.timedelta(days=FEED_PAGES)
     loads.feed_to_bronze(spark, ns, fetch, stop, default_start=FEED_FROM, per_day=per_day)

@@ -2,18 +2,21 @@
 
 The original job looped over days on the driver, one web request and one
 driver-side parse at a time. Here the day list is a DataFrame; tasks fetch the
-days' pages side by side through a caller-supplied ``fetch(day) -> str``, the
-raw pages are landed in shared storage, and Spark's CSV reader parses them.
+days' pages side by side through a caller-supplied ``fetch(day)``, which gives
+a page as text or, for pages of any size, as blocks of text one after the other;
+the raw pages are landed in shared storage, and Spark's CSV reader parses them.
 A failed fetch raises and is retried by Spark; nothing but the day list passes
 through the driver.
 """
 
 from __future__ import annotations
 
+import codecs
 import datetime as dt
+import tempfile
 import time
 import urllib.request
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,6 +29,11 @@ from layerkit.sources.csv import read_feed_csv
 
 # Days fetched at a time when the caller names no other number.
 DEFAULT_PARALLELISM = 8
+# Characters of a page that a task passes on at a time.
+BLOCK = 1 << 20
+
+# A page, or its blocks of text.
+Page = str | Iterable[str]
 
 
 def _date(v: dt.date | str | Column) -> Column:
@@ -63,29 +71,58 @@ def day_range(spark: SparkSession, start: dt.date | str, stop: dt.date | str) ->
     return feed_days(spark.range(1).select(_date(start).alias("next_date")), stop)
 
 
-def url_fetcher(template: str, timeout: float = 60.0) -> Callable[[dt.date], str]:
+def url_fetcher(template: str, timeout: float = 60.0, block: int | None = None) -> Callable[[dt.date], Page]:
     """A ``fetch(day)`` over HTTP: ``template`` with ``{day}`` (ISO date) filled
-    in. Any status but 200 raises, so no error page is taken for data."""
+    in. Any status but 200 raises, so no error page is taken for data. With
+    ``block`` a page is read so many bytes at a time."""
 
-    def fetch(day: dt.date) -> str:
+    def blocks(day: dt.date) -> Iterator[str]:
         with urllib.request.urlopen(template.format(day=day.isoformat()), timeout=timeout) as reply:
             if reply.status != 200:
                 raise RuntimeError(f"status {reply.status} for {day}")
-            return reply.read().decode("utf-8")
-
-    return fetch
+            parts = iter(lambda: reply.read(block), b"") if block else [reply.read()]
+            yield from codecs.iterdecode(parts, "utf-8")
+
+    return blocks if block else lambda day: "".join(blocks(day))
+
+
+def _blocks(page: Page | None) -> Iterator[str]:
+    """The blocks of a page, once all of it is there: blocks that arrive one by
+    one wait in a file of the task, so a page that ends in an error gives none."""
+    if page is None or isinstance(page, str):
+        page = page or ""
+        return (page[i : i + BLOCK] for i in range(0, len(page), BLOCK))
+    spool = tempfile.TemporaryFile("w+", encoding="utf-8", newline="")
+    spool.writelines(page)
+    spool.seek(0)
+    return iter(lambda: spool.read(BLOCK), "")
+
+
+def _pieces(blocks: Iterable[str]) -> Iterator[str]:
+    """``blocks`` cut anew, at line breaks: joined by them the pieces are the
+    page, and a writer of lines puts them back."""
+    held: list[str] = []
+    for b in blocks:
+        cut = b.rfind("\n")
+        if cut < 0:
+            held.append(b)
+        else:
+            yield "".join([*held, b[:cut]])
+            held = [b[cut + 1 :]]
+    yield "".join(held)
 
 
 def land_pages(
     days: DataFrame,
-    fetch: Callable[[dt.date], str],
+    fetch: Callable[[dt.date], Page],
     root: str,
     parallelism: int | None = None,
     per_second: float | None = None,
     keep_failed: bool = False,
 ) -> None:
     """Fetch each day in a task and land its raw page under
-    ``root/day=YYYY-MM-DD/``, one file per day.
+    ``root/day=YYYY-MM-DD/``, one file per day. A page passes through the task
+    in pieces; only what ``fetch`` itself holds grows with it.
 
     ``parallelism`` days are fetched at a time (``DEFAULT_PARALLELISM``
     without it); ``per_second`` bounds the requests of all tasks together.
@@ -99,20 +136,24 @@ def land_pages(
         for pdf in batches:
             for day in pdf["day"]:
                 d = day if isinstance(day, dt.date) else pd.Timestamp(day).date()
-                began, kind = time.monotonic(), "pages"
+                began, ok = time.monotonic(), True
                 try:
-                    page = fetch(d)
+                    blocks = _blocks(fetch(d))
                 except Exception as e:
                     if not keep_failed:
                         raise
-                    kind, page = "failed", f"{type(e).__name__}: {e}"
-                yield pd.DataFrame({"kind": [kind], "day": [d], "value": [page]})
+                    ok, blocks = False, [f"{type(e).__name__}: {e}"]
+                for i, piece in enumerate(_pieces(blocks)):
+                    yield pd.DataFrame({"ok": [ok], "day": [d], "piece": [i], "value": [piece]})
                 time.sleep(max(0.0, pause - (time.monotonic() - began)))
 
     # Range split of the (distinct, small) day list: an even, contiguous share
     # of days per task, where hashing could leave tasks idle or doubled up.
-    pages = days.repartitionByRange(n, "day").mapInPandas(run, "kind string, day date, value string")
-    pages.write.partitionBy("kind", "day").mode("append").text(root)
+    pieces = days.repartitionByRange(n, "day").mapInPandas(run, "ok boolean, day date, piece long, value string")
+    kind = F.when(F.col("ok"), F.lit("pages")).otherwise(F.lit("failed")).alias("kind")
+    # in the order of its folders, so the writer sorts no more and pieces stay in theirs
+    pages = pieces.select(kind, "day", "piece", "value").sortWithinPartitions("kind", "day", "piece")
+    pages.select("kind", "day", "value").write.partitionBy("kind", "day").mode("append").text(root)
 
 
 def read_landing(spark: SparkSession, root: str, layout: Layout = COMPLAINTS, empty_as_null: bool = False) -> DataFrame:
@@ -124,7 +165,7 @@ def read_landing(spark: SparkSession, root: str, layout: Layout = COMPLAINTS, em
 
 def ingest_feed(
     days: DataFrame,
-    fetch: Callable[[dt.date], str],
+    fetch: Callable[[dt.date], Page],
     layout: Layout = COMPLAINTS,
     parallelism: int | None = None,
     per_second: float | None = None,
@@ -148,7 +189,7 @@ def _landed(spark: SparkSession, root: str, layout: Layout) -> DataFrame:
 
 def ingest_until_failure(
     days: DataFrame,
-    fetch: Callable[[dt.date], str],
+    fetch: Callable[[dt.date], Page],
     layout: Layout = COMPLAINTS,
     parallelism: int | None = None,
     per_second: float | None = None,

@@ -213,3 +213,59 @@ def test_url_fetcher_raises_on_a_bad_status(monkeypatch):
     assert fetch(dt.date(2024, 1, 1)) == "Complaint ID\né\n"
     with pytest.raises(RuntimeError):
         fetch(dt.date(2024, 1, 2))
+
+
+def test_a_page_in_blocks_lands_whole_and_in_order(spark, tmp):
+    """A fetch may give a page block by block; nothing holds all of it."""
+    def page(day):
+        lines = [f'{day}-{i},"say ""{i}"",\nand more"\n' for i in range(3_000)]
+        return "Complaint ID,Consumer complaint narrative\n" + "".join(lines)
+
+    def fetch(day):
+        text = page(day)
+        for i in range(0, len(text), 97):
+            if day.day == 4 and i > 5_000:
+                raise ValueError("cut off")
+            yield text[i : i + 97]
+
+    # small blocks, one task for all days: many pieces of a day, many days of a task
+    from layerkit.sources import feed
+
+    def small(day):
+        feed.BLOCK = 1_000  # in the task
+        return fetch(day)
+
+    days = day_range(spark, "2024-01-01", "2024-01-06")
+    feed.land_pages(days, small, f"{tmp}/land", parallelism=1, keep_failed=True)
+    for d in (1, 2, 3, 5):
+        folder = f"{tmp}/land/kind=pages/day=2024-01-0{d}"
+        (name,) = [f for f in os.listdir(folder) if f.endswith(".txt")]
+        with open(f"{folder}/{name}", newline="") as f:
+            assert f.read() == page(dt.date(2024, 1, d)) + "\n"
+    # a page that ends in an error is no page
+    assert not os.path.exists(f"{tmp}/land/kind=pages/day=2024-01-04")
+    assert os.path.exists(f"{tmp}/land/kind=failed/day=2024-01-04")
+    rows, failed = ingest_until_failure(days, fetch)
+    assert rows.count() == 9_000 and failed == dt.date(2024, 1, 4)
+    assert rows.where("complaint_what_happened LIKE 'say \"2999\",%and more'").count() == 3
+
+
+@pytest.mark.parametrize("text", ["", "\n", "a", "a\n", "a\nb", "\n\na\r\nb\n\n", "x" * 50 + "\ny"])
+@pytest.mark.parametrize("size", [1, 3, 1_000])
+def test_pieces_joined_by_line_breaks_are_the_page(text, size):
+    from layerkit.sources.feed import _blocks, _pieces
+
+    cut = [text[i : i + size] for i in range(0, len(text), size)]
+    for blocks in (cut, _blocks(cut), _blocks(text)):
+        assert "\n".join(_pieces(blocks)) == text
+
+
+def test_url_fetcher_reads_in_blocks(monkeypatch):
+    import io
+    import urllib.request
+
+    class Reply(io.BytesIO):
+        status = 200
+
+    monkeypatch.setattr(urllib.request, "urlopen", lambda url, timeout: Reply("Complaint ID\né\n".encode()))
+    assert "".join(url_fetcher("https://example.org/{day}.csv", block=1)(dt.date(2024, 1, 1))) == "Complaint ID\né\n"
