@@ -41,7 +41,7 @@ from __future__ import annotations
 import zlib
 from array import array
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -66,6 +66,16 @@ FLUSH = 400_000
 CHUNK = 1_000_000
 # Words whose best classes are chosen at a time.
 CHOOSE = 512
+# Documents encoded or counted at a time: an Arrow batch of long texts would
+# take some hundred MB of arrays in every worker.
+ROWS = 2000
+
+
+def _slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of ``ROWS`` rows."""
+    for rb in batches:
+        for s in range(0, rb.num_rows, ROWS):
+            yield rb.slice(s, ROWS)
 
 
 def tokens(text: str | None) -> list[str]:
@@ -158,7 +168,7 @@ def _encode(ids: dict[str, int]):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Ids(ids)
-        for rb in batches:
+        for rb in _slices(batches):
             flat, ends, rest_ends = array("i"), [0], [0]
             known.rest = []
             for t in rb.column(2):
@@ -223,7 +233,7 @@ def _neighbours(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         width, cells = 2 * CLASSES, model.units * 2 * CLASSES
         sums = np.zeros(cells, np.int64)
-        for rb in batches:
+        for rb in _slices(batches):
             ids, _ = _flat(rb, 0)
             if not len(ids):
                 continue
@@ -288,7 +298,7 @@ def _pairs(model: Model):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros(CLASSES * CLASSES, np.int64)
-        for rb in batches:
+        for rb in _slices(batches):
             ids, _ = _flat(rb, 0)
             if len(ids):
                 c = model.classes_of(ids)
@@ -324,7 +334,7 @@ def _tail_contexts(model: Model):
             held.clear()
             return pa.RecordBatch.from_arrays(cols, names=["word", "cell", "n"])
 
-        for rb in batches:
+        for rb in _slices(batches):
             ids, _ = _flat(rb, 0)
             if not len(ids):
                 continue
@@ -354,11 +364,12 @@ def _rest_contexts(model: Model):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rb in batches:
-            ids, _ = _flat(rb, 0)
-            if not len(ids):
-                continue
-            before = np.concatenate([[0], model.classes_of(ids)[:-1]])[ids < 0]
-            yield from _counted({"word": rb.column(1).flatten(), "cell": pa.array(before.astype(np.int32))}, "n")
+            before = []  # equal rows of the whole batch meet, the arrays are those of a slice
+            for part in _slices([rb]):
+                ids, _ = _flat(part, 0)
+                before.append(np.concatenate([[0], model.classes_of(ids)[:-1]])[ids < 0].astype(np.int32))
+            if before:
+                yield from _counted({"word": rb.column(1).flatten(), "cell": pa.array(np.concatenate(before))}, "n")
 
     return run
 
@@ -418,7 +429,7 @@ def _rest(model: Model):
     """Per document: its words outside the dictionary by the class before."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rb in batches:
+        for rb in _slices(batches):
             ids, n = _flat(rb, 1)
             if not len(ids):
                 continue
@@ -436,7 +447,7 @@ def _score(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base = np.log10((model.counts + 1) / (model.total + model.distinct + 1))
         emit = np.log10((model.counts + 1) / model.class_mass[model.word_class])
-        for rb in batches:
+        for rb in _slices(batches):
             ids, n = _flat(rb, 3)
             if not len(n):
                 continue

@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -135,3 +136,35 @@ def test_best_class_is_the_likeliest():
 
         best = class_lm.best_classes(np.zeros(6, int), cells, n, np.array([home]), pair, 1)[0]
         assert likelihood(best) == pytest.approx(max(likelihood(c) for c in range(1, k)))
+
+
+def test_arrays_are_those_of_a_slice(monkeypatch):
+    """A batch of long texts is worked on in slices, to the same counts."""
+    rng = random.Random(9)
+    texts = [None, "", *[" ".join(f"w{min(int(rng.expovariate(0.05)), 99)}" for _ in range(rng.randint(0, 40))) for _ in range(60)]]
+    names = [class_lm.END, *[f"w{i}" for i in range(30)]]
+    ids = {w: i for i, w in enumerate(names)}
+    rows = pa.RecordBatch.from_pydict({"doc_id": list(range(62)), "held_out": [False] * 62, "text": pa.array(texts, pa.string())})
+    model = class_lm.Model(np.arange(31, 0, -1), 500, 31)
+    model.suffixes_of(names)
+    model.settle()
+
+    def seen(size):
+        monkeypatch.setattr(class_lm, "ROWS", size)
+        coded = list(class_lm._encode(ids)(iter([rows])))
+        whole = pa.Table.from_batches(coded).combine_chunks().to_batches()[0]
+        found = [whole.to_pydict()]
+        docs = pa.RecordBatch.from_arrays([whole.column(i) for i in (0, 2, 3)], names=["rid", "ids", "rest"])
+        for count, columns in (
+            (class_lm._neighbours, ["ids"]),
+            (class_lm._pairs, ["ids"]),
+            (class_lm._tail_contexts, ["ids"]),
+            (class_lm._rest_contexts, ["ids", "rest"]),
+            (class_lm._rest, ["rid", "ids", "rest"]),
+        ):
+            out = [r for rb in count(model)(iter([docs.select(columns)])) for r in rb.to_pylist()]
+            found.append(sorted(map(str, out)))
+        return max(rb.num_rows for rb in coded), found
+
+    (most, small), (_, large) = seen(7), seen(1_000)
+    assert most == 7 and small == large
