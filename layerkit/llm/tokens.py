@@ -18,15 +18,27 @@ import os
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 # Fixed value: the tokenizer file of the contracts.
 WORD_BPE = "word_bpe_49k.json"
-_SIGNS = b",.;:!?"
+_SIGNS = b",.;:!?#$%&*"
 REMEMBER = 700_000
 # Words asked for in one text.
 JOIN = 1000
-# Characters of the texts that are looked up together.
-CHUNK = 1 << 22
+# Bytes of the texts that are looked up together.
+CHUNK = 1 << 24
+
+
+def _ends_in_letter(word: bytes) -> bool:
+    """Whether a word surely ends in a letter or digit, lower-cased too (some
+    capitals become a letter and a mark): of the blocks that every Unicode
+    version has alike."""
+    if word[-1] < 0x80:
+        return word[-1:].isalnum()
+    last = word[-4:].decode("utf-8", "ignore")[-1:]
+    return last < "\u0250" and last.lower().isalpha()
 
 
 class _Memory(dict):
@@ -71,7 +83,7 @@ class _Memory(dict):
         ids = self.older.get(word)
         if ids is None:
             bare = word.rstrip(_SIGNS)
-            if bare and bare != word and b"<|" not in word and bare[-1:].isalnum():
+            if bare and bare != word and b"<|" not in word and _ends_in_letter(bare):
                 ids = self[bare] + self[word[len(bare) :]]
             else:
                 found = self.library.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
@@ -114,27 +126,36 @@ class WordEncoder:
         self._memory.learn(words)
 
     def batch(self, texts: Iterable[str | None]) -> Iterator[bytes]:
-        """The ids of ``texts``, one after the other. Words are cut and looked
-        up once; the new ones of some texts are asked for together."""
+        """The ids of ``texts``, one after the other. The words of some texts
+        are cut together, and each distinct one is looked up once."""
         held, size = [], 0
         for t in texts:
-            held.append(t)
-            size += len(t or "")
+            held.append((t or "").encode("utf-8", "replace"))
+            size += len(held[-1])
             if size >= CHUNK:
                 yield from self._chunk(held)
                 held, size = [], 0
-        yield from self._chunk(held)
+        if held:
+            yield from self._chunk(held)
 
-    def _chunk(self, texts: list[str | None]) -> Iterator[bytes]:
+    def _chunk(self, raws: list[bytes]) -> Iterator[bytes]:
         memory = self._memory
-        words = [self._words(t) for t in texts]
-        found = [list(map(memory.get, ws)) for ws in words]
-        gaps = [[i for i, g in enumerate(got) if g is None] for got in found]
-        memory.learn({ws[i] for ws, at in zip(words, gaps) for i in at})
-        for ws, got, at in zip(words, found, gaps):
-            for i in at:
-                got[i] = memory[ws[i]]
-            yield b"".join(got)
+        cased = [raw if b"<|" in raw else raw.lower() for raw in raws]
+        # beside words there are empty ones, at a text's edges: they have no ids
+        words = pc.ascii_split_whitespace(pa.array(cased, pa.binary()).cast(pa.large_string()))
+        coded = words.flatten().dictionary_encode()
+        distinct = coded.dictionary.cast(pa.large_binary()).to_pylist()
+        found = list(map(memory.get, distinct))
+        gaps = [i for i, ids in enumerate(found) if ids is None]
+        memory.learn({distinct[i] for i in gaps})
+        for i in gaps:
+            found[i] = memory[distinct[i]]
+        ids = pa.array(found, pa.large_binary()).take(coded.indices)
+        _, starts, values = ids.buffers()
+        cuts = np.frombuffer(starts, np.int64)[words.offsets.to_numpy()].tolist()
+        raw = memoryview(values) if values is not None else b""
+        for a, b in zip(cuts, cuts[1:]):
+            yield bytes(raw[a:b])
 
     def ids(self, text: str | None) -> bytes:
         return b"".join(map(self._memory.__getitem__, self._words(text)))

@@ -41,6 +41,34 @@ def test_words_give_the_ids_of_whole_texts(library, documents, monkeypatch):
             assert [np.frombuffer(enc.ids(t), "<u2").tolist() for t in texts] == [library(t) for t in texts]
 
 
+SIGNS = ["café,", "İ.", "É$$$ naïve###.", "ŉ! ǅ% я& 漢* ²; ½: ª?", "ok***,", "$$$ #1% a&b *", "été<|x|>,", "é\u0301. e\u0301$"]
+
+
+def test_texts_of_a_batch(library, documents, monkeypatch):
+    texts = [None, *ODD, *SIGNS, " a ", *list(documents.values())[:60]]
+    for size in (1, 100, tokens.CHUNK):
+        monkeypatch.setattr(tokens, "CHUNK", size)
+        got = tokens.WordEncoder(tokens.WORD_BPE).batch(texts)
+        assert [np.frombuffer(ids, "<u2").tolist() for ids in got] == [library(t) for t in texts]
+    assert list(tokens.encoder().batch([])) == [] and list(tokens.encoder().batch([None, ""])) == [b"", b""]
+
+
+def test_a_distinct_word_is_looked_up_once_a_batch(library):
+    """Looking up every word took most of the time."""
+    asked = []
+
+    class Asked(tokens._Memory):
+        def get(self, word):
+            asked.append(word)
+            return super().get(word)
+
+    enc = tokens.WordEncoder(tokens.WORD_BPE)
+    enc._memory.__class__ = Asked
+    got = list(enc.batch(["the same words again, " * 500] * 10))
+    assert len(asked) == len(set(asked)) <= 5
+    assert np.frombuffer(got[-1], "<u2").tolist() == library("the same words again, " * 500)
+
+
 def contract(rows, library):
     """doc_id, start, n_tokens, crc of every document in doc_id order."""
     out, start = [], 0
